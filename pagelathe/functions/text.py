@@ -13,7 +13,9 @@ ColumnOrName = Column | str
 # White space and digits as Python's str methods see them.  Spark's own trim
 # and \s know fewer characters, so both sets are derived from the rule instead.
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-SPACE_CLASS = "".join(f"\\x{{{ord(c):x}}}" for c in SPACES)
+# The same set inside a regex class under (?U).  A class with one entry per
+# character is an order of magnitude slower in Java.
+SPACE_CLASS = r"\s\x1c-\x1f"
 _DIGITS = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Nd" and not c.isascii()]
 _FOREIGN_DIGITS = "".join(_DIGITS)
 _ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
@@ -23,11 +25,12 @@ WORD_START = rf"(?<!{WORD_CLASS})"
 WORD_END = rf"(?!{WORD_CLASS})"
 
 HYPHEN_BREAK = rf"-\n(?={WORD_CLASS})"
-PAGE_NUMBER_LINE = rf"(?md)^[{SPACE_CLASS}]*\p{{Nd}}{{1,4}}[{SPACE_CLASS}]*$"
+PAGE_NUMBER_LINE = rf"(?mdU)^[{SPACE_CLASS}]*\p{{Nd}}{{1,4}}[{SPACE_CLASS}]*$"
 BLANK_RUN = r"\n{3,}"
 GAP_RUN = r"[ \t]+"
-DOT_LEADER = rf"\.{{3,}}[{SPACE_CLASS}]*\p{{Nd}}+"
-TEXT_CHARS = rf"[\p{{L}}\p{{N}}{SPACE_CLASS}]+"
+SPACE_RUN = rf"(?U)[{SPACE_CLASS}]+"
+DOT_LEADER = rf"(?U)\.{{3,}}[{SPACE_CLASS}]*\p{{Nd}}+"
+TEXT_CHARS = rf"(?U)[\p{{L}}\p{{N}}{SPACE_CLASS}]+"
 
 # The headings that end a Turkish text book, open its table of
 # contents and start its first chapter.
@@ -74,7 +77,7 @@ def ascii_digits(c: ColumnOrName) -> Column:
 
 def clean_text(c: ColumnOrName) -> Column:
     """Undo line-break hyphens, drop page-number lines, squeeze blanks."""
-    text = F.translate(col(c), "\r", "")
+    text = F.replace(col(c), F.lit("\r"), F.lit(""))
     text = F.regexp_replace(text, HYPHEN_BREAK, "")
     text = F.regexp_replace(text, PAGE_NUMBER_LINE, "")
     text = F.regexp_replace(text, BLANK_RUN, "\n\n")
@@ -86,16 +89,13 @@ def _any_of(words) -> str:
     return "(?:" + "|".join(words) + ")"
 
 
-def end_pattern(words=END_HEADINGS) -> str:
+def word_pattern(words) -> str:
+    """Any of the words, whole and in any case."""
     return rf"{WORD_START}(?iu:{_any_of(words)}){WORD_END}"
 
 
-def contents_pattern(words=CONTENTS_HEADINGS) -> str:
-    return end_pattern(words)
-
-
 def heading_pattern(openings=OPENING_HEADINGS, ordinals=CHAPTER_ORDINALS, chapters=CHAPTER_WORDS) -> str:
-    gap = f"[{SPACE_CLASS}]*"
+    gap = f"(?U:[{SPACE_CLASS}]*)"
     forms = [
         _any_of(openings),
         rf"{_any_of(ordinals)}{gap}\.{gap}{_any_of(chapters)}",
@@ -104,18 +104,30 @@ def heading_pattern(openings=OPENING_HEADINGS, ordinals=CHAPTER_ORDINALS, chapte
     return rf"{WORD_START}(?iu:{_any_of(forms)}){WORD_END}"
 
 
-def tail_start(text: ColumnOrName, end: str) -> Column:
-    """Offset of the last end heading; 0 when there is none (or it opens the text)."""
-    return F.length(F.regexp_extract(col(text), rf"(?s)^(.*){end}", 1))
+def last_word_after(text: ColumnOrName, start: ColumnOrName, words=END_HEADINGS) -> Column:
+    """Offset of the last of ``words`` beyond ``start``, null if there is none.
+
+    Only the text from ``start`` on is searched.
+    """
+    rest = F.substr(col(text), col(start) + 1)
+    before = F.length(F.regexp_extract(rest, rf"(?s)^(.+){word_pattern(words)}", 1))
+    return F.when(before > 0, col(start) + before)
 
 
-def heading_after_contents(text: ColumnOrName, contents: str, heading: str) -> tuple[Column, Column]:
+def heading_after_contents(
+    text: ColumnOrName, within: ColumnOrName, contents=CONTENTS_HEADINGS, heading: str | None = None
+) -> tuple[Column, Column]:
     """Offsets of the first contents heading and of the first chapter after it.
 
-    The second is 0 unless both were found.
+    The second is 0 unless both were found and the contents heading lies in
+    the first ``within`` characters; most texts are dismissed on those alone.
     """
-    both = rf"(?s)^((.*?){contents}.*?){heading}"
-    return F.length(F.regexp_extract(col(text), both, 2)), F.length(F.regexp_extract(col(text), both, 1))
+    pattern = word_pattern(contents)
+    longest = max(map(len, contents))
+    opens = F.rlike(F.left(col(text), col(within) + longest + 1), F.lit(pattern))
+    both = rf"(?s)^((.*?){pattern}.*?){heading or heading_pattern()}"
+    found = lambda group: F.when(opens, F.length(F.regexp_extract(col(text), both, group))).otherwise(0)
+    return found(2), found(1)
 
 
 def noise_reason(c: ColumnOrName, min_chars: int = 150, max_ratio: float = 0.40, min_leaders: int = 2) -> Column:
@@ -166,7 +178,7 @@ def first_letter(c: ColumnOrName, strict: bool = False) -> Column:
 
 def truncate_words(c: ColumnOrName, max_tokens: int) -> Column:
     """Cut to a budget of white-space tokens, joined by single spaces."""
-    words = F.split(strip(c), f"[{SPACE_CLASS}]+")
+    words = F.split(strip(c), SPACE_RUN, max_tokens + 1)
     return F.array_join(F.slice(words, 1, max_tokens), " ")
 
 

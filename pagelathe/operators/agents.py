@@ -18,7 +18,7 @@ ABSTENTIONS = (
     "The provided sources do not contain enough information.",
 )
 
-ACTION_LINE = rf"(?m)^[{SPACE_CLASS}]*Action:[{SPACE_CLASS}]*(\w+)\((.*)\)[{SPACE_CLASS}]*$"
+ACTION_LINE = rf"(?mdU)^[{SPACE_CLASS}]*Action:[{SPACE_CLASS}]*(\w+)\((.*)\)[{SPACE_CLASS}]*$"
 REVISE_LINE = r"(?s)^REVISE:(.*)$"
 
 
@@ -27,8 +27,10 @@ BROADCAST_CELLS = 4_000_000
 
 
 def _grams(text: ColumnOrName, n: int) -> Column:
-    """All overlapping n-grams of the lower-cased text, in one pass over it."""
-    return F.regexp_extract_all(F.lower(col(text)), F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
+    """All overlapping n-grams of the lower-cased text: every n-th one from each of n starts."""
+    lowered = F.lower(col(text))
+    cut = lambda start: F.regexp_extract_all(F.substr(lowered, F.lit(start + 1)), F.lit(f"(?s).{{{n}}}"), F.lit(0))
+    return F.concat(*[cut(i) for i in range(n)])
 
 
 def fit_language_profiles(df: DataFrame, lang: str = "lang", text: str = "text", top: int = 1000, n: int = 3) -> DataFrame:

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelathe.functions.text import (
+    CONTENTS_HEADINGS,
+    END_HEADINGS,
     clean_text,
-    contents_pattern,
-    end_pattern,
     heading_after_contents,
     heading_pattern,
+    last_word_after,
     noise_reason,
     strip,
-    tail_start,
+    word_pattern,
 )
 
 CHUNK_SIZE = 800
@@ -58,8 +59,8 @@ def clean_documents(df: DataFrame, text: str = "text") -> DataFrame:
 def trim_boilerplate(
     df: DataFrame,
     text: str = "text",
-    end: str | None = None,
-    contents: str | None = None,
+    end: Sequence[str] = END_HEADINGS,
+    contents: Sequence[str] = CONTENTS_HEADINGS,
     heading: str | None = None,
 ) -> DataFrame:
     """Cut the back matter and the table of contents of each text.
@@ -69,15 +70,10 @@ def trim_boilerplate(
     heading lies in the first 20 % and the chapter before 30 %.  Both shares
     refer to the length before any cut.  Adds ``trimmed_front``/``trimmed_end``.
     """
-    end = end or end_pattern()
-    contents = contents or contents_pattern()
-    heading = heading or heading_pattern()
-    n = F.length(text)
-    tail = df.withColumns({"_n": n, "_tail": tail_start(text, end)}).withColumn(
-        "_cut", F.when(F.col("_tail") > F.lit(TAIL_SHARE) * F.col("_n"), F.col("_tail"))
-    )
-    body = tail.withColumn("_body", F.when(F.col("_cut").isNull(), F.col(text)).otherwise(F.left(text, "_cut")))
-    toc, start = heading_after_contents("_body", contents, heading)
+    share = lambda part: F.floor(F.lit(part) * F.col("_n")).cast("int")
+    measured = df.withColumn("_n", F.length(text)).withColumn("_cut", last_word_after(text, share(TAIL_SHARE), end))
+    body = measured.withColumn("_body", F.when(F.col("_cut").isNull(), F.col(text)).otherwise(F.left(text, "_cut")))
+    toc, start = heading_after_contents("_body", share(CONTENTS_SHARE), contents, heading)
     found = body.withColumns({"_toc": toc, "_start": start})
     skip = (
         (F.col("_start") > 0)
@@ -87,8 +83,8 @@ def trim_boilerplate(
     return (
         found.withColumn("trimmed_front", F.when(skip, F.col("_start")).otherwise(0))
         .withColumn("trimmed_end", F.coalesce(F.col("_n") - F.col("_cut"), F.lit(0)))
-        .withColumn(text, F.substr("_body", F.col("trimmed_front") + 1))
-        .drop("_n", "_tail", "_cut", "_body", "_toc", "_start")
+        .withColumn(text, F.when(F.col("trimmed_front") > 0, F.substr("_body", F.col("trimmed_front") + 1)).otherwise(F.col("_body")))
+        .drop("_n", "_cut", "_body", "_toc", "_start")
     )
 
 
@@ -97,8 +93,8 @@ def trim_parts(
     source: str = "source",
     part: str = "part_no",
     text: str = "text",
-    end: str | None = None,
-    contents: str | None = None,
+    end: Sequence[str] = END_HEADINGS,
+    contents: Sequence[str] = CONTENTS_HEADINGS,
     heading: str | None = None,
 ) -> DataFrame:
     """``trim_boilerplate`` for documents that span several rows.
@@ -107,25 +103,23 @@ def trim_parts(
     part are gathered per source; the texts stay where they are and are cut at
     offsets joined back to them.
     """
-    end = end or end_pattern()
-    contents = contents or contents_pattern()
-    heading = heading or heading_pattern()
-    first = lambda pattern: F.regexp_extract(text, rf"(?s)^(.*?)(?:{pattern})", 1)
+    toc_word, chapter = word_pattern(contents), heading or heading_pattern()
+    before = lambda pattern: F.length(F.regexp_extract(text, rf"(?s)^(.*?)(?:{pattern})", 1))
     has = lambda pattern: F.rlike(F.col(text), F.lit(pattern))
     facts = df.select(
         source,
         part,
         F.length(text).alias("_len"),
-        F.when(has(end), tail_start(text, end)).alias("_end"),
-        F.when(has(contents), F.length(first(contents))).alias("_toc"),
-        F.when(has(heading), F.length(first(heading))).alias("_head"),
-        F.nullif(heading_after_contents(text, contents, heading)[1], F.lit(0)).alias("_after"),
+        F.coalesce(last_word_after(text, F.lit(0), end), F.when(has(f"^(?:{word_pattern(end)})"), 0)).alias("_end"),
+        F.when(has(toc_word), before(toc_word)).alias("_toc"),
+        F.when(has(chapter), before(chapter)).alias("_head"),
+        F.nullif(heading_after_contents(text, F.length(text), contents, chapter)[1], F.lit(0)).alias("_after"),
     )
     earlier = Window.partitionBy(source).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     # Parts are joined by one newline, hence the extra character per part.
     placed = facts.withColumn("_at", F.coalesce(F.sum(F.col("_len") + 1).over(earlier), F.lit(0)))
     whole = placed.groupBy(source).agg(
-        (F.max(F.col("_at") + F.col("_len"))).alias("_n"),
+        F.max(F.col("_at") + F.col("_len")).alias("_n"),
         F.max(F.col("_at") + F.col("_end")).alias("_tail"),
         F.min(F.when(F.col("_toc").isNotNull(), F.struct(part, (F.col("_at") + F.col("_toc")).alias("at")))).alias("_toc"),
     )
@@ -133,20 +127,13 @@ def trim_parts(
     cut = F.when(F.col("_tail") > F.lit(TAIL_SHARE) * F.col("_n"), F.col("_tail")).otherwise(F.col("_n"))
     after = F.when(F.col(part) == F.col("_toc")[part], F.col("_after")).when(F.col(part) > F.col("_toc")[part], F.col("_head"))
     starts = measured.groupBy(source).agg(F.min(F.col("_at") + after).alias("_start"))
+    skip = (
+        (F.col("_toc")["at"] < F.lit(CONTENTS_SHARE) * F.col("_n"))
+        & (F.col("_start") < F.lit(HEADING_SHARE) * F.col("_n"))
+        & (F.col("_start") < cut)
+    )
     bounds = measured.join(starts, source).select(
-        source,
-        part,
-        "_at",
-        "_n",
-        cut.alias("_cut"),
-        F.when(
-            (F.col("_toc")["at"] < F.lit(CONTENTS_SHARE) * F.col("_n"))
-            & (F.col("_start") < F.lit(HEADING_SHARE) * F.col("_n"))
-            & (F.col("_start") < cut),
-            F.col("_start"),
-        )
-        .otherwise(0)
-        .alias("_front"),
+        source, part, "_at", "_n", cut.alias("_cut"), F.when(skip, F.col("_start")).otherwise(0).alias("_front")
     )
     lo = F.greatest(F.col("_front") - F.col("_at"), F.lit(0))
     hi = F.least(F.col("_cut") - F.col("_at"), F.length(text))

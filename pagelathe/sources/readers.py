@@ -62,3 +62,13 @@ def read_baselines(spark: SparkSession, path: str) -> DataFrame | None:
 
 def read_kb(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer tasks than cores out to all cores.
+
+    A few large files or row groups would leave text work to a few tasks.
+    Scans that already have enough tasks are returned as they are.
+    """
+    width = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(width) if df.rdd.getNumPartitions() < width else df

@@ -10,7 +10,7 @@ from pagelathe.functions import prompts as P
 from pagelathe.functions import text as X
 from pagelathe.operators import agents
 
-WS = X.SPACE_CLASS
+WS = "".join(f"\\x{{{ord(c):x}}}" for c in X.SPACES)
 WORD = r"\p{L}\p{N}_"
 
 
