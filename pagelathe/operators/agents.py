@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ ACTION_LINE = rf"(?mdU)^[{SPACE_CLASS}]*Action:[{SPACE_CLASS}]*(\w+)\((.*)\)[{SP
 REVISE_LINE = r"(?s)^REVISE:(.*)$"
 
 
-# Cells (grams times languages) up to which language profiles are broadcast.
-BROADCAST_CELLS = 4_000_000
+# Rows up to which language profiles travel to the tasks.
+PROFILE_ROWS = 200_000
 
 
 def _grams(text: ColumnOrName, n: int) -> Column:
@@ -48,31 +50,28 @@ def detect_language(
     text: str = "text",
     fallback: str | None = None,
     min_confidence: float = MIN_CONFIDENCE,
-    top: int = 1000,
     n: int = 3,
+    max_profile_rows: int = PROFILE_ROWS,
 ) -> DataFrame:
     """Language and confidence of every text by naive Bayes over n-grams.
 
     ``key, detected, confidence, lang``: ``lang`` is the detected one from
     ``min_confidence`` up, else the ``fallback`` column.  Texts without a known
-    n-gram have no detected language.  One row per text leaves the scan stage:
-    the grams are scored and summed where they were cut.
+    n-gram have no detected language.
+
+    Profiles within ``max_profile_rows`` (checked) go to the tasks and texts
+    are scored where they are, without a shuffle; larger ones are joined.
     """
     names = [f"_p{i}" for i in range(len(languages))]
-    kept = profiles.groupBy("gram").agg(
-        *[F.coalesce(F.sum(F.when(F.col("lang") == l, F.col("n"))), F.lit(0)).alias(c) for l, c in zip(languages, names)]
-    )
-    # The profiles hold at most ``top`` rows per language, so one window over them is bounded.
-    everything = Window.partitionBy()
-    model = kept.select(
-        "gram",
-        *[F.ln((F.col(c) + 1) / (F.sum(c).over(everything) + F.count("*").over(everything)).cast("double")).alias(c) for c in names],
-    )
-    if len(languages) ** 2 * top <= BROADCAST_CELLS:
-        model = F.broadcast(model)
-    carried = [F.col(fallback).alias("_fallback")] if fallback else [F.lit(None).cast("string").alias("_fallback")]
-    cut = df.select(key, *carried, F.explode_outer(_grams(text, n)).alias("gram"))
-    scored = cut.join(model, "gram", "left").groupBy(key).agg(F.max("_fallback").alias("_fallback"), *[F.sum(c).alias(c) for c in names])
+    texts = df.select(key, (F.col(fallback) if fallback else F.lit(None).cast("string")).alias("_fallback"), text)
+    known = profiles.select("lang", "gram", "n").limit(max_profile_rows + 1).toPandas()
+    if len(known) <= max_profile_rows:
+        scores = _score_in_place(df, known, languages, n)
+        scored = texts.withColumn("_s", scores(F.lower(text))).select(
+            key, "_fallback", *[F.get("_s", F.lit(i)).alias(c) for i, c in enumerate(names)]
+        )
+    else:
+        scored = _score_by_join(texts, profiles, languages, names, key, text, n)
     ranked = F.array_sort(F.array(*[F.struct((-F.col(c)).alias("cost"), F.lit(l).alias("lang")) for l, c in zip(languages, names)]))
     best = scored.withColumn("_best", ranked[0])
     total = sum((F.exp(F.col("_best.cost") + F.col(c)) for c in names), F.lit(0.0))
@@ -84,6 +83,57 @@ def detect_language(
     )
 
 
+def _codes(text: str, n: int) -> np.ndarray:
+    """Every n-gram of a text as one integer (21 bits per character, n up to 3)."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    size = max(len(points) - n + 1, 0)
+    code = np.zeros(size, dtype=np.int64)
+    for i in range(n):
+        code = (code << 21) | points[i : i + size]
+    return code
+
+
+def _score_in_place(df: DataFrame, known: pd.DataFrame, languages: list[str], n: int):
+    """UDF: lower-cased text to the log-likelihood per language, null without a known gram."""
+    if n > 3:
+        raise ValueError("grams of more than 3 characters do not fit one integer")
+    counts = known.pivot_table(index="gram", columns="lang", values="n", aggfunc="sum", fill_value=0)
+    counts = counts.reindex(columns=languages, fill_value=0)
+    logs = np.log((counts.to_numpy() + 1) / (counts.to_numpy().sum(axis=0) + len(counts)))
+    codes = np.array([_codes(g, n)[0] for g in counts.index], dtype=np.int64)
+    order = np.argsort(codes)
+    shared = df.sparkSession.sparkContext.broadcast((codes[order], logs[order]))
+
+    def score(text: str) -> list | None:
+        vocabulary, weights = shared.value
+        grams = _codes(text, n)
+        at = np.minimum(np.searchsorted(vocabulary, grams), len(vocabulary) - 1)
+        hits = at[vocabulary[at] == grams]
+        return (np.bincount(hits, minlength=len(vocabulary)) @ weights).tolist() if len(hits) else None
+
+    @F.pandas_udf("array<double>")
+    def scores(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: score(t) if t else None)
+
+    return scores
+
+
+def _score_by_join(
+    texts: DataFrame, profiles: DataFrame, languages: list[str], names: list[str], key: str, text: str, n: int
+) -> DataFrame:
+    """The same sums by joining the grams of all texts with the profiles."""
+    kept = profiles.groupBy("gram").agg(
+        *[F.coalesce(F.sum(F.when(F.col("lang") == l, F.col("n"))), F.lit(0)).alias(c) for l, c in zip(languages, names)]
+    )
+    total = kept.agg(F.struct(F.count("*").alias("v"), *[F.sum(c).alias(c) for c in names])).scalar()
+    model = kept.select("gram", *[F.ln((F.col(c) + 1) / (total[c] + total["v"]).cast("double")).alias(c) for c in names])
+    # Counting each text's grams first shortens what is shuffled to the profiles.
+    cut = texts.select(key, "_fallback", F.explode_outer(_grams(text, n)).alias("gram"))
+    counted = cut.groupBy(key, "_fallback", "gram").agg(F.count("*").alias("_n"))
+    weighted = [F.sum(F.col("_n") * F.col(c)).alias(c) for c in names]
+    return counted.join(model, "gram", "left").groupBy(key, "_fallback").agg(*weighted)
+
+
 def route(df: DataFrame, lang: str = "lang") -> DataFrame:
     """Tool by language: Turkish goes to the book base, all else to the encyclopedia."""
     return df.withColumn("tool", F.when(F.col(lang) == "tr", RETRIEVAL_TOOLS[0]).otherwise(RETRIEVAL_TOOLS[1]))
@@ -113,7 +163,8 @@ def round_guard(
     Long conversations are cut into turn segments that exchange counts only.
     """
     marked = with_segments(actions, "turn", width).withColumn("_retrieval", F.col("tool").isin(*RETRIEVAL_TOOLS))
-    place = F.struct("turn", "action_no")
+    # One number per place, so that its minimum can be hash-aggregated.
+    place = F.shiftleft(F.col("turn").cast("bigint"), 31) + F.col("action_no")
     whole = Window.partitionBy(key)
     earlier = whole.orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     carried = (

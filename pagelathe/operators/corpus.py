@@ -118,23 +118,25 @@ def trim_parts(
     earlier = Window.partitionBy(source).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     # Parts are joined by one newline, hence the extra character per part.
     placed = facts.withColumn("_at", F.coalesce(F.sum(F.col("_len") + 1).over(earlier), F.lit(0)))
-    whole = placed.groupBy(source).agg(
-        F.max(F.col("_at") + F.col("_len")).alias("_n"),
-        F.max(F.col("_at") + F.col("_end")).alias("_tail"),
-        F.min(F.when(F.col("_toc").isNotNull(), F.struct(part, (F.col("_at") + F.col("_toc")).alias("at")))).alias("_toc"),
+    whole = Window.partitionBy(source)
+    toc_at = F.struct(part, (F.col("_at") + F.col("_toc")).alias("at"))
+    measured = placed.select(
+        "*",
+        F.max(F.col("_at") + F.col("_len")).over(whole).alias("_n"),
+        F.max(F.col("_at") + F.col("_end")).over(whole).alias("_tail"),
+        F.min(F.when(F.col("_toc").isNotNull(), toc_at)).over(whole).alias("_opens"),
+    )
+    after = F.when(F.col(part) == F.col("_opens")[part], F.col("_after")).when(
+        F.col(part) > F.col("_opens")[part], F.col("_head")
     )
-    measured = placed.drop("_toc").join(whole, source)
     cut = F.when(F.col("_tail") > F.lit(TAIL_SHARE) * F.col("_n"), F.col("_tail")).otherwise(F.col("_n"))
-    after = F.when(F.col(part) == F.col("_toc")[part], F.col("_after")).when(F.col(part) > F.col("_toc")[part], F.col("_head"))
-    starts = measured.groupBy(source).agg(F.min(F.col("_at") + after).alias("_start"))
+    started = measured.withColumns({"_start": F.min(F.col("_at") + after).over(whole), "_cut": cut})
     skip = (
-        (F.col("_toc")["at"] < F.lit(CONTENTS_SHARE) * F.col("_n"))
+        (F.col("_opens")["at"] < F.lit(CONTENTS_SHARE) * F.col("_n"))
         & (F.col("_start") < F.lit(HEADING_SHARE) * F.col("_n"))
-        & (F.col("_start") < cut)
-    )
-    bounds = measured.join(starts, source).select(
-        source, part, "_at", "_n", cut.alias("_cut"), F.when(skip, F.col("_start")).otherwise(0).alias("_front")
+        & (F.col("_start") < F.col("_cut"))
     )
+    bounds = started.select(source, part, "_at", "_n", "_cut", F.when(skip, F.col("_start")).otherwise(0).alias("_front"))
     lo = F.greatest(F.col("_front") - F.col("_at"), F.lit(0))
     hi = F.least(F.col("_cut") - F.col("_at"), F.length(text))
     return (

@@ -80,7 +80,7 @@ def document_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _exam_parts(spark: SparkSession, sf: str) -> dict[str, Column]:
-    word = lambda i: F.get(F.split("text", " "), F.lit(i))
+    word = lambda i: F.get(F.split("text", " ", 6), F.lit(i))
     options = [
         word(0),
         by_remainder("doc_id", 3, {0: ""}, word(1)),
@@ -120,7 +120,7 @@ def exam_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 def benchmark_questions(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark passages as questions with their first words as choices."""
-    words = F.split("text", " ")
+    words = F.split("text", " ", 6)
     choices = F.array(*[F.struct(F.lit(c).alias("letter"), F.get(words, F.lit(i)).alias("text")) for i, c in enumerate("ABCDE")])
     answer = F.substr(F.lit("ABCDE"), (F.col("item_id") % 5 + 1).cast("int"), F.lit(1))
     return table(spark, sf, "benchmark").select(

@@ -216,11 +216,13 @@ def articles_topk(spark, sf):
 
 
 def _document_kb(spark, sf):
+    """Documents as a stored knowledge base: searched and read back without cutting them again."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     kept = corpus.drop_noise(corpus.chunk_by_stride(docs))
-    # Readable ids for the SQL twin; a knowledge base uses hashed ids.
+    # Readable ids for the SQL twin; chunks_from_documents hashes them instead.
     numbered = kept.withColumn("chunk_id", F.col("doc_id") * 100_000 + F.col("chunk_no"))
-    return models.batch_embed(numbered.withColumn("embed_text", X.add_prefix("text")), inputs.load_letter_embedder)
+    chunks = numbered.withColumn("embed_text", X.add_prefix("text"))
+    return knowledge.build_knowledge_base(chunks, inputs.load_letter_embedder, _folder(spark, "kb"))
 
 
 def rag_context(spark, sf):
