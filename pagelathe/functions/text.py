@@ -110,8 +110,7 @@ def last_word_after(text: ColumnOrName, start: ColumnOrName, words=END_HEADINGS)
     Only the text from ``start`` on is searched.
     """
     rest = F.substr(col(text), col(start) + 1)
-    before = F.length(F.regexp_extract(rest, rf"(?s)^(.+){word_pattern(words)}", 1))
-    return F.when(before > 0, col(start) + before)
+    return col(start) + F.length(F.regexp_substr(rest, F.lit(rf"(?s)^.+(?={word_pattern(words)})")))
 
 
 def heading_after_contents(
