@@ -20,6 +20,7 @@ from pagelathe.functions.text import (
     strip,
     word_pattern,
 )
+from pagelathe.operators.ordered import whole_quotient
 
 CHUNK_SIZE = 800
 CHUNK_OVERLAP = 120
@@ -39,13 +40,17 @@ def assemble_documents(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFr
     further rows, which ``trim_boilerplate`` measures as one document.
     """
     return (
-        pages.withColumn("part_no", F.floor(F.col("page_no") / part_pages).cast("bigint"))
+        pages.withColumn("part_no", whole_quotient(F.col("page_no").cast("bigint"), part_pages))
         .groupBy("source", "part_no")
         .agg(F.sort_array(F.collect_list(F.struct("page_no", F.coalesce("text", F.lit("")).alias("text")))).alias("_pages"))
         .select("source", "part_no", F.array_join(F.col("_pages.text"), "\n").alias("text"))
     )
 
 
+def in_source_order(df: DataFrame) -> DataFrame:
+    return df.orderBy("source", "part_no")
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"no {what} found")

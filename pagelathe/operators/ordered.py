@@ -16,6 +16,11 @@ SEGMENT = "_segment"
 SEGMENT_WIDTH = 65_536
 
 
+def whole_quotient(a: Column, b: Column | int) -> Column:
+    """Integer division; floor of ``/`` would pass large ids through a double."""
+    return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)
+
+
 def top_n_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None, salts: int = 64
 ) -> DataFrame:
@@ -41,13 +46,13 @@ def top_n_per_group(
 def with_segments(df: DataFrame, order_by: str, width: int | Column = SEGMENT_WIDTH, name: str = SEGMENT) -> DataFrame:
     """Segment number by value: rows with unique integer order values fill a
     segment with at most ``width`` rows per key."""
-    step = F.lit(width) if isinstance(width, int) else width
-    return df.withColumn(name, F.floor(F.col(order_by) / step).cast("bigint"))
+    return df.withColumn(name, whole_quotient(F.col(order_by).cast("bigint"), width))
 
 
 def spanning_width(df: DataFrame, order_by: str, segments: int = 1_000_000) -> Column:
     """Segment width that covers the value range with at most ``segments``."""
-    span = F.max(order_by).cast("bigint") - F.min(order_by).cast("bigint") + 1
+    # In doubles: hashed ids span more than a bigint holds.
+    span = F.max(order_by).cast("double") - F.min(order_by).cast("double") + 1
     wanted = F.ceil(span / F.lit(float(segments))).cast("bigint")
     return df.agg(F.greatest(F.lit(SEGMENT_WIDTH).cast("bigint"), wanted)).scalar()
 
@@ -85,7 +90,7 @@ def with_blocks(df: DataFrame, position: str, halo: int, block: int = SEGMENT_WI
     into the next one with ``_halo`` true, to be dropped after the window ran.
     """
     at = F.col(position) - 1
-    own = F.floor(at / block).cast("bigint")
+    own = whole_quotient(at, block)
     near_end = at % block >= block - halo
     homes = F.when(
         near_end,
@@ -102,7 +107,7 @@ def batch_rows(df: DataFrame, n: int, order_by: str, width: int | Column | None
     fields = [c for c in df.columns]
     numbered = with_positions(df, [], order_by, width, "_position")
     return (
-        numbered.withColumn("batch_no", F.floor((F.col("_position") - 1) / n).cast("bigint"))
+        numbered.withColumn("batch_no", whole_quotient(F.col("_position") - 1, n))
         .groupBy("batch_no")
         .agg(F.sort_array(F.collect_list(F.struct("_position", *fields))).alias("_rows"))
         .select(

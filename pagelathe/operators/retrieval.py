@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,36 +41,44 @@ def small_query_count(queries: DataFrame, vector: str = "embedding", max_compone
     return count_up_to(queries.select(F.lit(1)), max_components // max(1, first[0] if first else 1))
 
 
-def _nearest(queries: np.ndarray, base: np.ndarray, ids: np.ndarray, k: int, best: pd.DataFrame | None) -> pd.DataFrame:
-    """Merge the ``k`` nearest rows of ``base`` per query into ``best``.
+class _Nearest:
+    """Running top ``k`` per query over blocks of base rows."""
 
-    A matrix product finds the candidates; their distances are then summed
-    term by term, because the product formula loses the digits that ties need.
-    """
-    q_norm, b_norm = (queries**2).sum(1), (base**2).sum(1)
-    rough = q_norm[:, None] + b_norm[None, :] - 2.0 * queries @ base.T
-    kth = min(k, base.shape[0]) - 1
-    bound = np.partition(rough, kth, axis=1)[:, kth]
-    slack = 1e-9 * (1.0 + q_norm + b_norm.max())
-    qi, bi = np.nonzero(rough <= (bound + slack)[:, None])
-    exact = np.empty(len(qi))
-    for at in range(0, len(qi), REFINE_PAIRS):
-        part = slice(at, at + REFINE_PAIRS)
-        diff = queries[qi[part]] - base[bi[part]]
-        exact[part] = np.einsum("ij,ij->i", diff, diff)
-    found = pd.DataFrame({"q": qi, "id": ids[bi], "d2": exact.round(DECIMALS)})
-    both = found if best is None else pd.concat([best, found], ignore_index=True)
-    ordered = both.sort_values(["q", "d2", "id"], kind="stable")
-    return ordered.groupby("q", sort=False).head(k)
-
-
-def _scan(queries: np.ndarray, batches: Iterator[tuple[np.ndarray, np.ndarray]], k: int) -> pd.DataFrame | None:
-    best = None
-    step = max(1, MATRIX_CELLS // max(1, len(queries)))
-    for ids, vectors in batches:
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.norms = (queries**2).sum(1)
+        self.limit = np.full(len(queries), np.inf)
+        self.best = pd.DataFrame({"q": [], "id": [], "d2": []}).astype({"q": "int64", "id": "int64", "d2": "float64"})
+
+    def add(self, ids: np.ndarray, base: np.ndarray) -> None:
+        step = max(1, MATRIX_CELLS // max(1, len(self.queries)))
         for at in range(0, len(ids), step):
-            best = _nearest(queries, vectors[at : at + step], ids[at : at + step], k, best)
-    return best
+            self._merge(ids[at : at + step], base[at : at + step])
+
+    def _merge(self, ids: np.ndarray, base: np.ndarray) -> None:
+        """A matrix product finds the candidates; their distances are then
+        summed term by term, as the product loses the digits that ties need."""
+        norms = (base**2).sum(1)
+        rough = self.norms[:, None] + norms[None, :] - 2.0 * self.queries @ base.T
+        bound = self.limit
+        if len(base) > self.k:
+            bound = np.minimum(bound, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
+        slack = 1e-9 * (1.0 + self.norms + norms.max())
+        qi, bi = np.nonzero(rough <= (bound + slack)[:, None])
+        exact = np.empty(len(qi))
+        for at in range(0, len(qi), REFINE_PAIRS):
+            part = slice(at, at + REFINE_PAIRS)
+            diff = self.queries[qi[part]] - base[bi[part]]
+            exact[part] = np.einsum("ij,ij->i", diff, diff)
+        found = pd.DataFrame({"q": qi, "id": ids[bi], "d2": exact.round(DECIMALS)})
+        ordered = pd.concat([self.best, found], ignore_index=True).sort_values(["q", "d2", "id"], kind="stable")
+        self.best = ordered.groupby("q", sort=False).head(self.k)
+        full = self.best.groupby("q")["d2"].agg(["size", "max"])
+        full = full[full["size"] == self.k]
+        self.limit[full.index.to_numpy()] = full["max"].to_numpy()
+
+    def hits(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return names[self.best["q"].to_numpy()], self.best["id"].to_numpy(), self.best["d2"].to_numpy()
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -114,14 +123,16 @@ def _knn_shipped(q: DataFrame, b: DataFrame, k: int, query_id: str, chunk_id: st
         return b.sparkSession.createDataFrame([], schema)
     shared = b.sparkSession.sparkContext.broadcast((rows[query_id].to_numpy(), _matrix(rows[vector])))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = shared.value
-        read = ((p[chunk_id].to_numpy(), _matrix(p[vector])) for p in batches if len(p))
-        best = _scan(matrix, read, k)
-        if best is not None:
-            yield pd.DataFrame({query_id: names[best["q"]], chunk_id: best["id"], "_d2": best["d2"]})
+        nearest = _Nearest(matrix, k)
+        for batch in batches:
+            if batch.num_rows:
+                flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                nearest.add(batch.column(0).to_numpy(), flat.reshape(batch.num_rows, -1).astype(np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in nearest.hits(names)], [query_id, chunk_id, "_d2"])
 
-    return b.mapInPandas(scan, schema)
+    return b.mapInArrow(scan, schema)
 
 
 def _knn_blocked(q: DataFrame, b: DataFrame, k: int, query_id: str, chunk_id: str, vector: str, block_rows: int) -> DataFrame:
@@ -137,8 +148,9 @@ def _knn_blocked(q: DataFrame, b: DataFrame, k: int, query_id: str, chunk_id: st
     def meet(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         if ours.empty or theirs.empty:
             return pd.DataFrame({query_id: [], chunk_id: [], "_d2": []})
-        best = _scan(_matrix(ours["_v"]), iter([(theirs["_id"].to_numpy(), _matrix(theirs["_v"]))]), k)
-        return pd.DataFrame({query_id: ours["_id"].to_numpy()[best["q"]], chunk_id: best["id"], "_d2": best["d2"]})
+        nearest = _Nearest(_matrix(ours["_v"]), k)
+        nearest.add(theirs["_id"].to_numpy(), _matrix(theirs["_v"]))
+        return pd.DataFrame(dict(zip((query_id, chunk_id, "_d2"), nearest.hits(ours["_id"].to_numpy()))))
 
     return (
         left.groupBy("_qb", "_bb")

@@ -60,6 +60,7 @@ def test_assemble(spark):
     assert got == {("a", 0): "x", ("b", 0): "zero\n\ntwo\nten"}
     got = {(r.source, r.part_no): r.text for r in corpus.assemble_documents(df, part_pages=2).collect()}
     assert got == {("a", 0): "x", ("b", 0): "zero\n", ("b", 1): "two", ("b", 5): "ten"}
+    assert [r.source for r in corpus.in_source_order(corpus.assemble_documents(df)).collect()] == ["a", "b"]
     with pytest.raises(ValueError):
         corpus.require_rows(df.limit(0), "pages")
 

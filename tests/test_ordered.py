@@ -22,6 +22,13 @@ def test_batches_last_short_and_empty(spark):
     assert ordered.batch_rows(spark.range(0), 4, "id").count() == 0
 
 
+def test_batches_over_hashed_ids(spark):
+    ids = spark.range(200).select(F.xxhash64("id").alias("h"))
+    rows = ordered.batch_rows(ids, 7, "h").orderBy("batch_no").collect()
+    flat = [r.h for b in rows for r in b.rows]
+    assert flat == sorted(r.h for r in ids.collect()) and min(flat) < -(2**62) and max(flat) > 2**62
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_top_n_with_a_hot_group(spark, parts):
     df = spark.range(300).select(F.when(F.col("id") < 250, "hot").otherwise("cold").alias("k"), "id").repartition(parts)

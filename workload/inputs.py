@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelathe.operators.ordered import whole_quotient
 from pagelathe.sources.readers import spread
 
 NBSP = "\u00a0"
@@ -31,10 +32,11 @@ def by_remainder(key: str, n: int, cases: dict[int, Column | str | None], otherw
 
 def raw_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Neighbouring documents as the two sides of a pair, with padded, blank and null sides."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    # Grouping moves the rows anyway, so they are not dealt out first.
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     padded = F.concat(F.lit("\t "), F.col("text"), F.lit(NBSP))
     side = by_remainder("doc_id", 13, {0: None}, by_remainder("doc_id", 11, {0: " \n\t"}, padded))
-    pair = F.floor(F.col("doc_id") / 2).cast("bigint")
+    pair = whole_quotient(F.col("doc_id"), 2)
     odd = F.col("doc_id") % 2 == 1
     pairs = docs.select("doc_id", pair.alias("ex_id"), side.alias("side")).groupBy("ex_id").agg(
         F.first(F.when(~odd, F.col("side")), ignorenulls=True).alias("en"),
@@ -62,7 +64,7 @@ def noisy_documents(spark: SparkSession, sf: str) -> DataFrame:
 def headed_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with contents, chapter and end headings in and out of the guarded places."""
     text = F.col("text")
-    half, tenth = F.floor(F.length(text) / 2).cast("int"), F.floor(F.length(text) / 10).cast("int")
+    half, tenth = (whole_quotient(F.length(text), n).cast("int") for n in (2, 10))
     front = F.concat(F.lit("İçindekiler "), F.left(text, tenth), F.lit("\n1 . Ünite\n"), text)
     back = F.concat(F.lit("\nKaynakça\n"), F.left(text, tenth))
     middle = F.concat(F.left(text, half), F.lit(" DİZİN "), F.substr(text, half + 1))

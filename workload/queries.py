@@ -406,7 +406,7 @@ def lang_match(spark, sf):
         )
     )
     found = agents.detect_language(sides, profiles, names, "key")
-    both = found.groupBy((F.floor(F.col("key") / 2)).cast("bigint").alias("exchange")).agg(
+    both = found.groupBy(ordered.whole_quotient(F.col("key"), 2).alias("exchange")).agg(
         F.max(F.when(F.col("key") % 2 == 0, F.col("detected"))).alias("question_lang"),
         F.max(F.when(F.col("key") % 2 == 1, F.col("detected"))).alias("answer_lang"),
     )
