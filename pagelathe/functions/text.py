@@ -75,13 +75,22 @@ def ascii_digits(c: ColumnOrName) -> Column:
     return F.translate(col(c), _FOREIGN_DIGITS, _ASCII_DIGITS)
 
 
+# The steps of cleaning in order: pattern, replacement, and substrings without
+# which the pattern changes nothing (none: always try).
+CLEANING = (
+    ("\r", "", ("\r",)),
+    (HYPHEN_BREAK, "", ("-\n",)),
+    (PAGE_NUMBER_LINE, "", ()),
+    (BLANK_RUN, "\n\n", ("\n\n\n",)),
+    (GAP_RUN, " ", ("  ", "\t")),
+)
+
+
 def clean_text(c: ColumnOrName) -> Column:
     """Undo line-break hyphens, drop page-number lines, squeeze blanks."""
-    text = F.replace(col(c), F.lit("\r"), F.lit(""))
-    text = F.regexp_replace(text, HYPHEN_BREAK, "")
-    text = F.regexp_replace(text, PAGE_NUMBER_LINE, "")
-    text = F.regexp_replace(text, BLANK_RUN, "\n\n")
-    text = F.regexp_replace(text, GAP_RUN, " ")
+    text = col(c)
+    for pattern, replacement, _ in CLEANING:
+        text = F.regexp_replace(text, pattern, replacement)
     return strip(text)
 
 
@@ -135,12 +144,15 @@ def noise_reason(c: ColumnOrName, min_chars: int = 150, max_ratio: float = 0.40,
     The branches of CASE run in order, so the costly symbol count only sees
     chunks that passed the cheap tests.
     """
-    s = strip(c)
-    symbols = F.length(F.regexp_replace(s, TEXT_CHARS, ""))
+    c = col(c)
+    # Outer white space matters to the length alone.
+    n = F.length(strip(c))
+    symbols = F.length(F.regexp_replace(c, TEXT_CHARS, ""))
+    leaders = F.contains(c, F.lit("...")) & (F.regexp_count(c, F.lit(DOT_LEADER)) >= min_leaders)
     return (
-        F.when(F.length(s) < min_chars, "short")
-        .when(F.regexp_count(s, F.lit(DOT_LEADER)) >= min_leaders, "dot_leaders")
-        .when(F.try_divide(symbols.cast("double"), F.length(s)) > F.lit(float(max_ratio)), "symbols")
+        F.when(n < min_chars, "short")
+        .when(leaders, "dot_leaders")
+        .when(F.try_divide(symbols.cast("double"), n) > F.lit(float(max_ratio)), "symbols")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +26,8 @@ ACTION_LINE = rf"(?mdU)^[{SPACE_CLASS}]*Action:[{SPACE_CLASS}]*(\w+)\((.*)\)[{SP
 REVISE_LINE = r"(?s)^REVISE:(.*)$"
 
 
+# Characters whose grams are counted at once.
+COUNT_CHARS = 4_000_000
 # Rows up to which language profiles travel to the tasks.
 PROFILE_ROWS = 200_000
 
@@ -36,10 +40,41 @@ def _grams(text: ColumnOrName, n: int) -> Column:
 
 
 def fit_language_profiles(df: DataFrame, lang: str = "lang", text: str = "text", top: int = 1000, n: int = 3) -> DataFrame:
-    """Most frequent character n-grams per language: ``lang, gram, n``."""
-    grams = df.select(lang, F.explode_outer(_grams(text, n)).alias("gram")).where(F.col("gram").isNotNull())
-    counts = grams.groupBy(lang, "gram").agg(F.count("*").alias("n"))
-    return top_n_per_group(counts, [lang], [F.col("n").desc(), F.col("gram")], top)
+    """Most frequent character n-grams per language: ``lang, gram, n``.
+
+    Grams are counted per Arrow batch as integers, so only distinct ones leave
+    the scan; Spark sums the counts and keeps the ``top`` of each language.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, texts in batch.groupby("lang")["text"]:
+                for part in _runs(texts, COUNT_CHARS):
+                    codes, times = np.unique(np.concatenate([_codes(t, n) for t in part]), return_counts=True)
+                    yield pd.DataFrame({"lang": name, "code": codes, "n": times})
+
+    @F.pandas_udf("string")
+    def spelled(codes: pd.Series) -> pd.Series:
+        return codes.map(lambda c: "".join(chr(c >> (21 * i) & 0x1FFFFF) for i in reversed(range(n))))
+
+    labelled = df.select(F.col(lang).alias("lang"), F.lower(text).alias("text")).dropna()
+    counts = labelled.mapInPandas(count, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    # Codes order like the grams they stand for.
+    kept = top_n_per_group(counts, ["lang"], [F.col("n").desc(), F.col("code")], top)
+    return kept.select("lang", spelled("code").alias("gram"), "n")
+
+
+def _runs(texts: pd.Series, chars: int) -> Iterator[list[str]]:
+    """Consecutive texts of together at least ``chars`` characters."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text)
+        if size >= chars:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
 
 
 def detect_language(
@@ -84,7 +119,9 @@ def detect_language(
 
 
 def _codes(text: str, n: int) -> np.ndarray:
-    """Every n-gram of a text as one integer (21 bits per character, n up to 3)."""
+    """Every n-gram of a text as one integer, 21 bits per character."""
+    if n > 3:
+        raise ValueError("grams of more than 3 characters do not fit one integer")
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     size = max(len(points) - n + 1, 0)
     code = np.zeros(size, dtype=np.int64)
@@ -95,8 +132,6 @@ def _codes(text: str, n: int) -> np.ndarray:
 
 def _score_in_place(df: DataFrame, known: pd.DataFrame, languages: list[str], n: int):
     """UDF: lower-cased text to the log-likelihood per language, null without a known gram."""
-    if n > 3:
-        raise ValueError("grams of more than 3 characters do not fit one integer")
     counts = known.pivot_table(index="gram", columns="lang", values="n", aggfunc="sum", fill_value=0)
     counts = counts.reindex(columns=languages, fill_value=0)
     logs = np.log((counts.to_numpy() + 1) / (counts.to_numpy().sum(axis=0) + len(counts)))

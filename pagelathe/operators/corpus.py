@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelathe.functions.text import (
+    CLEANING,
     CONTENTS_HEADINGS,
     END_HEADINGS,
-    clean_text,
     heading_after_contents,
     heading_pattern,
     last_word_after,
@@ -30,6 +32,8 @@ TAIL_SHARE = 0.70
 CONTENTS_SHARE = 0.20
 HEADING_SHARE = 0.30
 PART_PAGES = 16_384
+# Characters of chunks handed back to Spark at once.
+LOT_CHARS = 8_000_000
 
 
 def assemble_documents(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
@@ -58,7 +62,14 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def clean_documents(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.withColumn(text, clean_text(text))
+    """``clean_text`` in steps, each skipped for texts it cannot change."""
+    for pattern, replacement, signs in CLEANING:
+        changed = F.regexp_replace(text, pattern, replacement)
+        if signs:
+            present = reduce(or_, [F.contains(F.col(text), F.lit(s)) for s in signs])
+            changed = F.when(present, changed).otherwise(F.col(text))
+        df = df.withColumn(text, changed)
+    return df.withColumn(text, strip(text))
 
 
 def trim_boilerplate(
@@ -223,15 +234,30 @@ def chunk_documents(
         raise ValueError("overlap must not exceed size")
     keep = [f for f in df.schema.fields if f.name != text]
     schema = T.StructType([*keep, T.StructField("chunk_no", T.LongType()), T.StructField("text", T.StringType())])
+    names = schema.names
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [split_text(t, size, overlap, separators) if t else [] for t in batch[text]]
-            out = batch.drop(columns=[text]).assign(text=parts, chunk_no=[list(range(len(p))) for p in parts])
-            out = out.explode(["text", "chunk_no"], ignore_index=True).dropna(subset=["text"])
-            yield out.astype({"chunk_no": "int64"})[schema.names]
-
-    return df.mapInPandas(cut, schema)
+            for origin, number, chunk in _in_lots(batch.column(text), lambda t: _chunks(t, 0, len(t), size, overlap, tuple(separators))):
+                carried = [batch.column(f.name).take(pa.array(origin)) for f in keep]
+                yield pa.RecordBatch.from_arrays([*carried, pa.array(number, pa.int64()), pa.array(chunk, pa.string())], names)
+
+    return df.mapInArrow(cut, schema)
+
+
+def _in_lots(texts: pa.Array, split) -> Iterator[tuple[list[int], list[int], list[str]]]:
+    """Row, number and chunk of every text, handed on before a lot grows large."""
+    lot, chars = ([], [], []), 0
+    for row, text in enumerate(texts):
+        for number, chunk in enumerate(split(text.as_py() or "")):
+            for column, value in zip(lot, (row, number, chunk)):
+                column.append(value)
+            chars += len(chunk)
+            if chars >= LOT_CHARS:
+                yield lot
+                lot, chars = ([], [], []), 0
+    if lot[0]:
+        yield lot
 
 
 def chunk_by_stride(df: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,10 +53,10 @@ def read_qa(spark: SparkSession, path: str) -> DataFrame:
 
 def read_baselines(spark: SparkSession, path: str) -> DataFrame | None:
     """Earlier scores as ``key, score`` from one flat JSON object; None if the file is absent or not an object of numbers."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
+    try:
+        text = spark.read.text(path, wholetext=True)
+    except AnalysisException:
         return None
-    text = spark.read.text(path, wholetext=True)
     scores = text.select(F.explode(F.from_json("value", "map<string,double>")).alias("key", "score"))
     return scores.where(F.col("score").isNotNull())
 

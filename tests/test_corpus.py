@@ -149,6 +149,15 @@ def test_stride_equals_recursive_without_separators(spark, n):
     assert got == corpus.split_text(text, 5, 2, [""])
 
 
+def test_chunks_leave_in_lots(spark, monkeypatch):
+    """Long texts are handed back piece by piece; other columns keep type and nulls."""
+    monkeypatch.setattr(corpus, "LOT_CHARS", 30)
+    df = spark.createDataFrame([(1, None, "word " * 40), (None, 2.5, "x")], "a bigint, b double, text string").coalesce(1)
+    rows = corpus.chunk_documents(df, 12, 0).collect()
+    assert [r.text for r in rows if r.a == 1] == corpus.split_text("word " * 40, 12, 0, corpus.SEPARATORS)
+    assert [(r.a, r.b, r.chunk_no, r.text) for r in rows if r.a is None] == [(None, 2.5, 0, "x")]
+
+
 def test_null_texts(spark):
     df = spark.createDataFrame([("s", None), ("t", "abc")], "source string, text string")
     assert corpus.chunk_documents(df).count() == corpus.chunk_by_stride(df).count() == 1

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagelathe.functions import text as X
+from pagelathe.operators import corpus
 
 
 def test_strip_knows_every_space(values):
@@ -44,7 +45,7 @@ def test_clean(values, given, expected):
     assert values(X.clean_text("c"), given) == [expected]
 
 
-def test_clean_against_python(values):
+def test_clean_against_python(spark, values):
     """Same result as the rules written with Python's own patterns."""
     texts = ["a-\nb -\n c\r\n 1 \n\n\n 22\x1c\n333\n\n\n\nx\t\t y  \n4\n5\n 6 \n7 8\n", "\n9", "q\n\n\n10\n\n\n", "é-\né 1\n2"]
 
@@ -54,6 +55,8 @@ def test_clean_against_python(values):
         return re.sub(r"[ \t]+", " ", re.sub(r"\n{3,}", "\n\n", t)).strip()
 
     assert values(X.clean_text("c"), *texts) == [by_hand(t) for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    assert [r.text for r in corpus.clean_documents(df).orderBy("i").collect()] == [by_hand(t) for t in texts]
 
 
 def test_noise(values):

@@ -352,8 +352,8 @@ def lang_route(spark, sf):
     profiles, names = _profiles(spark, sf)
     found = agents.detect_language(table(spark, sf, "documents"), profiles, names, "doc_id", fallback="lang")
     # The tables hold no Turkish; German stands in for it.
-    books, articles = agents.split_routes(agents.route(found.withColumn("lang", F.when(F.col("lang") == "de", "tr").otherwise(F.col("lang")))))
-    return books.unionByName(articles).groupBy("tool", "lang").agg(F.count("*").alias("n"))
+    routed = agents.route(found.withColumn("lang", F.when(F.col("lang") == "de", "tr").otherwise(F.col("lang"))))
+    return routed.groupBy("tool", "lang").agg(F.count("*").alias("n"))
 
 
 def trace_actions(spark, sf):
