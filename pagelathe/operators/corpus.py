@@ -277,12 +277,12 @@ def chunk_by_stride(df: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_
     windows = F.zip_with(
         F.slice("_b", F.lit(1), F.greatest(count - F.when(spare, 1).otherwise(0), F.lit(0))),
         F.slice("_b", F.lit(2), F.greatest(count - 1, F.lit(0))),
-        lambda own, following: F.concat(own, F.substring(F.coalesce(following, F.lit("")), 1, overlap)),
+        lambda own, following: strip(F.concat(own, F.substring(F.coalesce(following, F.lit("")), 1, overlap))),
     )
     # The outer form keeps the optimizer from testing the array in a filter of
     # its own, which would evaluate every expression behind it a second time.
     cut = blocks.select(*[c for c in df.columns if c != text], F.posexplode_outer(windows).alias("chunk_no", "text"))
-    return cut.withColumns({"chunk_no": F.col("chunk_no").cast("bigint"), "text": strip("text")}).where(F.col("text") != "")
+    return cut.withColumn("chunk_no", F.col("chunk_no").cast("bigint")).where(F.col("text") != "")
 
 
 def with_chunk_id(df: DataFrame, *keys: str) -> DataFrame:
