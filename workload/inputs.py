@@ -172,7 +172,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 def load_letter_embedder():
     def embed(texts):
-        return np.array([[t.lower().count(c) for c in ALPHABET] for t in texts], dtype=np.float64)
+        rows = [np.bincount(np.frombuffer(t.lower().encode(), dtype=np.uint8), minlength=256) for t in texts]
+        return np.array(rows, dtype=np.float64)[:, [ord(c) for c in ALPHABET]]
 
     return embed
 
