@@ -16,8 +16,8 @@ from pagelathe.operators.ordered import top_n_per_group
 TOP_K = 5
 ARTICLES_K = 2
 ARTICLE_CHARS = 1500
-# Largest query side that is shipped to every task, in vector components.
-BROADCAST_COMPONENTS = 8_000_000
+# Largest query side that is shipped to every task: some 60 MB at 768 dimensions.
+SHIPPED_QUERIES = 20_000
 BLOCK_ROWS = 20_000
 # Size of one distance matrix, and of one exact recomputation.
 MATRIX_CELLS = 4_000_000
@@ -35,10 +35,9 @@ def count_up_to(df: DataFrame, most: int) -> int | None:
     return None if n > most else n
 
 
-def small_query_count(queries: DataFrame, vector: str = "embedding", max_components: int = BROADCAST_COMPONENTS) -> int | None:
-    """Number of queries if their vectors fit ``max_components`` in all, else None."""
-    first = queries.select(F.size(vector)).head()
-    return count_up_to(queries.select(F.lit(1)), max_components // max(1, first[0] if first else 1))
+def small_query_count(queries: DataFrame, max_queries: int = SHIPPED_QUERIES) -> int | None:
+    """Number of queries if at most ``max_queries``, else None; vectors are not computed for it."""
+    return count_up_to(queries.select(F.lit(1)), max_queries)
 
 
 class _Nearest:
@@ -92,21 +91,21 @@ def knn_topk(
     query_id: str = "qa_id",
     chunk_id: str = "chunk_id",
     vector: str = "embedding",
-    max_components: int = BROADCAST_COMPONENTS,
+    max_queries: int = SHIPPED_QUERIES,
     block_rows: int = BLOCK_ROWS,
     n_queries: int | None = None,
 ) -> DataFrame:
     """``query_id, rank, chunk_id, distance`` of the exact Euclidean top ``k``.
 
     Ties go to the lower chunk id; nothing is de-duplicated.  The number of
-    queries decides the plan: up to ``max_components`` vector components the
-    query matrix travels to the tasks and the base is read in place, beyond
-    that both sides meet block by block.
+    queries decides the plan: up to ``max_queries`` the query matrix travels to
+    the tasks and the base is read in place, beyond that both sides meet block
+    by block.
     """
     q = queries.select(F.col(query_id).cast("bigint").alias(query_id), vector).where(F.col(vector).isNotNull())
     b = base.select(F.col(chunk_id).cast("bigint").alias(chunk_id), vector).where(F.col(vector).isNotNull())
     if n_queries is None:
-        n_queries = small_query_count(queries, vector, max_components)
+        n_queries = small_query_count(queries, max_queries)
     if n_queries is None:
         near = _knn_blocked(q, b, k, query_id, chunk_id, vector, block_rows)
     else:
@@ -184,7 +183,7 @@ def retrieve(
     text: str = "text",
 ) -> DataFrame:
     """Top ``k`` chunks per question with their text."""
-    n = small_query_count(queries, vector)
+    n = small_query_count(queries)
     hits = knn_topk(queries, chunks, k, query_id, chunk_id, vector, n_queries=n)
     return attach_text(hits, chunks, None if n is None else n * k, chunk_id, text)
 

@@ -40,7 +40,7 @@ def brute(queries, base, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"max_components": 8, "block_rows": 16}])
+@pytest.mark.parametrize("options", [{}, {"max_queries": 2, "block_rows": 16}])
 def test_both_plans_match_brute_force_with_hot_copies(spark, options, monkeypatch):
     """A third of the base is one vector; distances tie in bulk and ids decide."""
     monkeypatch.setattr(retrieval, "MATRIX_CELLS", 500)

@@ -204,7 +204,7 @@ def knn_blocked(spark, sf):
     vectors = table(spark, sf, "embeddings")
     asked = vectors.select(F.col("vec_id").alias("qa_id"), "embedding")
     base = vectors.select(F.col("vec_id").alias("chunk_id"), "embedding")
-    return _longs(_rounded(retrieval.knn_topk(asked, base, max_components=1, block_rows=300), "distance"), "rank")
+    return _longs(_rounded(retrieval.knn_topk(asked, base, max_queries=1, block_rows=300), "distance"), "rank")
 
 
 def articles_topk(spark, sf):
