@@ -32,6 +32,16 @@ def staged_path(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """A staged table in buckets of a column, so that joins on it need not move it."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelathe.llm import exact_dedup, licenses, mixing, token_files, warc
+from pagelathe.llm import decontaminate, exact_dedup, licenses, line_dedup, mixing, ngram_join, token_files, warc
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -22,6 +22,10 @@ def op1_bit_plane_tokens(spark, sf):
     return token_files.encode_documents(spark, table(spark, sf, "documents"), tokenizer_path())
 
 
+def op2_minhash_join(spark, sf):
+    return ngram_join.link_documents(table(spark, sf, "documents")).select(F.col("row.doc_id").alias("doc_id"), "class_id", "copy_id", "n_links")
+
+
 def op3_license_rules(spark, sf):
     return licenses.scan_licenses(table(spark, sf, "documents"))
 
@@ -30,13 +34,35 @@ def op4_heavy_hitter_dedup(spark, sf):
     return exact_dedup.mark_duplicates(table(spark, sf, "documents"))
 
 
+def op5_fuzzy_lines(spark, sf):
+    return line_dedup.dedup_lines(table(spark, sf, "documents"))
+
+
 def op6_pfair_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select(F.col("row.doc_id").alias("doc_id"), "source", "block_no", "slot", "position")
 
 
+def op8_simhash_windows(spark, sf):
+    rows = decontaminate.numbered(table(spark, sf, "documents").select("doc_id", "text"))
+    hits = decontaminate.contaminated(rows, table(spark, sf, "benchmark"))
+    return rows.select("no", "row.doc_id").join(hits, "no").drop("no")
+
+
 def op10_warc_chunks(spark, sf):
     found = warc.archive_pages(table(spark, sf, "pages"))
     return found.select(F.col("page_key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bit_plane_tokens, op3_license_rules, op4_heavy_hitter_dedup, op6_pfair_mixing, op10_warc_chunks)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bit_plane_tokens,
+        op2_minhash_join,
+        op3_license_rules,
+        op4_heavy_hitter_dedup,
+        op5_fuzzy_lines,
+        op6_pfair_mixing,
+        op8_simhash_windows,
+        op10_warc_chunks,
+    )
+}
