@@ -21,7 +21,9 @@ leaves nothing behind that a reader would see.
 from __future__ import annotations
 
 import json
+import os
 import re
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,6 +44,8 @@ END_ID = 1
 CACHE = 400_000
 #: Rows that are encoded before the ids of the first go into chunks.
 LOT = 256
+#: Words that go to the tokenizer at once.
+WORDS = 2_048
 TAILS = ".,*#$%&!?|"
 #: White space to Python but not to tokenizers, and signs of special tokens.
 ODD = re.compile("[\x1c-\x1f]|<[|]")
@@ -139,15 +143,26 @@ class Encoder:
     """
 
     def __init__(self, path: str, by_word: bool = True):
+        # Spark already keeps every core busy.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
         self.known: dict[str, bytes] = {}
 
+    @classmethod
+    def of_worker(cls, path: str, by_word: bool) -> Encoder:
+        """The encoder of this Python worker, which outlives a task and keeps what it knows."""
+        held = vars(sys).setdefault("_encoders", {})
+        if (path, by_word) not in held:
+            held[path, by_word] = cls(path, by_word)
+        return held[path, by_word]
+
     def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        # In small lots: results of the library take a hundred times the room of the ids.
+        lots = (texts[i : i + WORDS] for i in range(0, len(texts), WORDS))
+        return [np.array(e.ids, "<u4").tobytes() for lot in lots for e in self.tokenizer.encode_batch_fast(lot, add_special_tokens=False)]
 
     def _learn(self, words: set[str]) -> None:
         """Words not yet known; marks at a word's end are looked up apart."""
@@ -194,7 +209,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, order_by: li
             for start in range(0, batch.num_rows, LOT):
                 part = batch.slice(start, LOT)
                 if out is None:
-                    encode = Encoder(tokenizer, by_word)
+                    encode = Encoder.of_worker(tokenizer, by_word)
                     store, at = store_of(folder)
                     file_no, name = part.column(0)[0].as_py(), f"ids-{uuid.uuid4().hex}.bpl"
                     store.create_dir(at, recursive=True)
