@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelathe.llm import decontaminate, exact_dedup, licenses, line_dedup, mixing, ngram_join, token_files, warc
+from pagelathe.llm import decontaminate, exact_dedup, licenses, line_dedup, mixing, ngram_join, quality, token_files, warc
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -42,6 +42,11 @@ def op6_pfair_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select(F.col("row.doc_id").alias("doc_id"), "source", "block_no", "slot", "position")
 
 
+def op7_co_training(spark, sf):
+    found = quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return found.select("row.doc_id", *[F.round(c, 9).alias(c) for c in ("p_content", "p_metadata", "score")], "kept")
+
+
 def op8_simhash_windows(spark, sf):
     rows = decontaminate.numbered(table(spark, sf, "documents").select("doc_id", "text"))
     hits = decontaminate.contaminated(rows, table(spark, sf, "benchmark"))
@@ -62,6 +67,7 @@ QUERIES = {
         op4_heavy_hitter_dedup,
         op5_fuzzy_lines,
         op6_pfair_mixing,
+        op7_co_training,
         op8_simhash_windows,
         op10_warc_chunks,
     )
