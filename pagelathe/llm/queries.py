@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelathe.llm import decontaminate, exact_dedup, licenses, line_dedup, mixing, ngram_join, quality, token_files, warc
+from pagelathe.llm import decontaminate, exact_dedup, extraction, licenses, line_dedup, mixing, ngram_join, quality, token_files, warc
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -53,6 +53,11 @@ def op8_simhash_windows(spark, sf):
     return rows.select("no", "row.doc_id").join(hits, "no").drop("no")
 
 
+def op9_template_extraction(spark, sf):
+    found = extraction.extract_pages(table(spark, sf, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op10_warc_chunks(spark, sf):
     found = warc.archive_pages(table(spark, sf, "pages"))
     return found.select(F.col("page_key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
@@ -69,6 +74,7 @@ QUERIES = {
         op6_pfair_mixing,
         op7_co_training,
         op8_simhash_windows,
+        op9_template_extraction,
         op10_warc_chunks,
     )
 }
