@@ -1,3 +1,136 @@
-"""DuckDB SQL of the registered queries that SQL can express."""
+"""DuckDB SQL of the registered queries that SQL can express.
+
+The SQL follows the definitions, not the methods: similarity joins and windows
+compare everything, the mix is a recursion over slots.
+"""
+
+from __future__ import annotations
+
+from pagelathe.llm.licenses import RULES, SENTENCES
 
 ORACLE: dict[str, str] = {}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLE["op4_heavy_hitter_dedup"] = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, h AS text_sha256
+FROM d WINDOW w AS (PARTITION BY h)
+"""
+
+
+def _license_sql() -> str:
+    known = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in SENTENCES.items())
+    steps, flags = [], []
+    for n, (name, ids) in enumerate(RULES):
+        token = _quoted("".join(f",{i}," for i in ids))
+        source = f"r{n - 1}" if n else "seq"
+        kept = "".join(f", m{i}" for i in range(n))
+        steps.append(f"r{n} AS (SELECT doc_id, ids{kept}, contains(rest, {token}) AS m{n}, replace(rest, {token}, ',?,') AS rest FROM {source})")
+        flags.append(f"CASE WHEN m{n} THEN {_quoted(name)} END")
+    plain = "array_to_string(list_filter(string_split({0}, ','), lambda x: x <> '' AND x <> '?'), ',')"
+    return rf"""
+WITH known(s, id) AS (VALUES {known}),
+unwrapped AS (
+  SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '\r?\n[ \t]*([a-z(])', ' \1', 'g'), '([A-Z,;])[ \t]*\r?\n[ \t]*', '\1 ', 'g') AS t
+  FROM documents),
+cut AS (SELECT doc_id, regexp_split_to_array(t, '[.!?]+[\s)"'']+|[.!?:]*\s*\n\s*') AS parts FROM unwrapped),
+sentence AS (
+  SELECT doc_id, i, trim(regexp_replace(lower(parts[i]), '[^a-z0-9.]+', ' ', 'g'), ' .') AS s
+  FROM cut, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i)),
+named AS (SELECT doc_id, string_agg(',' || coalesce(id, '?') || ',', '' ORDER BY i) AS x FROM sentence LEFT JOIN known USING (s) GROUP BY doc_id),
+seq AS (SELECT doc_id, regexp_replace(x, '(,\?,)+', ',?,', 'g') AS ids, regexp_replace(x, '(,\?,)+', ',?,', 'g') AS rest FROM named),
+{", ".join(steps)}
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter([{", ".join(flags)}], lambda x: x IS NOT NULL))), ',') AS licenses,
+  {plain.format("ids")} AS sentences, {plain.format("rest")} AS unmatched
+FROM r{len(RULES) - 1}
+"""
+
+
+ORACLE["op3_license_rules"] = _license_sql()
+
+ORACLE["op6_pfair_mixing"] = """
+WITH RECURSIVE src AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1),
+w AS (SELECT source, floor(sqrt(n))::BIGINT AS weight FROM src),
+tot AS (SELECT sum(weight)::BIGINT AS w, count(*) AS s FROM w),
+base AS (SELECT source, ((1000 - tot.s) * weight) // tot.w AS b, ((1000 - tot.s) * weight) % tot.w AS r, tot.s AS s FROM w, tot),
+slots AS (SELECT source, (1 + b + CASE WHEN row_number() OVER (ORDER BY r DESC, source) <= 1000 - s - sum(b) OVER () THEN 1 ELSE 0 END)::BIGINT AS a FROM base),
+ord AS (SELECT list(source ORDER BY source) AS names, list(a ORDER BY source) AS a FROM slots),
+run(t, done, pick) AS (
+  SELECT -1::BIGINT, list_transform(a, lambda x: 0::BIGINT), 0::BIGINT FROM ord
+  UNION ALL
+  SELECT t + 1, list_transform(done, lambda d, i: CASE WHEN i = p THEN d + 1 ELSE d END), p
+  FROM (
+    SELECT t, done, list_min(list_transform(
+        list_filter(range(1, len(a) + 1), lambda i: (done[i] * 1000) // a[i] <= t + 1),
+        lambda i: (((done[i] + 1) * 1000 + a[i] - 1) // a[i]) * 100000 + i)) % 100000 AS p
+    FROM run, ord WHERE t < 999)),
+turns AS (SELECT t, names[pick] AS source, row_number() OVER (PARTITION BY names[pick] ORDER BY t) - 1 AS turn FROM run, ord WHERE t >= 0),
+nth AS (
+  SELECT doc_id, coalesce(source, '') AS source, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(doc_id::VARCHAR)) - 1 AS nth
+  FROM documents),
+placed AS (
+  SELECT doc_id, source, nth, nth // 32 AS block_no, ((nth // 32) // a) * 1000 + t AS slot
+  FROM nth JOIN slots USING (source) JOIN turns USING (source) WHERE turn = (nth // 32) % a)
+SELECT doc_id, source, block_no, slot, row_number() OVER (ORDER BY slot, nth) - 1 AS position FROM placed
+"""
+
+ORACLE["op10_warc_chunks"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS x, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS winner FROM pages),
+bits AS (
+  SELECT page_id, winner, strlen(x) AS size,
+    array_to_string(list_transform(string_split(sha1(x), ''), lambda c:
+      substr('0000000100100011010001010110011110001001101010111100110111101111', (strpos('0123456789abcdef', c) - 1) * 4 + 1, 4)), '') AS b
+  FROM p)
+SELECT page_id, size AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+    16 * substr(b, i * 5 + 1, 1)::INT + 8 * substr(b, i * 5 + 2, 1)::INT + 4 * substr(b, i * 5 + 3, 1)::INT + 2 * substr(b, i * 5 + 4, 1)::INT + substr(b, i * 5 + 5, 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = winner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = winner THEN NULL ELSE winner END AS refers_to
+FROM bits
+"""
+
+_GRAMS = """
+{0}_w AS (SELECT {1}, regexp_extract_all(lower(coalesce(text, '')), '[\\pL\\pN_]+') AS w FROM {2}),
+{0} AS (
+  SELECT {1}, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS s
+  FROM {0}_w, LATERAL (SELECT unnest(range(1, {3})) AS i) WHERE len(w) > 0)"""
+
+ORACLE["op2_minhash_join"] = f"""
+WITH RECURSIVE {_GRAMS.format("g", "doc_id", "documents", "greatest(len(w) - 4, 1) + 1")},
+sets AS (SELECT DISTINCT doc_id, s FROM g),
+size AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y, o = p.n AND o = q.n AS same
+  FROM pair JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE o >= 0.8 * (p.n + q.n - o) - 1e-9),
+reach(x, y) AS (SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y)
+SELECT doc_id, least(doc_id, (SELECT min(y) FROM reach WHERE x = doc_id)) AS class_id,
+  least(doc_id, (SELECT min(y) FROM link WHERE x = doc_id AND same)) AS copy_id, (SELECT count(*) FROM link WHERE x = doc_id) AS n_links
+FROM documents
+"""
+
+ORACLE["op8_simhash_windows"] = f"""
+WITH {_GRAMS.format("g", "doc_id", "documents", "len(w) - 4 + 1")},
+{_GRAMS.format("q", "item_id", "benchmark", "len(w) - 4 + 1")},
+b AS (SELECT item_id, s, count(*) AS c FROM q GROUP BY ALL),
+k AS (SELECT item_id, count(*) AS k FROM q GROUP BY ALL),
+near AS (SELECT DISTINCT doc_id, pos AS start FROM g WHERE s IN (SELECT s FROM b)),
+pair AS (SELECT DISTINCT doc_id, item_id FROM g JOIN b USING (s)),
+win AS (SELECT doc_id, item_id, start, k FROM pair JOIN near USING (doc_id) JOIN k USING (item_id)),
+held AS (
+  SELECT win.doc_id, win.item_id, start, k, g.s, count(*) AS c
+  FROM win JOIN g ON g.doc_id = win.doc_id AND g.pos BETWEEN start AND start + k - 1 GROUP BY ALL),
+sums AS (
+  SELECT doc_id, item_id, start, k, sum(held.c)::BIGINT AS n, sum(least(held.c, coalesce(b.c, 0)))::BIGINT AS o
+  FROM held LEFT JOIN b USING (item_id, s) GROUP BY ALL),
+sims AS (SELECT doc_id, item_id, start, n, o / (k + n - o) AS similarity FROM sums)
+SELECT doc_id, item_id, similarity, start, n AS n_shingles
+FROM sims WHERE similarity >= 0.8 - 1e-9
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
