@@ -29,6 +29,7 @@ NAMES = re.compile(
     r"|toolbar|pagination|pager|search|login|signup)(?:$|[\s_-])",
     re.I,
 )
+DEEP = 256
 DIGITS = re.compile(r"\d+")
 
 
@@ -99,8 +100,10 @@ def walk(page: str) -> Iterator[tuple[str, Node, str]]:
             continue
         around = stack[-1]
         values = _attributes(mark[3])
+        # Deeper elements go by the path of the last one, as their paths would only grow.
+        deep = len(stack) > DEEP
         label = tag + "".join(sign + DIGITS.sub("", values[k]).strip().replace("/", "").replace(" ", ".") for sign, k in ((".", "class"), ("#", "id")) if values.get(k))
-        node = Node(tag, f"{around.path}/{label}", around.aside or _aside(tag, values, mark[3], around.inside), around.inside or tag in ("article", "main"))
+        node = Node(tag, around.path if deep else f"{around.path}/{label}", around.aside or _aside(tag, values, mark[3], around.inside), around.inside or tag in ("article", "main"))
         stack.append(node)
         yield "open", node, ""
 
