@@ -1,11 +1,10 @@
 """Similarity links by MinHash bands: candidates, exact verification, groups.
 
-Items carry an array of band keys.  Items that share a band key become edges to
-the first item of that key; the components of these edges hold every pair that
-shares a band.  Inside a component each pair of blocks of items is one group of
-bounded size in which all pairs are compared on their full shingle sets, and
-which gives back one row per item: its number of links and its local root.  No
-pair of items is ever a row.
+Items that share a band key become edges to the first item of that key; the
+components of these edges hold every pair that shares a band.  Inside a
+component each pair of blocks of items is one group of bounded size in which all
+pairs are compared on their full shingle sets, and which gives back one row per
+item: its number of links and its local root.  No pair of items is ever a row.
 """
 
 from __future__ import annotations
@@ -73,9 +72,8 @@ def band_keys(minima: np.ndarray, rows: int, seed: int = 0) -> np.ndarray:
     return key.view(np.int64)
 
 
-def candidates(items: DataFrame) -> DataFrame:
-    """(node, component) of items (uid, bands) that share a band key with another."""
-    keys = items.select("uid", F.explode("bands").alias("band"))
+def candidates(keys: DataFrame) -> DataFrame:
+    """(node, component) of the items in a written table (uid, band) that share a band key."""
     # Keys that may be frequent get their first item from one small table, so
     # that no task sorts all their rows; the others are settled by one shuffle.
     nominated = keys.selectExpr(f"approx_top_k(band, {HEAVY_KEYS}, {COUNTERS}) AS top").select(F.explode("top").alias("t")).where(f"t.count > {BLOCK_ITEMS}").select(F.col("t.item").alias("band"))
@@ -124,16 +122,16 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         root = new
 
 
-def verified(items: DataFrame, texts: DataFrame, shingles: Callable[[], Callable[[str], np.ndarray]], threshold: float, on: str = "uid") -> DataFrame:
+def verified(items: DataFrame, keys: DataFrame, texts: DataFrame, shingles: Callable[[], Callable[[str], np.ndarray]], threshold: float, on: str = "uid") -> DataFrame:
     """(uid, links, copies_linked, root): true links of items that share a band.
 
-    ``items`` (uid, size, copies, bands) and ``texts`` (uid, text) are written
-    tables; ``on`` is another column that both share, to find the texts by; ``shingles()`` makes, once per task, the function from a text to its
+    ``items`` (uid, size, copies), ``keys`` (uid, band) and ``texts`` (uid,
+    text) are written tables; ``on`` is another column that both share, to find the texts by; ``shingles()`` makes, once per task, the function from a text to its
     distinct shingle hashes.  Only items with links have rows; ``links`` counts
     other items, ``copies_linked`` their copies, ``root`` is a member of the
     same group and one for all of it.
     """
-    groups = staged(candidates(items.select("uid", "bands")), "candidates")
+    groups = staged(candidates(keys), "candidates")
     member = staged(items.select(*{"uid": 0, on: 0}, "size", "copies").join(groups.withColumnRenamed("node", "uid"), "uid"), "members")
     parts = member.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_ITEMS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("bigint").alias("parts")

@@ -70,7 +70,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return lambda text: word_shingles(text or "", words, cache)
 
     texts = table.select(F.col("no").alias("uid"), F.col("row").getField(text_col).alias("text"))
-    found = staged(minhash.verified(items, texts, shingler, threshold), "found")
+    keys = staged(items.select("uid", F.explode("bands").alias("band")), "keys")
+    found = staged(minhash.verified(items, keys, texts, shingler, threshold), "found")
     heads = staged(found.select("uid", "root").join(items.select("uid", "lead"), "uid").groupBy("root").agg(F.min("lead").alias("head")), "heads")
     whole = staged(
         items.select("key", "uid", "copies", "lead")
