@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import or_
@@ -22,37 +23,31 @@ from pagelathe.functions.text import (
     strip,
     word_pattern,
 )
-from pagelathe.operators.ordered import whole_quotient
 
+# Sizes of chunks, where to cut, from paragraphs down to single
+# characters, and the shares of a text in which headings count.
 CHUNK_SIZE = 800
 CHUNK_OVERLAP = 120
-# Where to cut, from paragraphs down to single characters.
 SEPARATORS = ("\n\n", "\n", ". ", "! ", "? ", " ", "")
 TAIL_SHARE = 0.70
 CONTENTS_SHARE = 0.20
 HEADING_SHARE = 0.30
-PART_PAGES = 16_384
 # Characters of chunks handed back to Spark at once.
 LOT_CHARS = 8_000_000
 
 
-def assemble_documents(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
-    """Page texts of a source joined by newlines, in page order.
+def assemble_documents(pages: DataFrame) -> DataFrame:
+    """``source, text``: page texts of a source joined by newlines, in page order.
 
-    A row holds at most ``part_pages`` pages, so no task gathers an unbounded
-    source.  Books fit one part (``part_no`` 0); a longer source continues in
-    further rows, which ``trim_boilerplate`` measures as one document.
+    A source is one row however many pages it has, as every later rule (joined
+    words, page numbers, headings, chunks) reads across pages.
     """
-    return (
-        pages.withColumn("part_no", whole_quotient(F.col("page_no").cast("bigint"), part_pages))
-        .groupBy("source", "part_no")
-        .agg(F.sort_array(F.collect_list(F.struct("page_no", F.coalesce("text", F.lit("")).alias("text")))).alias("_pages"))
-        .select("source", "part_no", F.array_join(F.col("_pages.text"), "\n").alias("text"))
-    )
+    gathered = F.sort_array(F.collect_list(F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))))
+    return pages.groupBy("source").agg(gathered.alias("_pages")).select("source", F.array_join(F.col("_pages.text"), "\n").alias("text"))
 
 
 def in_source_order(df: DataFrame) -> DataFrame:
-    return df.orderBy("source", "part_no")
+    return df.orderBy("source")
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
@@ -174,6 +169,9 @@ def _chunks(text: str, lo: int, hi: int, size: int, overlap: int, separators: tu
     level = next((i for i, s in enumerate(separators) if s == "" or text.find(s, lo, hi) >= 0), len(separators) - 1)
     finer = separators[level + 1 :] if separators[level] else ()
     edges = _edges(text, lo, hi, separators[level])
+    if isinstance(edges, range) and size > 1:
+        yield from _pack(text, edges, size, overlap)
+        return
     run = [edges[0]]
     for left, right in zip(edges, edges[1:]):
         if right - left < size:
@@ -188,10 +186,10 @@ def _chunks(text: str, lo: int, hi: int, size: int, overlap: int, separators: tu
     yield from _pack(text, run, size, overlap)
 
 
-def _edges(text: str, lo: int, hi: int, separator: str) -> list[int]:
+def _edges(text: str, lo: int, hi: int, separator: str) -> Sequence[int]:
     """Offsets that bound the pieces; each separator opens the piece after it."""
     if separator == "":
-        return list(range(lo, hi + 1))
+        return range(lo, hi + 1)
     edges = [lo]
     at = text.find(separator, lo, hi)
     while at >= 0:
@@ -203,20 +201,22 @@ def _edges(text: str, lo: int, hi: int, separator: str) -> list[int]:
     return edges
 
 
-def _pack(text: str, edges: list[int], size: int, overlap: int) -> Iterator[str]:
-    """Slide over adjacent pieces given by their edges."""
-    first = 0
-    for last in range(1, len(edges)):
-        end, ahead = edges[last - 1], edges[last]
-        if ahead - edges[first] > size:
-            chunk = text[edges[first] : end].strip()
-            if chunk:
-                yield chunk
-            while edges[first] < end and (end - edges[first] > overlap or ahead - edges[first] > size):
-                first += 1
-    chunk = text[edges[first] : edges[-1]].strip()
-    if chunk:
-        yield chunk
+def _pack(text: str, edges: Sequence[int], size: int, overlap: int) -> Iterator[str]:
+    """Chunks of adjacent pieces given by their edges, which ascend.
+
+    A chunk ends at the last edge within ``size``; the next starts at the first
+    edge that carries at most ``overlap`` and leaves room for one more piece.
+    """
+    first, final = 0, len(edges) - 1
+    while True:
+        last = bisect_right(edges, edges[first] + size, first) - 1
+        chunk = text[edges[first] : edges[last]].strip()
+        if chunk:
+            yield chunk
+        if last == final:
+            return
+        least = max(edges[last] - overlap, edges[last + 1] - size)
+        first = min(bisect_left(edges, least, first), last)
 
 
 def chunk_documents(

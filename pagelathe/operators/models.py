@@ -27,6 +27,15 @@ def _slices(n: int, size: int) -> Iterator[slice]:
     return (slice(at, at + size) for at in range(0, n, size))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt evenly before a model runs on them.
+
+    The number of partitions is given, four for each core: left open, small rows
+    would be merged by their bytes into a few tasks, however long a model takes.
+    """
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def batch_generate(df: DataFrame, load: Load, prompt: str = "prompt", out: str = "raw", batch: int = GENERATE_BATCH) -> DataFrame:
     """Reply text for each prompt, stripped."""
 

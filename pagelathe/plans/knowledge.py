@@ -9,17 +9,16 @@ from pagelathe.functions.text import PASSAGE_PREFIX, add_prefix
 from pagelathe.operators.corpus import (
     CHUNK_OVERLAP,
     CHUNK_SIZE,
-    PART_PAGES,
     assemble_documents,
     chunk_by_stride,
     chunk_documents,
     clean_documents,
     drop_noise,
+    require_rows,
     trim_boilerplate,
-    trim_parts,
     with_chunk_id,
 )
-from pagelathe.operators.models import EMBED_BATCH, Load, batch_embed
+from pagelathe.operators.models import EMBED_BATCH, Load, batch_embed, spread
 from pagelathe.sources.writers import write_kb
 
 
@@ -38,24 +37,11 @@ def chunks_from_documents(
 
 
 def chunks_from_pages(
-    pages: DataFrame,
-    filtered: bool = True,
-    size: int = CHUNK_SIZE,
-    overlap: int = CHUNK_OVERLAP,
-    native: bool = False,
-    part_pages: int = PART_PAGES,
+    pages: DataFrame, filtered: bool = True, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, native: bool = False
 ) -> DataFrame:
-    """As above from book pages.  A look at the page numbers tells whether any
-    source needs several rows; only then is trimming done across rows."""
-    keys = ("source", "part_no")
-    cleaned = clean_documents(assemble_documents(pages, part_pages))
-    if not filtered:
-        body = cleaned
-    elif pages.where(F.col("page_no") >= part_pages).isEmpty():
-        body = trim_boilerplate(cleaned)
-    else:
-        body = trim_parts(cleaned)
-    return _cut(body.select(*keys, "text"), keys, filtered, size, overlap, native)
+    """As above from book pages; stops if there are none."""
+    documents = assemble_documents(require_rows(pages, "pages"))
+    return chunks_from_documents(documents, ("source",), filtered, size, overlap, native)
 
 
 def _cut(body: DataFrame, keys: tuple[str, ...], filtered: bool, size: int, overlap: int, native: bool) -> DataFrame:
@@ -66,5 +52,5 @@ def _cut(body: DataFrame, keys: tuple[str, ...], filtered: bool, size: int, over
 
 def build_knowledge_base(chunks: DataFrame, load: Load, out: str, batch: int = EMBED_BATCH) -> DataFrame:
     """Embed the chunks, spread evenly over the tasks first, and write the table."""
-    write_kb(batch_embed(chunks.repartition("chunk_id"), load, batch=batch), out)
+    write_kb(batch_embed(spread(chunks, "chunk_id"), load, batch=batch), out)
     return chunks.sparkSession.read.parquet(out)

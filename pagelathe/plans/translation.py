@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelathe.operators.models import Load, batch_generate, batch_score
+from pagelathe.operators.models import Load, batch_generate, batch_score, spread
 from pagelathe.operators.pairs import build_examples, cap_per_direction, sample_cap, with_prompt
 from pagelathe.operators.scores import attach_baselines, direction_scores
 from pagelathe.sources.readers import EXAMPLES, PREDICTIONS, read_jsonl
@@ -26,13 +26,12 @@ def prepare_examples(raw: DataFrame, out: str, train_samples: int = TRAIN_SAMPLE
 def predict(spark: SparkSession, test: str, out: str, load: Load, limit: int = TEST_LIMIT, batch: int = 8) -> DataFrame:
     """Translate the capped test split and write the predictions once; returns the written table."""
     examples = cap_per_direction(read_jsonl(spark, test, EXAMPLES), limit)
-    width = spark.sparkContext.defaultParallelism
-    spread = with_prompt(examples).repartition(width, "ex_id")
-    write_jsonl(batch_generate(spread, load, "prompt", "hypothesis", batch).drop("prompt"), out)
+    dealt = spread(with_prompt(examples), "ex_id")
+    write_jsonl(batch_generate(dealt, load, "prompt", "hypothesis", batch).drop("prompt"), out)
     return read_jsonl(spark, out, PREDICTIONS)
 
 
 def evaluate(predictions: DataFrame, load: Load, baselines: DataFrame | None = None, batch: int = 8) -> DataFrame:
     """Score per direction beside the earlier methods."""
-    scored = batch_score(predictions, load, batch=batch)
+    scored = batch_score(spread(predictions, "ex_id"), load, batch=batch)
     return attach_baselines(direction_scores(scored), baselines)

@@ -52,13 +52,13 @@ def read_qa(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_baselines(spark: SparkSession, path: str) -> DataFrame | None:
-    """Earlier scores as ``key, score`` from one flat JSON object; None if the file is absent or not an object of numbers."""
+    """Earlier scores as ``key, score`` from one flat JSON object, its numbers only; None if the file is absent."""
     try:
         text = spark.read.text(path, wholetext=True)
     except AnalysisException:
         return None
-    scores = text.select(F.explode(F.from_json("value", "map<string,double>")).alias("key", "score"))
-    return scores.where(F.col("score").isNotNull())
+    entries = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
+    return entries.select("key", F.col("value").try_cast("double").alias("score")).where(F.col("score").isNotNull())
 
 
 def read_kb(spark: SparkSession, path: str) -> DataFrame:

@@ -56,10 +56,8 @@ def test_trim_lexicon_is_a_parameter(spark):
 def test_assemble(spark):
     pages = [("b", 2, "two"), ("a", 0, "x"), ("b", 0, "zero"), ("b", 1, None), ("b", 10, "ten")]
     df = spark.createDataFrame(pages, "source string, page_no int, text string").repartition(3)
-    got = {(r.source, r.part_no): r.text for r in corpus.assemble_documents(df).collect()}
-    assert got == {("a", 0): "x", ("b", 0): "zero\n\ntwo\nten"}
-    got = {(r.source, r.part_no): r.text for r in corpus.assemble_documents(df, part_pages=2).collect()}
-    assert got == {("a", 0): "x", ("b", 0): "zero\n", ("b", 1): "two", ("b", 5): "ten"}
+    got = {r.source: r.text for r in corpus.assemble_documents(df).collect()}
+    assert got == {"a": "x", "b": "zero\n\ntwo\nten"}
     assert [r.source for r in corpus.in_source_order(corpus.assemble_documents(df)).collect()] == ["a", "b"]
     with pytest.raises(ValueError):
         corpus.require_rows(df.limit(0), "pages")
@@ -75,7 +73,7 @@ def test_parts_are_trimmed_as_one(spark):
         lines = text.split("\n")
     df = spark.createDataFrame([("b", i, t) for i, t in enumerate(lines)], "source string, page_no int, text string")
     single = corpus.trim_boilerplate(corpus.assemble_documents(df)).first()
-    parts = corpus.trim_parts(corpus.assemble_documents(df, part_pages=3)).orderBy("part_no").collect()
+    parts = corpus.trim_parts(df.withColumnRenamed("page_no", "part_no")).orderBy("part_no").collect()
     assert {(r.trimmed_front, r.trimmed_end) for r in parts} == {(single.trimmed_front, single.trimmed_end)}
     assert "".join(r.text for r in parts).replace("\n", "") == single.text.replace("\n", "")
 

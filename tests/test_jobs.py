@@ -114,7 +114,10 @@ def test_book_to_answers(spark, tmp_path):
     chunks = knowledge.chunks_from_pages(pages)
     assert {r.source for r in chunks.select("source").distinct().collect()} == {"b"}
     assert knowledge.chunks_from_pages(pages, filtered=False).where("source = 'c'").count() == 1
-    assert knowledge.chunks_from_pages(pages, part_pages=2).select("part_no").distinct().count() == 2
+    numbered = pages.withColumn("page_no", F.col("page_no") + 16_382)
+    assert {r.text for r in knowledge.chunks_from_pages(numbered).collect()} == {r.text for r in chunks.collect()}
+    with pytest.raises(ValueError):
+        knowledge.chunks_from_pages(pages.limit(0))
     kb = knowledge.build_knowledge_base(chunks, inputs.load_letter_embedder, str(tmp_path / "kb"))
     assert kb.count() == chunks.count() == kb.select("chunk_id").distinct().count()
     qa = spark.createDataFrame([(1, "Osmanlı tarihi?", "A"), (2, "olay?", "B")], "qa_id bigint, question string, answer string").withColumn(

@@ -224,7 +224,7 @@ def unit(v: str) -> str:
 
 RAG = f"""
 WITH {stride_cte("documents", "doc_id")},
-kb AS (SELECT doc_id * 100000 + chunk_no AS chunk_id, text, {counts("('passage: ' || text)")} AS v
+kb AS (SELECT doc_id::BIGINT * 4294967296 + chunk_no AS chunk_id, text, {counts("('passage: ' || text)")} AS v
        FROM chunks WHERE text <> '' AND {noise("text")} IS NULL),
 kbn AS (SELECT chunk_id, text, {unit("v")} AS e FROM kb),
 ask AS (SELECT item_id AS qa_id, text AS question, string_split(text, ' ') AS w, {counts("('query: ' || text)")} AS v FROM benchmark),
@@ -332,7 +332,7 @@ SELECT lang, count(*) AS n_chunks, sum(length(text))::BIGINT AS n_chars FROM chu
     "chat_text": EXCHANGES
     + f"SELECT {translation_chat('text', q('English'), q('Turkish'))} || coalesce({chat('assistant', 'reply')}, '') AS text FROM talk",
     "chat_prompt": PAIRS
-    + f"SELECT ex_id, {translation_chat(words('src', 64), 'src_lang', 'tgt_lang')} || {REPLY} AS prompt FROM examples",
+    + f"SELECT ex_id, {translation_chat('src', 'src_lang', 'tgt_lang')} || {REPLY} AS prompt FROM examples",
     "doc_assemble": """
 WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
 pages AS (SELECT doc_id, unnest(l) AS line, unnest(range(0, len(l))) AS no FROM lines)

@@ -69,8 +69,7 @@ def chat_text(spark, sf):
 
 
 def chat_prompt(spark, sf):
-    cut = examples(spark, sf).withColumn("src", X.truncate_words("src", 64))
-    return pairs.with_prompt(cut).select("ex_id", "prompt")
+    return pairs.with_prompt(examples(spark, sf)).select("ex_id", "prompt")
 
 
 # Corpus
@@ -91,10 +90,9 @@ def doc_trim(spark, sf):
 def doc_trim_parts(spark, sf):
     """Documents spread over rows of one page each, trimmed as wholes."""
     pages = inputs.headed_documents(spark, sf).select(
-        F.col("doc_id").alias("source"), F.posexplode(F.split("text", "\n")).alias("page_no", "text")
+        F.col("doc_id").alias("source"), F.posexplode(F.split("text", "\n")).alias("part_no", "text")
     )
-    parts = corpus.assemble_documents(pages, part_pages=1)
-    trimmed = corpus.trim_parts(parts)
+    trimmed = corpus.trim_parts(pages)
     return trimmed.groupBy(F.col("source").alias("doc_id")).agg(
         F.sum(F.length("text").cast("bigint")).alias("kept_chars"),
         F.max("trimmed_front").alias("trimmed_front"),
@@ -220,7 +218,7 @@ def _document_kb(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     kept = corpus.drop_noise(corpus.chunk_by_stride(docs))
     # Readable ids for the SQL twin; chunks_from_documents hashes them instead.
-    numbered = kept.withColumn("chunk_id", F.col("doc_id") * 100_000 + F.col("chunk_no"))
+    numbered = kept.withColumn("chunk_id", F.col("doc_id") * (1 << 32) + F.col("chunk_no"))
     chunks = numbered.withColumn("embed_text", X.add_prefix("text"))
     return knowledge.build_knowledge_base(chunks, inputs.load_letter_embedder, _folder(spark, "kb"))
 
