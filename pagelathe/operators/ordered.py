@@ -28,7 +28,9 @@ def top_n_per_group(
 
     The first round ranks inside (group, salt), so a hot group is spread over
     ``salts`` tasks and the second round sees at most ``salts * n`` of its
-    rows.  Spark also prunes to ``n`` per input partition before each shuffle.
+    rows.  For ``n`` up to spark.sql.optimizer.windowGroupLimitThreshold Spark
+    also prunes to ``n`` per input partition before each shuffle; beyond it all
+    rows are shuffled, so pass the ordering columns alone there.
     """
     salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     inner = Window.partitionBy(*keys, "_salt").orderBy(*order)

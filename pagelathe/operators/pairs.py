@@ -90,10 +90,19 @@ def sample_cap(df: DataFrame, n: int | None, seed: int = SEED, id_col: str = "ex
 def cap_per_direction(
     df: DataFrame, n: int = 500, languages: Sequence[str] = tuple(LANGUAGES.values()), order_by: str = "ex_id"
 ) -> DataFrame:
-    """First ``n`` rows of each source language; other languages go.  ``n <= 0`` keeps all rows."""
+    """First ``n`` rows of each source language; other languages go.  ``n <= 0`` keeps all rows.
+
+    The id of the n-th row is found on languages and ids alone; texts are read
+    once, filtered by it and ranked among no more than ``n`` rows and their ties.
+    """
     if n <= 0:
         return df
-    return top_n_per_group(df.where(F.col("src_lang").isin(*languages)), ["src_lang"], [F.col(order_by)], n)
+    known = df.where(F.col("src_lang").isin(*languages))
+    ids = top_n_per_group(known.select("src_lang", order_by), ["src_lang"], [F.col(order_by)], n)
+    # One row per language.
+    last = ids.groupBy("src_lang").agg(F.max(order_by).alias("_last"))
+    near = known.join(F.broadcast(last), "src_lang").where(F.col(order_by).isNull() | (F.col(order_by) <= F.col("_last"))).drop("_last")
+    return top_n_per_group(near, ["src_lang"], [F.col(order_by)], n).select(df.columns)
 
 
 def in_direction_order(df: DataFrame, languages: Sequence[str] = tuple(LANGUAGES.values()), order_by: str = "ex_id") -> DataFrame:

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagelathe.functions.text import remove_prefix
 from pagelathe.operators.ordered import top_n_per_group
+from pagelathe.session import scratch_folder
 
 TOP_K = 5
 ARTICLES_K = 2
 ARTICLE_CHARS = 1500
-# Largest query side that is shipped to every task: some 60 MB at 768 dimensions.
-SHIPPED_QUERIES = 20_000
-BLOCK_ROWS = 20_000
+# Numbers of one query block that is shipped to every task: 64 MB as doubles,
+# whatever the dimension.
+SHIPPED_CELLS = 8_000_000
+# Questions whose hits are sent to the chunk table.
+FEW_QUERIES = 20_000
 # Size of one distance matrix, and of one exact recomputation.
 MATRIX_CELLS = 4_000_000
 REFINE_PAIRS = 100_000
@@ -26,16 +32,13 @@ REFINE_PAIRS = 100_000
 # equal vectors rank by id whatever order the sums were taken in.
 DECIMALS = 12
 
-HIT_SCHEMA = "{query} bigint, {chunk} bigint, _d2 double"
-
-
 def count_up_to(df: DataFrame, most: int) -> int | None:
     """Row count, or None if there are more than ``most`` rows."""
     n = df.limit(most + 1).count()
     return None if n > most else n
 
 
-def small_query_count(queries: DataFrame, max_queries: int = SHIPPED_QUERIES) -> int | None:
+def small_query_count(queries: DataFrame, max_queries: int = FEW_QUERIES) -> int | None:
     """Number of queries if at most ``max_queries``, else None; vectors are not computed for it."""
     return count_up_to(queries.select(F.lit(1)), max_queries)
 
@@ -47,7 +50,7 @@ class _Nearest:
         self.queries, self.k = queries, k
         self.norms = (queries**2).sum(1)
         self.limit = np.full(len(queries), np.inf)
-        self.best = pd.DataFrame({"q": [], "id": [], "d2": []}).astype({"q": "int64", "id": "int64", "d2": "float64"})
+        self.best: pd.DataFrame | None = None
 
     def add(self, ids: np.ndarray, base: np.ndarray) -> None:
         step = max(1, MATRIX_CELLS // max(1, len(self.queries)))
@@ -70,7 +73,8 @@ class _Nearest:
             diff = self.queries[qi[part]] - base[bi[part]]
             exact[part] = np.einsum("ij,ij->i", diff, diff)
         found = pd.DataFrame({"q": qi, "id": ids[bi], "d2": exact.round(DECIMALS)})
-        ordered = pd.concat([self.best, found], ignore_index=True).sort_values(["q", "d2", "id"], kind="stable")
+        both = found if self.best is None else pd.concat([self.best, found], ignore_index=True)
+        ordered = both.sort_values(["q", "d2", "id"], kind="stable")
         self.best = ordered.groupby("q", sort=False).head(self.k)
         full = self.best.groupby("q")["d2"].agg(["size", "max"])
         full = full[full["size"] == self.k]
@@ -80,8 +84,9 @@ class _Nearest:
         return names[self.best["q"].to_numpy()], self.best["id"].to_numpy(), self.best["d2"].to_numpy()
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    flat = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten()
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
 def knn_topk(
@@ -91,73 +96,54 @@ def knn_topk(
     query_id: str = "qa_id",
     chunk_id: str = "chunk_id",
     vector: str = "embedding",
-    max_queries: int = SHIPPED_QUERIES,
-    block_rows: int = BLOCK_ROWS,
-    n_queries: int | None = None,
+    max_cells: int = SHIPPED_CELLS,
 ) -> DataFrame:
     """``query_id, rank, chunk_id, distance`` of the exact Euclidean top ``k``.
 
-    Ties go to the lower chunk id; nothing is de-duplicated.  The number of
-    queries decides the plan: up to ``max_queries`` the query matrix travels to
-    the tasks and the base is read in place, beyond that both sides meet block
-    by block.
+    Ties go to the lower chunk id; nothing is de-duplicated; ids are of any
+    type.  The question vectors are written once, so that a model behind them
+    runs once per question.  They travel to the tasks in blocks of at most
+    ``max_cells`` numbers; for each block the base is read in place, never
+    shuffled, by as many tasks as there are cores, each with a running top
+    ``k``.
     """
-    q = queries.select(F.col(query_id).cast("bigint").alias(query_id), vector).where(F.col(vector).isNotNull())
-    b = base.select(F.col(chunk_id).cast("bigint").alias(chunk_id), vector).where(F.col(vector).isNotNull())
-    if n_queries is None:
-        n_queries = small_query_count(queries, max_queries)
-    if n_queries is None:
-        near = _knn_blocked(q, b, k, query_id, chunk_id, vector, block_rows)
-    else:
-        near = _knn_shipped(q, b, k, query_id, chunk_id, vector)
-    top = top_n_per_group(near, [query_id], [F.col("_d2"), F.col(chunk_id)], k, rank="rank")
+    spark = base.sparkSession
+    path = f"{scratch_folder(spark)}/questions-{uuid.uuid4().hex}"
+    queries.select(query_id, vector).where(F.col(vector).isNotNull()).write.parquet(path)
+    q = spark.read.parquet(path)
+    b = base.select(chunk_id, vector).where(F.col(vector).isNotNull()).coalesce(spark.sparkContext.defaultParallelism)
+    n, size = q.agg(F.count("*"), F.max(F.size(vector))).first()
+    blocks = max(1, -(-n * (size or 1) // max_cells))
+    schema = T.StructType([q.schema[query_id], b.schema[chunk_id], T.StructField("_d2", T.DoubleType())])
+    place = F.pmod(F.xxhash64(query_id), F.lit(blocks))
+    near = [_knn_shipped(q.where(place == i) if blocks > 1 else q, b, k, vector, schema) for i in range(blocks)]
+    top = top_n_per_group(reduce(DataFrame.unionAll, near), [query_id], [F.col("_d2"), F.col(chunk_id)], k, rank="rank")
     return top.select(query_id, F.col("rank").cast("int").alias("rank"), chunk_id, F.sqrt("_d2").alias("distance"))
 
 
-def _knn_shipped(q: DataFrame, b: DataFrame, k: int, query_id: str, chunk_id: str, vector: str) -> DataFrame:
-    """Query side within the checked bound: broadcast it, one partial top ``k`` per task."""
-    rows = q.toPandas()
-    schema = HIT_SCHEMA.format(query=query_id, chunk=chunk_id)
-    if rows.empty:
-        return b.sparkSession.createDataFrame([], schema)
-    shared = b.sparkSession.sparkContext.broadcast((rows[query_id].to_numpy(), _matrix(rows[vector])))
+def _knn_shipped(q: DataFrame, b: DataFrame, k: int, vector: str, schema: T.StructType) -> DataFrame:
+    """One block of questions, within its bound: broadcast, one partial top ``k`` per task."""
+    spark = b.sparkSession
+    rows = q.toArrow()
+    if not rows.num_rows:
+        return spark.createDataFrame([], schema)
+    shared = spark.sparkContext.broadcast((rows.column(0).to_numpy(), _matrix(rows.column(vector))))
+    names, kinds = schema.names, [rows.schema.field(0).type]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, matrix = shared.value
-        nearest = _Nearest(matrix, k)
+        keys, matrix = shared.value
+        nearest, kind = _Nearest(matrix, k), None
         for batch in batches:
             if batch.num_rows:
-                flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-                nearest.add(batch.column(0).to_numpy(), flat.reshape(batch.num_rows, -1).astype(np.float64))
-        yield pa.RecordBatch.from_arrays([pa.array(a) for a in nearest.hits(names)], [query_id, chunk_id, "_d2"])
+                kind = batch.schema.field(0).type
+                nearest.add(batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)))
+        if kind is not None:
+            found = zip(nearest.hits(keys), [*kinds, kind, pa.float64()], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in found], names)
 
     return b.mapInArrow(scan, schema)
 
 
-def _knn_blocked(q: DataFrame, b: DataFrame, k: int, query_id: str, chunk_id: str, vector: str, block_rows: int) -> DataFrame:
-    """Both sides hashed into blocks of about ``block_rows``; each pair of blocks is one small group."""
-    blocks = lambda side, key: max(1, -(-side.select(key).count() // block_rows))
-    n_q, n_b = blocks(q, query_id), blocks(b, chunk_id)
-    place = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n))
-    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-    # Aliases keep the two sides apart where both come from one table.
-    left = q.select(F.col(query_id).alias("_id"), F.col(vector).alias("_v"), place(query_id, n_q).alias("_qb"), each(n_b).alias("_bb"))
-    right = b.select(F.col(chunk_id).alias("_id"), F.col(vector).alias("_v"), place(chunk_id, n_b).alias("_bb"), each(n_q).alias("_qb"))
-
-    def meet(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if ours.empty or theirs.empty:
-            return pd.DataFrame({query_id: [], chunk_id: [], "_d2": []})
-        nearest = _Nearest(_matrix(ours["_v"]), k)
-        nearest.add(theirs["_id"].to_numpy(), _matrix(theirs["_v"]))
-        return pd.DataFrame(dict(zip((query_id, chunk_id, "_d2"), nearest.hits(ours["_id"].to_numpy()))))
-
-    return (
-        left.groupBy("_qb", "_bb")
-        .cogroup(right.groupBy("_qb", "_bb"))
-        .applyInPandas(meet, HIT_SCHEMA.format(query=query_id, chunk=chunk_id))
-    )
-
-
 def attach_text(
     hits: DataFrame, chunks: DataFrame, n_hits: int | None, chunk_id: str = "chunk_id", text: str = "text", max_hits: int = 1_000_000
 ) -> DataFrame:
@@ -184,7 +170,7 @@ def retrieve(
 ) -> DataFrame:
     """Top ``k`` chunks per question with their text."""
     n = small_query_count(queries)
-    hits = knn_topk(queries, chunks, k, query_id, chunk_id, vector, n_queries=n)
+    hits = knn_topk(queries, chunks, k, query_id, chunk_id, vector)
     return attach_text(hits, chunks, None if n is None else n * k, chunk_id, text)
 
 

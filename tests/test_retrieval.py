@@ -40,7 +40,7 @@ def brute(queries, base, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"max_queries": 2, "block_rows": 16}])
+@pytest.mark.parametrize("options", [{}, {"max_cells": 40}])
 def test_both_plans_match_brute_force_with_hot_copies(spark, options, monkeypatch):
     """A third of the base is one vector; distances tie in bulk and ids decide."""
     monkeypatch.setattr(retrieval, "MATRIX_CELLS", 500)
@@ -52,6 +52,24 @@ def test_both_plans_match_brute_force_with_hot_copies(spark, options, monkeypatc
     assert found(retrieval.knn_topk(q.repartition(3), b.repartition(7), 5, **options)) == brute(queries, base, 5)
 
 
+def test_ids_of_any_type_and_one_model_run_per_question(spark):
+    q, b = sides(spark, [(i, unit(i)) for i in range(30)], [(i, unit(3 * i)) for i in range(20)])
+    runs = spark.sparkContext.accumulator(0)
+
+    def embedded(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    asked = q.repartition(4).mapInPandas(embedded, q.schema)
+    named = b.withColumn("chunk_id", F.concat(F.lit("c"), F.lpad(F.col("chunk_id").cast("string"), 3, "0")))
+    hits = retrieval.knn_topk(asked.withColumn("qa_id", F.col("qa_id").cast("string")), named, 1, max_cells=16)
+    assert {(r.qa_id, r.chunk_id) for r in hits.collect()} == {(str(i), f"c{round(i / 3):03d}") for i in range(30)}
+    assert runs.value == 30
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "hashpartitioning(chunk_id" not in plan
+
+
 def test_context(spark):
     rows = [(1, 2, "bar"), (1, 1, "passage: foo"), (2, 1, "passage: passage: z")]
     hits = spark.createDataFrame(rows, "qa_id bigint, rank int, text string")

@@ -198,14 +198,15 @@ def knn_topk(spark, sf):
 
 
 def knn_blocked(spark, sf):
-    """The same neighbours by the plan for query sides too large to ship."""
+    """The same neighbours with more questions than one block holds."""
     vectors = table(spark, sf, "embeddings")
     asked = vectors.select(F.col("vec_id").alias("qa_id"), "embedding")
     base = vectors.select(F.col("vec_id").alias("chunk_id"), "embedding")
-    return _longs(_rounded(retrieval.knn_topk(asked, base, max_queries=1, block_rows=300), "distance"), "rank")
+    return _longs(_rounded(retrieval.knn_topk(asked, base, max_cells=16_000), "distance"), "rank")
 
 
 def articles_topk(spark, sf):
+    """Articles are the documents that the embeddings table has vectors of."""
     vectors = table(spark, sf, "embeddings")
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("article_id"), "text")
     articles = vectors.select(F.col("vec_id").alias("article_id"), "embedding").join(docs, "article_id")
