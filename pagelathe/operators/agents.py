@@ -28,22 +28,16 @@ REVISE_LINE = r"(?s)^REVISE:(.*)$"
 
 # Characters whose grams are counted at once.
 COUNT_CHARS = 4_000_000
-# Rows up to which language profiles travel to the tasks.
-PROFILE_ROWS = 200_000
+# Weights that are gathered at once while scoring.
+SCORE_CELLS = 4_000_000
 
 
-def _grams(text: ColumnOrName, n: int) -> Column:
-    """All overlapping n-grams of the lower-cased text: every n-th one from each of n starts."""
-    lowered = F.lower(col(text))
-    cut = lambda start: F.regexp_extract_all(F.substr(lowered, F.lit(start + 1)), F.lit(f"(?s).{{{n}}}"), F.lit(0))
-    return F.concat(*[cut(i) for i in range(n)])
-
-
-def fit_language_profiles(df: DataFrame, lang: str = "lang", text: str = "text", top: int = 1000, n: int = 3) -> DataFrame:
+def fit_language_profiles(df: DataFrame, top: int, lang: str = "lang", text: str = "text", n: int = 3) -> DataFrame:
     """Most frequent character n-grams per language: ``lang, gram, n``.
 
     Grams are counted per Arrow batch as integers, so only distinct ones leave
-    the scan; Spark sums the counts and keeps the ``top`` of each language.
+    the scan; Spark sums the counts and keeps the ``top`` of each language,
+    which is the size of the model.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,43 +72,23 @@ def _runs(texts: pd.Series, chars: int) -> Iterator[list[str]]:
 
 
 def detect_language(
-    df: DataFrame,
-    profiles: DataFrame,
-    languages: list[str],
-    key: str,
-    text: str = "text",
-    fallback: str | None = None,
-    min_confidence: float = MIN_CONFIDENCE,
-    n: int = 3,
-    max_profile_rows: int = PROFILE_ROWS,
+    df: DataFrame, profiles: DataFrame, text: str = "text", fallback: str | None = None, min_confidence: float = MIN_CONFIDENCE, n: int = 3
 ) -> DataFrame:
     """Language and confidence of every text by naive Bayes over n-grams.
 
-    ``key, detected, confidence, lang``: ``lang`` is the detected one from
-    ``min_confidence`` up, else the ``fallback`` column.  Texts without a known
-    n-gram have no detected language.
-
-    Profiles within ``max_profile_rows`` (checked) go to the tasks and texts
-    are scored where they are, without a shuffle; larger ones are joined.
+    Adds ``detected``, ``confidence`` and ``lang`` to the columns of ``df``:
+    ``lang`` is the detected one from ``min_confidence`` up, else the
+    ``fallback`` column.  Texts without a known n-gram have no detected
+    language.  Profiles (their languages times the ``top`` they were fitted
+    with) go to the tasks; texts are scored where they are.
     """
-    names = [f"_p{i}" for i in range(len(languages))]
-    texts = df.select(key, (F.col(fallback) if fallback else F.lit(None).cast("string")).alias("_fallback"), text)
-    known = profiles.select("lang", "gram", "n").limit(max_profile_rows + 1).toPandas()
-    if len(known) <= max_profile_rows:
-        scores = _score_in_place(df, known, languages, n)
-        scored = texts.withColumn("_s", scores(F.lower(text))).select(
-            key, "_fallback", *[F.get("_s", F.lit(i)).alias(c) for i, c in enumerate(names)]
-        )
-    else:
-        scored = _score_by_join(texts, profiles, languages, names, key, text, n)
-    ranked = F.array_sort(F.array(*[F.struct((-F.col(c)).alias("cost"), F.lit(l).alias("lang")) for l, c in zip(languages, names)]))
-    best = scored.withColumn("_best", ranked[0])
-    total = sum((F.exp(F.col("_best.cost") + F.col(c)) for c in names), F.lit(0.0))
+    found = _scorer(df, profiles, n)(F.lower(text))
+    sure = F.col("_found.confidence") >= min_confidence
+    other = F.col(fallback) if fallback else F.lit(None).cast("string")
     return (
-        best.withColumn("detected", F.when(F.col(names[0]).isNotNull(), F.col("_best.lang")))
-        .withColumn("confidence", F.coalesce(1.0 / total, F.lit(0.0)))
-        .withColumn("lang", F.when(F.col("confidence") >= min_confidence, F.col("detected")).otherwise(F.col("_fallback")))
-        .select(key, "detected", "confidence", "lang")
+        df.withColumn("_found", found)
+        .withColumns({"detected": F.col("_found.detected"), "confidence": F.col("_found.confidence"), "lang": F.when(sure, F.col("_found.detected")).otherwise(other)})
+        .drop("_found")
     )
 
 
@@ -130,43 +104,52 @@ def _codes(text: str, n: int) -> np.ndarray:
     return code
 
 
-def _score_in_place(df: DataFrame, known: pd.DataFrame, languages: list[str], n: int):
-    """UDF: lower-cased text to the log-likelihood per language, null without a known gram."""
-    counts = known.pivot_table(index="gram", columns="lang", values="n", aggfunc="sum", fill_value=0)
-    counts = counts.reindex(columns=languages, fill_value=0)
+def _scorer(df: DataFrame, profiles: DataFrame, n: int):
+    """UDF: lower-cased text to its best language and that one's share of the likelihood."""
+    known = profiles.select("lang", "gram", "n").toPandas()
+    counts = known.pivot_table(index="gram", columns="lang", values="n", aggfunc="sum", fill_value=0).sort_index(axis=1)
     logs = np.log((counts.to_numpy() + 1) / (counts.to_numpy().sum(axis=0) + len(counts)))
     codes = np.array([_codes(g, n)[0] for g in counts.index], dtype=np.int64)
     order = np.argsort(codes)
-    shared = df.sparkSession.sparkContext.broadcast((codes[order], logs[order]))
-
-    def score(text: str) -> list | None:
-        vocabulary, weights = shared.value
-        grams = _codes(text, n)
-        at = np.minimum(np.searchsorted(vocabulary, grams), len(vocabulary) - 1)
-        hits = at[vocabulary[at] == grams]
-        return (np.bincount(hits, minlength=len(vocabulary)) @ weights).tolist() if len(hits) else None
-
-    @F.pandas_udf("array<double>")
-    def scores(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: score(t) if t else None)
-
-    return scores
-
-
-def _score_by_join(
-    texts: DataFrame, profiles: DataFrame, languages: list[str], names: list[str], key: str, text: str, n: int
-) -> DataFrame:
-    """The same sums by joining the grams of all texts with the profiles."""
-    kept = profiles.groupBy("gram").agg(
-        *[F.coalesce(F.sum(F.when(F.col("lang") == l, F.col("n"))), F.lit(0)).alias(c) for l, c in zip(languages, names)]
-    )
-    total = kept.agg(F.struct(F.count("*").alias("v"), *[F.sum(c).alias(c) for c in names])).scalar()
-    model = kept.select("gram", *[F.ln((F.col(c) + 1) / (total[c] + total["v"]).cast("double")).alias(c) for c in names])
-    # Counting each text's grams first shortens what is shuffled to the profiles.
-    cut = texts.select(key, "_fallback", F.explode_outer(_grams(text, n)).alias("gram"))
-    counted = cut.groupBy(key, "_fallback", "gram").agg(F.count("*").alias("_n"))
-    weighted = [F.sum(F.col("_n") * F.col(c)).alias(c) for c in names]
-    return counted.join(model, "gram", "left").groupBy(key, "_fallback").agg(*weighted)
+    shared = df.sparkSession.sparkContext.broadcast((codes[order], logs[order], counts.columns.to_list()))
+
+    def scored(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the weights of known grams of every text, and their number."""
+        vocabulary, weights, _ = shared.value
+        sizes = [len(g) for g in grams]
+        every = np.concatenate(grams)
+        owner = np.repeat(np.arange(len(grams)), sizes)
+        at = np.minimum(np.searchsorted(vocabulary, every), len(vocabulary) - 1)
+        hit = vocabulary[at] == every
+        at, owner = at[hit], owner[hit]
+        hits = np.bincount(owner, minlength=len(grams))
+        return np.stack([np.bincount(owner, weights[at, i], len(grams)) for i in range(weights.shape[1])], axis=1), hits
+
+    @F.pandas_udf("struct<detected: string, confidence: double>")
+    def best(texts: pd.Series) -> pd.DataFrame:
+        names, out, lot, cells = np.array([*shared.value[2], None], dtype=object), [], [], 0
+
+        def flush() -> None:
+            sums, hits = scored(lot)
+            top = sums.argmax(axis=1)
+            share = 1.0 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
+            out.append(pd.DataFrame({"detected": names[np.where(hits > 0, top, -1)], "confidence": np.where(hits > 0, share, 0.0)}))
+
+        for text in texts:
+            lot.append(_codes(text, n) if text else np.empty(0, dtype=np.int64))
+            cells += len(lot[-1])
+            if cells >= SCORE_CELLS:
+                flush()
+                lot, cells = [], 0
+        if lot:
+            flush()
+        return pd.concat(out, ignore_index=True)
+
+    @F.pandas_udf("struct<detected: string, confidence: double>")
+    def nothing(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"detected": [None] * len(texts), "confidence": 0.0})
+
+    return best if len(codes) else nothing
 
 
 def route(df: DataFrame, lang: str = "lang") -> DataFrame:
@@ -270,10 +253,3 @@ def majority_vote(df: DataFrame, key: str = "qa_id", answer: str = "answer") ->
         key, F.col("_w")[answer].alias(answer), (-F.col("_w._v")).alias("votes"), "n_votes"
     )
 
-
-def known_languages(df: DataFrame, lang: str = "lang", most: int = 200) -> list[str]:
-    """Distinct labels in order; more than ``most`` is an error, as each becomes a column."""
-    found = sorted(r[0] for r in df.where(F.col(lang).isNotNull()).select(lang).distinct().limit(most + 1).collect())
-    if len(found) > most:
-        raise ValueError(f"more than {most} languages")
-    return found

@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from pagelathe.operators import agents
@@ -8,29 +11,37 @@ TRACE = "conv_id bigint, turn int, text string"
 def test_language(spark):
     docs = [("en", "the cat and the dog and the bird"), ("tr", "kedi ve köpek ve kuş bir de balık"), ("tr", "bir iki üç")]
     df = spark.createDataFrame(docs, "lang string, text string")
-    profiles, names = agents.fit_language_profiles(df, top=50), agents.known_languages(df)
+    profiles = agents.fit_language_profiles(df, top=50)
     asked = spark.createDataFrame(
         [(1, "the bird and the cat", "xx"), (2, "köpek ve kedi", "xx"), (3, "??", "yy"), (4, None, "zz"), (5, "", "zz")],
         "id bigint, text string, other string",
     )
-    for rows in (agents.PROFILE_ROWS, 1):
-        out = agents.detect_language(asked, profiles, names, "id", fallback="other", max_profile_rows=rows).orderBy("id").collect()
-        assert [(r.detected, r.lang) for r in out] == [("en", "en"), ("tr", "tr"), (None, "yy"), (None, "zz"), (None, "zz")]
-        assert out[0].confidence > 0.9 and out[2].confidence == 0.0
+    out = agents.detect_language(asked, profiles, fallback="other").orderBy("id").collect()
+    assert [(r.detected, r.lang) for r in out] == [("en", "en"), ("tr", "tr"), (None, "yy"), (None, "zz"), (None, "zz")]
+    assert out[0].confidence > 0.9 and out[2].confidence == 0.0
+    assert agents.detect_language(asked, profiles.limit(0)).where("detected IS NULL AND confidence = 0").count() == 5
     routed = agents.route(spark.createDataFrame([("tr",), ("en",), (None,)], "lang string"))
     assert [r.tool for r in routed.collect()] == ["turkish_rag_search", "wikipedia_search", "wikipedia_search"]
     books, articles = agents.split_routes(routed)
     assert (books.count(), articles.count()) == (1, 2)
 
 
-def test_both_scorings_agree(spark):
-    df = spark.createDataFrame([(i, "ab" * i + "cab", "x" if i % 2 else "y") for i in range(20)], "id bigint, text string, lang string")
-    profiles, names = agents.fit_language_profiles(df, top=5), agents.known_languages(df)
-    one, two = (
-        [(r.id, r.detected, round(r.confidence, 9)) for r in agents.detect_language(df, profiles, names, "id", max_profile_rows=m).orderBy("id").collect()]
-        for m in (1000, 2)
-    )
-    assert one == two
+def test_repeated_rows_and_lots(spark, monkeypatch):
+    """Rows are scored one by one, whatever shares a batch with them."""
+    df = spark.createDataFrame([(i % 3, "ab" * i + "cab", "x" if i % 2 else "y") for i in range(20)], "id bigint, text string, lang string")
+    profiles = agents.fit_language_profiles(df, top=5)
+    counts = {(r.lang, r.gram): r.n for r in profiles.collect()}
+    names, grams = sorted({k[0] for k in counts}), sorted({k[1] for k in counts})
+
+    def by_hand(text):
+        total = {name: sum(counts.get((name, g), 0) for g in grams) + len(grams) for name in names}
+        cut = [text[i : i + 3] for i in range(len(text) - 2) if text[i : i + 3] in grams]
+        like = [math.prod((counts.get((name, g), 0) + 1) / total[name] for g in cut) for name in names]
+        return (names[like.index(max(like))], round(max(like) / sum(like), 6)) if cut else (None, 0.0)
+
+    monkeypatch.setattr(agents, "SCORE_CELLS", 30)
+    found = agents.detect_language(df, profiles).collect()
+    assert Counter((r.id, r.text, r.detected, round(r.confidence, 6)) for r in found) == Counter((r.id, r.text, *by_hand(r.text)) for r in df.collect())
 
 
 def test_actions_guard_and_answer(spark):

@@ -432,9 +432,13 @@ WITH said AS (SELECT role, {strip("text")} IN ({q(agents.ABSTENTIONS[0])}, {q(ag
 SELECT role, count(*) AS n, count(*) FILTER (WHERE a) AS n_abstained, round(avg(a::INT), 6) AS rate FROM said GROUP BY 1""",
     "lang_match": EXCHANGES
     + f""", sides AS (
-  SELECT conv_id * 1000 + turn * 2 AS k, text FROM talk WHERE reply IS NOT NULL UNION ALL SELECT conv_id * 1000 + turn * 2 + 1, reply FROM talk WHERE reply IS NOT NULL),
+  SELECT conv_id, turn, 'q' AS side, concat(conv_id, ':', turn, ':q') AS k, text FROM talk WHERE reply IS NOT NULL
+  UNION ALL SELECT conv_id, turn, 'a', concat(conv_id, ':', turn, ':a'), reply FROM talk WHERE reply IS NOT NULL),
 {PROFILES}, {detect_ctes("sides", "k")},
-paired AS (SELECT k // 2 AS exchange, max(CASE WHEN k % 2 = 0 THEN detected END) AS question_lang, max(CASE WHEN k % 2 = 1 THEN detected END) AS answer_lang FROM detected GROUP BY 1)
+paired AS (
+  SELECT q.conv_id, q.turn, dq.detected AS question_lang, da.detected AS answer_lang
+  FROM sides q JOIN sides a ON a.conv_id = q.conv_id AND a.turn = q.turn AND q.side = 'q' AND a.side = 'a'
+  JOIN detected dq ON dq.k = q.k JOIN detected da ON da.k = a.k)
 SELECT *, question_lang IS NOT DISTINCT FROM answer_lang AS same_language FROM paired""",
     "vote": rf"""
 WITH said AS (SELECT conv_id AS qa_id, nullif(regexp_extract(upper(text), '(?:^|[^{WORD}])([ABCDE])(?:[^{WORD}]|$)', 1), '') AS answer FROM conversations),

@@ -332,24 +332,23 @@ def batch_rows(spark, sf):
 # Agent tables
 
 
-def _profiles(spark, sf):
-    docs = table(spark, sf, "documents")
-    return agents.fit_language_profiles(docs), agents.known_languages(docs)
+GRAMS = 1000
 
 
 def language_profiles(spark, sf):
-    return _profiles(spark, sf)[0]
+    return agents.fit_language_profiles(table(spark, sf, "documents"), GRAMS)
+
+
+def _detected(spark, sf):
+    return agents.detect_language(table(spark, sf, "documents"), language_profiles(spark, sf), fallback="lang")
 
 
 def lang_detect(spark, sf):
-    profiles, names = _profiles(spark, sf)
-    found = agents.detect_language(table(spark, sf, "documents"), profiles, names, "doc_id", fallback="lang")
-    return _rounded(found, "confidence")
+    return _rounded(_detected(spark, sf), "confidence").select("doc_id", "detected", "confidence", "lang")
 
 
 def lang_route(spark, sf):
-    profiles, names = _profiles(spark, sf)
-    found = agents.detect_language(table(spark, sf, "documents"), profiles, names, "doc_id", fallback="lang")
+    found = _detected(spark, sf)
     # The tables hold no Turkish; German stands in for it.
     routed = agents.route(found.withColumn("lang", F.when(F.col("lang") == "de", "tr").otherwise(F.col("lang"))))
     return routed.groupBy("tool", "lang").agg(F.count("*").alias("n"))
@@ -394,22 +393,13 @@ def abstain_rate(spark, sf):
 
 
 def lang_match(spark, sf):
-    profiles, names = _profiles(spark, sf)
-    talk = inputs.exchanges(spark, sf).where(F.col("reply").isNotNull())
-    sides = talk.select(
-        F.inline(
-            F.array(
-                F.struct((F.col("conv_id") * 1000 + F.col("turn") * 2).alias("key"), F.col("text").alias("text")),
-                F.struct((F.col("conv_id") * 1000 + F.col("turn") * 2 + 1).alias("key"), F.col("reply").alias("text")),
-            )
-        )
-    )
-    found = agents.detect_language(sides, profiles, names, "key")
-    both = found.groupBy(ordered.whole_quotient(F.col("key"), 2).alias("exchange")).agg(
-        F.max(F.when(F.col("key") % 2 == 0, F.col("detected"))).alias("question_lang"),
-        F.max(F.when(F.col("key") % 2 == 1, F.col("detected"))).alias("answer_lang"),
-    )
-    return agents.language_match(both)
+    profiles = _folder(spark, "profiles")
+    language_profiles(spark, sf).write.parquet(profiles)
+    known = spark.read.parquet(profiles)
+    talk = inputs.exchanges(spark, sf).where(F.col("reply").isNotNull()).select("conv_id", "turn", "text", "reply")
+    asked = agents.detect_language(talk, known).withColumnRenamed("detected", "question_lang").drop("confidence", "lang")
+    both = agents.detect_language(asked, known, "reply").withColumnRenamed("detected", "answer_lang")
+    return agents.language_match(both).select("conv_id", "turn", "question_lang", "answer_lang", "same_language")
 
 
 def vote(spark, sf):
