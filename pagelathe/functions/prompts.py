@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagelathe.functions.text import ColumnOrName, col
 
 # Prompt wording.
+TRANSLATION_REQUEST = ("Translate the following text from ", " to ", ":\n\n")
 TRANSLATION_SYSTEM = "You are a professional translator. Translate accurately without adding commentary."
 QA_SYSTEM = (
     "Sen Türk tarihi konusunda uzman bir öğretmensin. Aşağıdaki çoktan seçmeli soruyu cevapla. "
@@ -35,9 +36,8 @@ def translation_messages(
     src: ColumnOrName, src_lang: ColumnOrName, tgt_lang: ColumnOrName, target: ColumnOrName | None = None
 ) -> Column:
     """System and user turn; an assistant turn when the target is not null."""
-    ask = F.concat(
-        F.lit("Translate the following text from "), col(src_lang), F.lit(" to "), col(tgt_lang), F.lit(":\n\n"), col(src)
-    )
+    before, between, after = (F.lit(x) for x in TRANSLATION_REQUEST)
+    ask = F.concat(before, col(src_lang), between, col(tgt_lang), after, col(src))
     turns = [message("system", F.lit(TRANSLATION_SYSTEM)), message("user", ask)]
     if target is None:
         return F.array(*turns)

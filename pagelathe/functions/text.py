@@ -25,6 +25,7 @@ WORD_START = rf"(?<!{WORD_CLASS})"
 WORD_END = rf"(?!{WORD_CLASS})"
 
 HYPHEN_BREAK = rf"-\n(?={WORD_CLASS})"
+# What counts as a page number, blank run, gap and dot leader.
 PAGE_NUMBER_LINE = rf"(?mdU)^[{SPACE_CLASS}]*\p{{Nd}}{{1,4}}[{SPACE_CLASS}]*$"
 BLANK_RUN = r"\n{3,}"
 GAP_RUN = r"[ \t]+"

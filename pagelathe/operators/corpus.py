@@ -286,8 +286,8 @@ def chunk_by_stride(df: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_
 
 
 def with_chunk_id(df: DataFrame, *keys: str) -> DataFrame:
-    """Chunk id from its place (source, number), the same in every run."""
-    return df.withColumn("chunk_id", F.xxhash64(*keys))
+    """Chunk id of 128 bits from its place (source, number), the same in every run."""
+    return df.withColumn("chunk_id", F.md5(F.to_json(F.struct(*keys)).cast("binary")))
 
 
 def mark_noise(df: DataFrame, min_chars: int = 150, max_ratio: float = 0.40, text: str = "text") -> DataFrame:

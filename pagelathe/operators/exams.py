@@ -103,7 +103,7 @@ def normalise_exam(
     missing = F.lit(None).cast("string")
     raw_subject = _text(subject) if subject else missing
     named = df.select(
-        _quoted(qa_id).cast("bigint").alias("qa_id"),
+        _quoted(qa_id).alias("qa_id"),
         (F.when(_is_falsy(df, subject), DEFAULT_SUBJECT).otherwise(raw_subject) if subject else F.lit(DEFAULT_SUBJECT)).alias("subject"),
         (_text(question) if question else missing).alias("question"),
         choice_column(df, bare_letters).alias("choices"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,16 @@ def read_parallel(spark: SparkSession, path: str, fmt: str = "json", split: str
     return rows.select("split", "ex_id", F.col("translation.en").alias("en"), F.col("translation.tr").alias("tr"))
 
 
+def with_content_ids(df: DataFrame, id_col: str, *content: str) -> DataFrame:
+    """Ids for a corpus that has none: hash of the content and number of the repeat.
+
+    The same rows get the same ids however they are split over files and tasks.
+    """
+    digest = F.md5(F.to_json(F.struct(*content)).cast("binary"))
+    repeat = F.row_number().over(Window.partitionBy("_digest").orderBy("_digest"))
+    return df.withColumn("_digest", digest).withColumn(id_col, F.concat_ws("-", "_digest", repeat.cast("string"))).drop("_digest")
+
+
 def read_exam(
     spark: SparkSession, path: str, config: str = "History", split: str = "test", fmt: str = "parquet", schema: str | None = None
 ) -> tuple[DataFrame, bool]:

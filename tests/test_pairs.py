@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagelathe.functions import prompts as P
+from pagelathe.sources import readers
 from pagelathe.operators import pairs
 
 PAIR = "ex_id bigint, en string, tr string"
@@ -86,3 +87,12 @@ def test_examples_do_not_depend_on_partitions(spark, parts):
     raw = spark.range(40).select(F.col("id").alias("ex_id"), F.expr("repeat('ab', cast(id as int))").alias("en"), F.lit("abcdef").alias("tr"))
     out = pairs.build_examples(raw.repartition(parts))
     assert sorted(r.ex_id for r in out.collect()) == list(range(6, 80))
+
+
+def test_samples_of_a_corpus_without_ids_do_not_depend_on_partitions(spark):
+    rows = [(f"text {i % 40}", f"metin {i % 40}") for i in range(120)]
+    df = spark.createDataFrame(rows, "src string, tgt string")
+    one, two = (
+        sorted(tuple(r) for r in pairs.sample_cap(readers.with_content_ids(df.repartition(n), "ex_id", "src", "tgt"), 30).collect()) for n in (1, 7)
+    )
+    assert one == two and len(one) == len({r[2] for r in one}) == 30

@@ -1,4 +1,3 @@
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,18 +44,18 @@ def test_clean(values, given, expected):
     assert values(X.clean_text("c"), given) == [expected]
 
 
-def test_clean_against_python(spark, values):
-    """Same result as the rules written with Python's own patterns."""
-    texts = ["a-\nb -\n c\r\n 1 \n\n\n 22\x1c\n333\n\n\n\nx\t\t y  \n4\n5\n 6 \n7 8\n", "\n9", "q\n\n\n10\n\n\n", "é-\né 1\n2"]
-
-    def by_hand(t):
-        t = re.sub(r"-\n(\w)", r"\1", t.replace("\r", ""))
-        t = re.sub(r"^\s*\d{1,4}\s*$", "", t, flags=re.M)
-        return re.sub(r"[ \t]+", " ", re.sub(r"\n{3,}", "\n\n", t)).strip()
-
-    assert values(X.clean_text("c"), *texts) == [by_hand(t) for t in texts]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
-    assert [r.text for r in corpus.clean_documents(df).orderBy("i").collect()] == [by_hand(t) for t in texts]
+def test_clean_whole_column_and_in_steps(spark, values):
+    """Several rules at once; both forms agree."""
+    cases = [
+        ("a-\nb -\n c\r\n 1 \n\n\n 22\x1c\n333\n\n\n\nx\t\t y  \n4\n5\n 6 \n7 8\n", "ab -\n c\n\nx y \n\n7 8"),
+        ("\n9", ""),
+        ("q\n\n\n10\n\n\n", "q"),
+        ("é-\né 1\n2", "éé 1"),
+    ]
+    given, expected = zip(*cases, strict=True)
+    assert values(X.clean_text("c"), *given) == list(expected)
+    df = spark.createDataFrame(list(enumerate(given)), "i int, text string")
+    assert [r.text for r in corpus.clean_documents(df).orderBy("i").collect()] == list(expected)
 
 
 def test_noise(values):
