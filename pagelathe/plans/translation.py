@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelathe.operators.models import Load, batch_generate, batch_score, spread
-from pagelathe.operators.pairs import build_examples, cap_per_direction, sample_cap, with_prompt
+from pagelathe.operators.pairs import build_examples, cap_per_direction, in_direction_order, sample_cap, with_prompt
 from pagelathe.operators.scores import attach_baselines, direction_scores
+from pagelathe.session import scratch_folder
 from pagelathe.sources.readers import EXAMPLES, PREDICTIONS, read_jsonl
 from pagelathe.sources.writers import write_jsonl
 
@@ -24,10 +27,14 @@ def prepare_examples(raw: DataFrame, out: str, train_samples: int = TRAIN_SAMPLE
 
 
 def predict(spark: SparkSession, test: str, out: str, load: Load, limit: int = TEST_LIMIT, batch: int = 8) -> DataFrame:
-    """Translate the capped test split and write the predictions once; returns the written table."""
+    """Translate the capped test split and write the predictions once, in
+    direction order; returns the written table."""
     examples = cap_per_direction(read_jsonl(spark, test, EXAMPLES), limit)
     dealt = spread(with_prompt(examples), "ex_id")
-    write_jsonl(batch_generate(dealt, load, "prompt", "hypothesis", batch).drop("prompt"), out)
+    # Written before it is ordered: sorting looks at its input twice.
+    made = f"{scratch_folder(spark)}/predictions-{uuid.uuid4().hex}"
+    batch_generate(dealt, load, "prompt", "hypothesis", batch).drop("prompt").write.parquet(made)
+    write_jsonl(in_direction_order(spark.read.parquet(made)), out)
     return read_jsonl(spark, out, PREDICTIONS)
 
 
