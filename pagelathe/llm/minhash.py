@@ -24,6 +24,8 @@ from pagelathe.llm.words import mixed
 #: Bounds of a block: items, and shingles of all its items.
 BLOCK_ITEMS = 128
 BLOCK_SHINGLES = 200_000
+#: Items of small components that are compared in one go.
+PACK_ITEMS = 32
 #: Band keys that may be frequent and are settled by a table of this size.
 HEAVY_KEYS, COUNTERS = 1_000, 65_536
 #: Columns of the incidence matrix that are held at once.
@@ -100,9 +102,10 @@ def _compare(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     both = np.zeros((n, n), np.float32)
     if len(number):
         column = np.cumsum(np.concatenate([[0], np.diff(number) != 0]))
+        width = min(TILE, int(column[-1]) + 1)
         cuts = np.searchsorted(column, np.arange(0, column[-1] + 1, TILE))
         for a, b in zip(cuts, [*cuts[1:], len(column)], strict=True):
-            tile = np.zeros((n, TILE), np.float32)
+            tile = np.zeros((n, width), np.float32)
             tile[owner[a:b], column[a:b] % TILE] = 1
             both += tile @ tile.T
     union = sizes[:, None] + sizes[None, :] - both
@@ -137,13 +140,18 @@ def verified(items: DataFrame, keys: DataFrame, texts: DataFrame, shingles: Call
         F.greatest(F.ceil(F.count("*") / BLOCK_ITEMS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("bigint").alias("parts")
     )
     many = staged(parts.where("parts > 1"), "parts")
+    items_, shingles_ = member.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    packs = max(1, items_ // PACK_ITEMS, shingles_ // BLOCK_SHINGLES)
+    # Components of one block share groups; each is compared within itself.
+    single = F.col("parts") == 1
     placed = (
         member.join(many, "component", "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
         .withColumn("part", F.pmod(F.xxhash64("uid"), "parts"))
+        .withColumn("bundle", F.when(single, F.pmod(F.xxhash64("component"), F.lit(packs))).otherwise(F.col("component")))
         .join(texts.select(on, "text"), on)
-        .select("uid", "copies", "component", "part", "text", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other"))
-        .select("uid", "copies", "text", "component", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
+        .select("uid", "copies", "component", "bundle", "part", "text", single.alias("single"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other"))
+        .select("uid", "copies", "text", "component", "bundle", "single", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
     )
 
     def compare(table: pa.Table) -> pa.Table:
@@ -152,6 +160,8 @@ def verified(items: DataFrame, keys: DataFrame, texts: DataFrame, shingles: Call
         within = a == table.column("b")[0].as_py()
         linked = _compare([of(t) for t in table.column("text").to_pylist()], threshold)
         np.fill_diagonal(linked, False)
+        component = table.column("component").to_numpy()
+        linked &= component[:, None] == component[None, :]
         if not within:
             linked &= (part == a)[:, None] != (part == a)[None, :]
         copies = table.column("copies").to_numpy()
@@ -160,7 +170,7 @@ def verified(items: DataFrame, keys: DataFrame, texts: DataFrame, shingles: Call
         return pa.table({"uid": uid[has], "links": linked.sum(axis=1)[has].astype(np.int64), "copies_linked": (linked @ copies)[has].astype(np.int64), "root": uid[_roots(linked)][has]})
 
     schema = "uid bigint, links bigint, copies_linked bigint, root bigint"
-    found = staged(placed.groupBy("component", "a", "b").applyInArrow(compare, schema), "links")
+    found = staged(placed.groupBy("single", "bundle", "a", "b").applyInArrow(compare, schema), "links")
     groups = connected(found.select(F.col("uid").alias("u"), F.col("root").alias("v")))
     sums = found.groupBy("uid").agg(F.sum("links").alias("links"), F.sum("copies_linked").alias("copies_linked"))
     return sums.join(groups.select(F.col("node").alias("uid"), F.col("component").alias("root")), "uid")
