@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagelathe.llm.common import packed, staged
+from pagelathe.llm.common import is_empty, packed, staged
 
 #: Slots of a period, documents of a block, rows of a numbering segment.
 PERIOD = 1_000
@@ -130,8 +130,12 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "so
     schedule = staged(period_schedule(slots, period), "period")
     shares = counts.join(slots, "source").agg(F.sort_array(F.collect_list(F.struct("source", "slots", "n")))).scalar()
     scheduled = counts.join(slots, "source").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    # Sources without a target: one after the other, by name.
+    # Sources without a target: one after the other, by name; often there are none.
     others = counts.join(slots, "source", "left_anti").select("source", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("source").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("others_before"))
+    if is_empty(others):
+        numbered = numbered.withColumn("others_before", F.lit(0).cast("bigint"))
+    else:
+        numbered = numbered.join(others, "source", "left")
 
     placed = (
         numbered.join(F.broadcast(slots), "source", "left")  # at most ``period`` rows
@@ -140,7 +144,6 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "so
         .withColumn("round", div(F.col("block_no"), F.col("slots")))
         .withColumn("turn", F.pmod(F.col("block_no"), F.col("slots")))
         .join(F.broadcast(schedule.select("source", F.col("nth").alias("turn"), "slot", "before")), ["source", "turn"], "left")  # ``period`` rows
-        .join(others, "source", "left")
         .withColumns({"shares": shares, "scheduled": scheduled})
     )
     ahead = F.aggregate(

@@ -39,7 +39,7 @@ def op5_fuzzy_lines(spark, sf):
 
 
 def op6_pfair_mixing(spark, sf):
-    return mixing.mix(table(spark, sf, "documents")).select(F.col("row.doc_id").alias("doc_id"), "source", "block_no", "slot", "position")
+    return mixing.mix(table(spark, sf, "documents").select("doc_id", "source")).select(F.col("row.doc_id").alias("doc_id"), "source", "block_no", "slot", "position")
 
 
 def op7_co_training(spark, sf):
