@@ -1,14 +1,17 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences, each sentence is normalised and looked up among
-known licence sentences, and the resulting sequence of identifiers is matched
-against ordered licence rules.  A rule is a sequence of identifiers that must
+A text is normalised to words and marks where a sentence ends (or, at line ends
+and the like, may end), known licence sentences between marks become
+identifiers, and the resulting sequence of them is matched against ordered
+licence rules.  A rule is a sequence of identifiers that must
 follow one another directly (unknown sentences in between break it); the rules
 are tried in order and what one has matched is gone for the next.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,24 +75,73 @@ RULES = [
     ("LicenseRef-AllRightsReserved", ["Reserved"]),
 ]
 UNKNOWN = "?"
-#: A wrapped line goes on in lower case, or ended in a comma or capital.
-WRAPPED = [(r"\r?\n[ \t]*([a-z(])", " ${1}"), (r"([A-Z,;])[ \t]*\r?\n[ \t]*", "${1} ")]
-#: Sentence ends: dots and the like before white space, a line end, the end.
-ENDS = r"[.!?]+[\s)\"']+|[.!?:]*\s*\n\s*"
-OTHER = r"[^a-z0-9.]+"
-LOOSE_DOTS = r"^[ .]+|[ .]+$"
+#: Marks of a normalised text: a sentence ends; one may end (line ends, ';', ':').
+HARD, SOFT = "!", ";"
+#: Lines without the signs that comments, quotations and lists put before or after them.
+LINES = [
+    (r"\r\n?", "\n"),
+    (r"(?m)^[ \t]*(?:(?:/\*+|\*+[/)]?|//+!?|#+!?|;+|--+|%+|<!--+|\.?\\\"|\(\*+|\{-+|[>|!•]|(?:REM|rem|dnl)\b)[ \t]*)+", ""),
+    (r"(?m)[ \t]*(?:\*+[/)]|--+>|-+\}|[*#|]+)?[ \t]*$", ""),
+    (r"(\A|[.:;]\s+|\n\n+)[ \t]*\(?(?:[0-9]{1,2}|[A-Za-z])[.)][ \t]+", "$1;"),
+]
+#: Sentence ends, ends of addresses and lines.  A line goes on after a comma and before lower case.
+MARKS = [
+    (r"(?i)\bhttps://", "http://"),
+    (r"\b([vV])\.\s+(?=[0-9])", "$1 "),
+    (r"[.!?]+(?=[\s)\"'”’]|\z)|[!?]+", HARD),
+    (r"(http://\S+)(?=\s)", "$1;"),
+    (r":(?=\s|\z)|\n[ \t]*\n\s*", SOFT),
+    (r",[ \t]*\n|\n[ \t]*(?=[a-z(])", " "),
+    (r"\n", SOFT),
+]
+#: Lower case text as words with one blank or mark between them.
+WORDS = [(r"[^a-z0-9.!;]+|(?<![a-z0-9])\.+|\.+(?![a-z0-9])", " "), (r" *;[; ]*", SOFT), (r"[; ]*![!; ]*", HARD), (r"  +", " ")]
+
+
+def normal_text(text: Column) -> Column:
+    """The words of a text, all between marks; an empty text is one mark."""
+    for pattern, by in LINES + MARKS:
+        text = F.regexp_replace(text, pattern, by)
+    text = F.concat(F.lit(HARD), F.lower(text), F.lit(HARD))
+    for pattern, by in WORDS:
+        text = F.regexp_replace(text, pattern, by)
+    return text
+
+
+def normal_sentence(sentence: str) -> str:
+    """The words of a known sentence, as in normal_text."""
+    for pattern, by in MARKS[:2] + [(r"[!?;:]", " ")]:
+        sentence = re.sub(pattern, by.replace("$", "\\"), sentence)
+    return re.sub(r"[^a-z0-9.]+|(?<![a-z0-9])\.+|\.+(?![a-z0-9])", " ", sentence.lower()).strip().replace("  ", " ")
 
 
 def sentence_ids(text: Column, known: dict[str, str]) -> Column:
-    """",A,,?,,B,": identifiers in text order, a run of unknown sentences as one '?'."""
-    for pattern, by in WRAPPED:
-        text = F.regexp_replace(text, pattern, by.replace("${1}", "$1"))
-    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    ids = F.transform(
-        F.split(text, ENDS),
-        lambda s: F.coalesce(F.try_element_at(table, F.regexp_replace(F.regexp_replace(F.lower(s), OTHER, " "), LOOSE_DOTS, "")), F.lit(UNKNOWN)),
-    )
-    return F.regexp_replace(F.concat(F.lit(","), F.array_join(ids, ",,"), F.lit(",")), r"(,\?,)+", f",{UNKNOWN},")
+    """",A,,?,,B,": identifiers in text order, a run of unknown sentences as one '?'.
+
+    A known sentence stands between marks and may have soft ones inside.
+    """
+    # Longer sentences first: a soft mark inside one may end a shorter one.
+    kept = sorted(((normal_sentence(s), i) for s, i in known.items()), key=lambda x: (-len(x[0]), x[0]))
+    steps = F.array(*[
+        F.struct(F.lit(s).alias("words"), F.lit("([!;])" + "[ ;]".join(map(re.escape, s.split())) + "(?=[!;])").alias("pattern"), F.lit(f"$1={n}=").alias("by"))
+        for n, (s, _) in enumerate(kept)
+    ])
+    names = F.create_map(*[F.lit(x) for n, (_, i) in enumerate(kept) for x in (f"={n}=", i)])
+    words = normal_text(text)
+    start = F.transform(F.array(words), lambda w: F.struct(w.alias("text"), F.replace(w, F.lit(SOFT), F.lit(" ")).alias("flat")))[0]
+    marked = F.aggregate(
+        steps,
+        start,
+        lambda state, x: F.struct(
+            F.when(F.contains(state["flat"], x["words"]), F.regexp_replace(state["text"], x["pattern"], x["by"])).otherwise(state["text"]).alias("text"),
+            state["flat"].alias("flat"),
+        ),
+    )["text"]
+    ids = F.transform(F.filter(F.split(marked, "[!;]"), lambda s: s != ""), lambda s: F.coalesce(F.try_element_at(names, s), F.lit(UNKNOWN)))
+    listed = F.regexp_replace(F.concat(F.lit(","), F.array_join(ids, ",,"), F.lit(",")), r"(,\?,)+", f",{UNKNOWN},")
+    # A text with none of the longest words of known sentences has none of them.
+    longest = sorted({max(s.split(), key=len) for s, _ in kept})
+    return F.when(F.lower(text).rlike("|".join(map(re.escape, longest))), listed).otherwise(F.lit(f",{UNKNOWN},"))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
