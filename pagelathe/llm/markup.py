@@ -20,13 +20,14 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 CLOSES_ITSELF = frozenset("li dt dd tr td th option".split())
 SECTIONS = frozenset("article main section div body td center".split())
 
-# Elements, roles and parts of class or id names that mark what is no article text.
+# Elements and roles that mark what is no article text, and names that as a whole
+# mark a menu, an advert or comments, if a block container has them as a class or id.
 ASIDE = frozenset("nav footer aside form button select template svg dialog menu head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
+CONTAINERS = frozenset("center dd div dl fieldset li ol section table tbody td tr ul".split())
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adbox|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe"
-    r"|sidebars?|menu\w*|nav\w*|breadcrumbs?|footer|header|masthead|comments?|commentlist|respond|replies|disqus|share|sharing|social|related|widgets?"
-    r"|toolbar|pagination|pager|search|login|signup)(?:$|[\s_-])",
+    r"(?:ads?|advert|adverts|advertisements?|adsense|sponsored|menu|nav|navigation|breadcrumbs?|pagination|comments?|respond|disqus)"
+    r"(?:[_-]?(?:area|bar|block|box|container|form|list|menu|section|slot|thread|unit|wrap|wrapper|[0-9]+))*",
     re.I,
 )
 DEEP = 256
@@ -45,7 +46,13 @@ def _aside(tag: str, values: dict[str, str], raw: str, inside: bool) -> bool:
         return False
     if values.get("role", "").lower() in ROLES or values.get("aria-hidden") == "true" or re.search(r"(?:^|\s)hidden(?:$|[\s=/])", raw):
         return True
-    return any(NAMES.search(values[k]) for k in ("class", "id") if k in values)
+    if tag not in CONTAINERS:
+        return False
+    names = values.get("class", "").split()
+    # The ids of sections come from their headings.
+    if "id" in values and tag != "section" and "section" not in names:
+        names.append(values["id"].strip())
+    return any(NAMES.fullmatch(n) for n in names)
 
 
 class Node:

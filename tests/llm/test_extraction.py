@@ -60,3 +60,28 @@ def test_odd_pages(spark):
     found = extract_pages(frame).select("row.page_id", "text").collect()
     assert sorted((r.page_id is None, r.page_id or 0, r.text) for r in found) == sorted([*[(False, i, "H same text") for i in [*range(8), 3]], (False, 20, ""), (False, 21, ""), (True, 0, "hello"), (False, 22, "deep")])
     assert extract_pages(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article class='post header-2'>kept<div role=complementary>not</div></article>", "kept"),
+        ("<article><h2 id=related-work>Related</h2><p>a<h2 id=search>Search</h2><p id=comments>b</article>", "Related a Search b"),
+        ("<section id='navigation-systems'><h2>Systems</h2>c</section><section id=navigation>d</section><div class=section id=comments>e</div>", "Systems c d e"),
+        ("<article><div class='entry-header'><h1>Title</h1></div>f</article>", "Title f"),
+        ("<article class='post category-social'>g</article><article class='post tag-advertising menu'>h</article>", "g h"),
+        ("<body class='nav'><p class=ad>i<span class=menu>j</span></p></body>", "ij"),
+        ("<div class='top ad-box'>k</div><ul class=nav-menu><li>l</ul><div id=comments-2>m</div><div class='comment-list'>n</div>o", "o"),
+    ],
+)
+def test_only_whole_names_of_containers_are_aside(page, text):
+    assert text_of(page) == text
+
+
+def test_articles_named_like_asides_are_extracted(spark):
+    def page(i):
+        return f"<html><body><div class=menu>Home {i}</div><div class=share>Share this</div><article class='post category-social'><div class='entry-header'><h1 id=search>Title {i}</h1></div><h2 id=related-work-{i}>Related {i}</h2><section id=navigation><p>Long text number {i} of the section that is found in this page.</p></section></article></body></html>"
+
+    frame = spark.createDataFrame([(i, "https://a.example/p", page(i)) for i in range(12)], "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in extract_pages(frame).select("row.page_id", "text").collect()}
+    assert found == {i: f"Title {i} Related {i} Long text number {i} of the section that is found in this page." for i in range(12)}
