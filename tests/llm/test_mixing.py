@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 
-from pagelathe.llm.mixing import mix, period_schedule, slots_per_period
+from pagelathe.llm.mixing import mix, period_schedule, schedule, slots_per_period
 
 
 def by_hand(slots, period):
@@ -62,3 +62,29 @@ def test_odd_rows(odd):
 def test_too_many_sources(documents):
     with pytest.raises(ValueError):
         mix(documents(*[(i, "t", str(i)) for i in range(12)]), period=10)
+
+
+def test_shares_are_those_of_the_weights_far_beyond_1000_slots(spark):
+    for weights in ([("hot", 305), *[(f"s{i:02}", 91 + i % 3) for i in range(19)], ("t", 1)], [("a", 9_001), ("b", 2_011), ("c", 7), ("d", 1)]):
+        total = sum(w for _, w in weights)
+        found = schedule(spark.createDataFrame([(s, w, w) for s, w in weights], "source string, weight bigint, n bigint"), 1).collect()
+        order = sorted((r.slot, r.source, r.turn) for r in found)
+        assert order == by_hand(weights, total)
+        done = Counter()
+        for slot, source, _ in order:
+            done[source] += 1
+            assert all(abs(done[s] - w * (slot + 1) / total) < 1 for s, w in weights)
+
+
+def test_mix_follows_exact_weights(spark, documents):
+    sizes = {"a": 400, "b": 90, "c": 45, "d": 7}
+    docs = documents(*[(i, "t", s) for s, n in sizes.items() for i in range(n)])
+    weights = {"a": 1_301, "b": 300, "c": 77, "d": 1}
+    frame = spark.createDataFrame(list(weights.items()), "source string, weight bigint")
+    found = mix(docs, frame, block=2).select("source", "block_no", "slot", "position").collect()
+    total = sum(weights.values())
+    wanted = {(s, turn): t for t, s, turn in by_hand(sorted(weights.items()), total)}
+    assert all(r.slot == wanted[r.source, r.block_no % weights[r.source]] + total * (r.block_no // weights[r.source]) for r in found)
+    assert sorted(r.position for r in found) == list(range(sum(sizes.values())))
+    order = sorted(found, key=lambda r: r.position)
+    assert [r.slot for r in order] == sorted(r.slot for r in order)
