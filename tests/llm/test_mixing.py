@@ -88,3 +88,14 @@ def test_mix_follows_exact_weights(spark, documents):
     assert sorted(r.position for r in found) == list(range(sum(sizes.values())))
     order = sorted(found, key=lambda r: r.position)
     assert [r.slot for r in order] == sorted(r.slot for r in order)
+
+
+def test_more_than_1000_sources(documents):
+    """All have a slot by default; the one of 400 rows has the share of its root."""
+    docs = documents(*[(i, "t", "hot" if i < 400 else f"s{i}") for i in range(1_500)])
+    found = mix(docs, block=10).select("source", "slot", "position").collect()
+    assert sorted(r.position for r in found) == list(range(1_500))
+    assert len({r.slot for r in found}) == 1_100 + 40
+    hot = sorted({r.slot for r in found if r.source == "hot"})
+    total = 1_100 + 20
+    assert all(i * total // 20 <= slot < -(-(i + 1) * total // 20) for i, slot in enumerate(hot))
