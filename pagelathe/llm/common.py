@@ -49,6 +49,18 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def joined_hot(rows: DataFrame, found: DataFrame, on: list[str], count: str, share: int = 10_000) -> DataFrame:
+    """Inner join of ``rows`` with one row per key whose ``count`` says how many rows have the key.
+
+    Keys that hold more than one row in ``share`` are fewer than ``share``, so
+    they are broadcast; of the others none is large beside a task.
+    """
+    total = F.lit(found.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0])
+    hot = F.broadcast(found.where(F.col(count) * share > total).drop(count))
+    cold = found.where(F.col(count) * share <= total).drop(count)
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on))
+
+
 def is_empty(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
 

@@ -134,3 +134,29 @@ SELECT doc_id, item_id, similarity, start, n AS n_shingles
 FROM sims WHERE similarity >= 0.8 - 1e-9
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
 """
+
+ORACLE["op11_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT DISTINCT c, c - c % 100 AS head, xor(4294967295::BIGINT, list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, 3988292384::BIGINT * (x & 1))), 4294967295::BIGINT)) % 6 AS h
+  FROM t),
+seq AS (
+  SELECT convs.c, 0 AS part, p, said FROM convs JOIN t ON t.c = convs.head WHERE p <= h
+  UNION ALL SELECT convs.c, 1, p, said FROM convs JOIN t ON t.c = convs.c WHERE p > h),
+whole AS (SELECT convs.c, coalesce(list(said ORDER BY part, p) FILTER (said IS NOT NULL), []) AS path FROM convs LEFT JOIN seq USING (c) GROUP BY convs.c),
+member AS (SELECT c, path, d, path[:d] AS node FROM whole, LATERAL (SELECT unnest(range(0, len(path) + 1)) AS d)),
+nodes AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(path) = d), '') AS ends
+  FROM member GROUP BY node, d),
+kids AS (SELECT node[:d - 1] AS node, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1),
+valued AS (SELECT nodes.*, coalesce(k, 0) AS k, (n - 1) * CASE WHEN d = 0 THEN 0 ELSE length(node[d].text) END AS saved FROM nodes LEFT JOIN kids USING (node)),
+below AS (
+  SELECT node[:e] AS node, sum(saved)::BIGINT AS saved, count(*) FILTER (k = 0) AS leaves
+  FROM (SELECT node, k, saved, unnest(range(0, d + 1)) AS e FROM valued) GROUP BY 1)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n AS n_convs, v.k AS n_children, leaves AS n_leaves, below.saved AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN below ON below.node = v.node LEFT JOIN nodes u ON v.d > 0 AND u.node = v.node[:v.d - 1]
+"""

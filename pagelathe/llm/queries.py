@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelathe.llm import decontaminate, exact_dedup, extraction, licenses, line_dedup, mixing, ngram_join, quality, token_files, warc
+from pagelathe.llm import decontaminate, exact_dedup, extraction, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality, token_files, warc
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -63,6 +63,12 @@ def op10_warc_chunks(spark, sf):
     return found.select(F.col("page_key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+def op11_prefix_trie(spark, sf):
+    turns = prefix_trie.ordered_turns(table(spark, sf, "conversations"))
+    found = prefix_trie.prefix_trie(prefix_trie.rebuilt(turns))
+    return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,5 +82,6 @@ QUERIES = {
         op8_simhash_windows,
         op9_template_extraction,
         op10_warc_chunks,
+        op11_prefix_trie,
     )
 }
