@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelathe.llm import decontaminate, exact_dedup, extraction, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality, token_files, warc
+from pagelathe.llm import alignment, decontaminate, exact_dedup, extraction, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality, token_files, warc
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -69,6 +69,10 @@ def op11_prefix_trie(spark, sf):
     return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op12_token_alignment(spark, sf):
+    return alignment.align(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,5 +87,6 @@ QUERIES = {
         op9_template_extraction,
         op10_warc_chunks,
         op11_prefix_trie,
+        op12_token_alignment,
     )
 }
