@@ -14,6 +14,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +81,10 @@ def byte_incidence(ends: np.ndarray, n_bytes: int) -> Csr:
 
 def group_incidence(ends: np.ndarray, cuts: np.ndarray) -> Csr:
     """Tokens by groups; every token is in the group that its end is in."""
-    return Csr(np.arange(len(ends) + 1), np.searchsorted(cuts, ends).astype(np.int32), np.ones(len(ends), np.int32), len(cuts))
+    # Both ascend, so counting the cuts before each end is one pass, not a search.
+    before = np.zeros(int(cuts[-1]) + 2 if len(cuts) else 1, np.int32)
+    before[cuts + 1] = 1
+    return Csr(np.arange(len(ends) + 1), np.cumsum(before, dtype=np.int32)[ends], np.ones(len(ends), np.int32), len(cuts))
 
 
 def linked(ends_a: np.ndarray, ends_b: np.ndarray, cuts: np.ndarray, tile: int = TILE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,13 +188,17 @@ class Lot:
         self.ids, self.token_ends, self.ends = [], [], []
         for side, lengths in enumerate((aligner.a_lengths, aligner.b_lengths)):
             kept = [i if f else [] for i, f in zip(ids[side], fit, strict=True)]
-            flat = np.fromiter((x for i in kept for x in i), np.int32, sum(map(len, kept)))
+            flat = np.fromiter(chain.from_iterable(kept), np.int32, sum(map(len, kept)))
             self.ids.append(flat)
             self.token_ends.append(np.cumsum([len(i) for i in kept]))
             self.ends.append(np.cumsum(lengths[flat]))
         # A text's last byte ends tokens of both, so groups never reach over it.
-        self.cuts = np.intersect1d(*self.ends)
+        ends_b = np.zeros(int(self.text_ends[-1]) + 1, bool)
+        ends_b[self.ends[1]] = True
+        both = self.ends[0][ends_b[self.ends[0]]]
+        self.cuts = both[np.diff(both, prepend=0) > 0]
         self.links = linked(*self.ends, self.cuts)
+        self.groups = [group_incidence(e, self.cuts) for e in self.ends]
 
     def counts(self) -> dict[str, np.ndarray]:
         """Per text: tokens of either side, groups, links and pairs of one group."""
@@ -198,13 +206,14 @@ class Lot:
         cut_ends = np.searchsorted(self.cuts, self.text_ends, side="right")
         link_ends = np.searchsorted(self.links[0], self.token_ends[0], side="left")
         # Only the size of the group product: each row is as long as its group in B.
-        members = np.diff(group_incidence(self.ends[1], self.cuts).transposed().starts)
-        shared = np.concatenate([[0], np.cumsum(members[group_incidence(self.ends[0], self.cuts).columns])])[self.token_ends[0]]
+        members = np.bincount(self.groups[1].columns, minlength=len(self.cuts))
+        shared = np.concatenate([[0], np.cumsum(members[self.groups[0].columns])])[self.token_ends[0]]
         return {"n_a": per(self.token_ends[0]), "n_b": per(self.token_ends[1]), "n_groups": per(cut_ends), "n_links": per(link_ends), "n_shared": per(shared)}
 
     def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Different id pairs of each text: where texts end, a, b and their number of links."""
-        text = np.searchsorted(self.token_ends[0], self.links[0], side="right")
+        stops = np.searchsorted(self.links[0], self.token_ends[0])
+        text = np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))
         a, b = self.ids[0][self.links[0]].astype(np.int64), self.ids[1][self.links[1]]
         order = np.sort((text << np.int64(40)) + a * width + b) if len(text) else np.empty(0, np.int64)
         new = np.ones(len(order), bool)
@@ -216,9 +225,10 @@ class Lot:
 
     def group_texts(self, signs: list[bytes]) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` of every text; ``signs`` are all ids three times, followed by , | and ;"""
-        groups = [np.searchsorted(self.cuts, e) for e in self.ends]
-        before_b = np.searchsorted(groups[1], groups[0], side="left")
-        before_a = np.searchsorted(groups[0], groups[1], side="right")
+        groups = [g.columns for g in self.groups]
+        members = [np.cumsum(np.bincount(g, minlength=len(self.cuts))) for g in groups]
+        before_b = np.concatenate([[0], members[1]])[groups[0]]
+        before_a = members[0][groups[1]]
         n_ids = len(signs) // 3
         codes = np.empty(sum(map(len, self.ids)), np.int64)
         for side, (ids, group, others) in enumerate(zip(self.ids, groups, (before_b, before_a), strict=True)):
