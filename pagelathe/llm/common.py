@@ -49,16 +49,19 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def joined_hot(rows: DataFrame, found: DataFrame, on: list[str], count: str, share: int = 10_000) -> DataFrame:
-    """Inner join of ``rows`` with one row per key whose ``count`` says how many rows have the key.
+def joined_hot(rows: DataFrame, found: DataFrame, on: list[str], count: str, share: int = 10_000, by: list[str] | None = None) -> DataFrame:
+    """Inner join of ``rows`` with one row per key, whose ``count`` says how many rows have the key.
 
-    Keys that hold more than one row in ``share`` are fewer than ``share``, so
-    they are broadcast; of the others none is large beside a task.
+    Keys that hold more than one row in ``share`` are fewer than ``share``; they
+    are told to all tasks, and their one row is copied so often that no copy
+    meets many rows.  ``by`` are columns that tell rows of a key apart.
     """
-    total = F.lit(found.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0])
-    hot = F.broadcast(found.where(F.col(count) * share > total).drop(count))
-    cold = found.where(F.col(count) * share <= total).drop(count)
-    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on))
+    total = F.lit(found.agg(F.greatest(F.sum(count), F.lit(1))).first()[0])
+    copies = F.ceil(F.col(count) * share / total).cast("int")
+    hot = F.broadcast(found.where(F.col(count) * share > total).select(*on, copies.alias("_copies")))
+    salted = rows.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*(by or rows.columns)), F.coalesce("_copies", F.lit(1))).cast("int"))
+    copied = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop(count)
+    return salted.drop("_copies").join(copied, [*on, "_salt"]).drop("_salt")
 
 
 def is_empty(df: DataFrame) -> bool:

@@ -160,3 +160,18 @@ below AS (
 SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n AS n_convs, v.k AS n_children, leaves AS n_leaves, below.saved AS saved_tokens, sha256(v.ends) AS ends_sha256
 FROM valued v JOIN below ON below.node = v.node LEFT JOIN nodes u ON v.d > 0 AND u.node = v.node[:v.d - 1]
 """
+
+ORACLE["op13_bbit_minhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS no, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT no, CASE WHEN len(words) < 5 THEN md5(array_to_string(words, ' ')) ELSE md5(array_to_string(words[i:i + 4], ' ')) END AS s
+  FROM w, LATERAL (SELECT unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i) WHERE len(words) > 0),
+size AS (SELECT no, count(*) AS n FROM shingle GROUP BY no),
+shared AS (SELECT a.no AS u, b.no AS v, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.no <> b.no GROUP BY 1, 2),
+link AS (SELECT u, v FROM shared JOIN size x ON x.no = u JOIN size y ON y.no = v WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach(a, b) AS (SELECT no, no FROM w UNION SELECT a, v FROM reach JOIN link ON u = b),
+part AS (SELECT a AS no, min(doc_id) AS component_id FROM reach JOIN w ON w.no = b GROUP BY a)
+SELECT doc_id, coalesce(size.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM w JOIN part USING (no) LEFT JOIN size USING (no)
+"""

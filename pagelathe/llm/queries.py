@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelathe.llm import alignment, decontaminate, exact_dedup, extraction, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality, token_files, warc
+from pagelathe.llm import alignment, decontaminate, exact_dedup, extraction, licenses, line_dedup, mixing, near_dup, ngram_join, prefix_trie, quality, token_files, warc
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -73,6 +73,10 @@ def op12_token_alignment(spark, sf):
     return alignment.align(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_bbit_minhash(spark, sf):
+    return near_dup.near_duplicates(table(spark, sf, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,5 +92,6 @@ QUERIES = {
         op10_warc_chunks,
         op11_prefix_trie,
         op12_token_alignment,
+        op13_bbit_minhash,
     )
 }
