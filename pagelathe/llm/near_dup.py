@@ -5,10 +5,11 @@ band are candidates; the bits that two signatures have in common, corrected for
 equal bits by chance, estimate their similarity; only pairs whose estimate is not
 far below the threshold are compared on their full shingle sets.
 
-Candidates come in three rounds, so that a group of n alike is not n * n pairs:
-each item with the first of its band; then, where a band still holds several
-components, each item with its closest outside its own; last every pair of a band
-that may be similar and still lies in two components.
+Groups of n alike are not n * n pairs: first every item is compared with the
+first item of the band where the two look closest.  Where a band still holds
+several components, signatures of its items are compared in blocks, which give
+back one row per item; items that may still have a link are then compared on
+their full sets, again in blocks.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from pagelathe.llm.common import is_empty, joined_hot, staged
 from pagelathe.llm.components import connected
-from pagelathe.llm.minhash import band_keys, multipliers
+from pagelathe.llm.minhash import _compare, _roots, band_keys, multipliers
 from pagelathe.llm.words import WordHashes, rolling
 
 #: Words of a shingle, and the similarity of a link in hundredths.
@@ -33,8 +34,8 @@ BANDS, ROWS = 21, 6
 #: threshold: 0.2 is over five standard deviations of 128 two-bit minima.
 MINIMA, BITS, SLACK = 128, 2, 0.2
 LOW_BITS = 0x5555555555555555
-#: Items of a block; all pairs of blocks of a band are compared, by signature.
-BLOCK_ITEMS = 512
+#: Items of a block of signatures, and items and shingles of a block of sets.
+BLOCK_ITEMS, SET_ITEMS, SET_SHINGLES = 512, 128, 200_000
 #: Shingles that are hashed at once.
 TILE = 4_096
 
@@ -129,63 +130,83 @@ def _with(pairs: DataFrame, items: DataFrame, column: str) -> DataFrame:
     return joined_hot(pairs, found, ["v"], "n", by=["u"])
 
 
-def _close(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose estimate does not rule out the threshold."""
-    return _with(pairs, items, "bits").where(estimate(_same("bits_u", "bits_v")) >= percent / 100 - SLACK).select("u", "v")
+def _closest(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs of each u the one that looks closest, if its estimate does not rule out the threshold."""
+    told = _with(pairs, items, "bits").select("u", "v", _same("bits_u", "bits_v").alias("same"))
+    return told.where(estimate(F.col("same")) >= percent / 100 - SLACK).groupBy("u").agg(F.max(F.struct("same", -F.col("v"))).alias("best")).select("u", (-F.col("best.col2")).alias("v"))
 
 
-def _confirmed(pairs: DataFrame, table: DataFrame, words: int, percent: int) -> DataFrame:
+def _sets(table: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """uid and set of the items wanted, a written table."""
+    return staged(table.select(F.col("no").alias("uid"), "text").join(wanted.distinct(), "uid").select("uid", _setter(words)("text").alias("set")), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("uid")).distinct()
-    sets = staged(table.select(F.col("no").alias("uid"), "text").join(wanted, "uid").select("uid", _setter(words)("text").alias("set")), "sets")
     both = _with(pairs, sets, "set").withColumn("shared", F.size(F.array_intersect("set_u", "set_v")))
     return both.where(100 * F.col("shared") >= percent * (F.size("set_u") + F.size("set_v") - F.col("shared"))).select("u", "v")
 
 
-def _across(members: DataFrame, found: DataFrame, items: DataFrame, percent: int, closest: bool) -> DataFrame:
-    """Pairs (u, v) of a band that lie in two components and whose estimate is high enough.
+def _in_blocks(rows: DataFrame, group: str, parts: Column, bundles: Column) -> DataFrame:
+    """Rows (uid, ...) once for every pair of blocks of their group: single, bundle, a and b name the pair.
 
-    With ``closest`` only the best partner of each item in each pair of blocks.
+    Groups of one block share bundles; each has to be compared within itself.
     """
-    of = members.join(found.withColumnRenamed("node", "uid"), "uid", "left").withColumn("component", F.coalesce("component", "uid"))
-    open_ = of.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high AND n > 2")
-    open_ = staged(open_.select("band", "n"), "open-bands")
-    rows = joined_hot(of.select("band", "uid", "component"), open_.withColumn("size", F.col("n")), ["band"], "n", by=["uid"])
-    total = open_.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = F.ceil(F.col("size") / BLOCK_ITEMS)
-    # Bands of one block share groups; each is compared within itself.
-    bundle = F.when(parts == 1, F.pmod(F.xxhash64("band"), F.lit(max(1, total // BLOCK_ITEMS)))).otherwise(F.col("band"))
-    placed = (
-        rows.join(items.select("uid", "bits"), "uid")
-        .select("band", "uid", "component", "bits", (parts == 1).alias("single"), bundle.alias("bundle"), F.pmod(F.xxhash64("uid"), parts).alias("part"), parts.alias("parts"))
+    bundle = F.when(F.col("parts") == 1, F.pmod(F.xxhash64(group), bundles)).otherwise(F.col(group))
+    return (
+        rows.withColumn("parts", parts.cast("bigint"))
+        .withColumns({"single": F.col("parts") == 1, "bundle": bundle, "part": F.pmod(F.xxhash64("uid"), F.col("parts"))})
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-        .select("band", "uid", "component", "bits", "single", "bundle", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
+        .withColumns({"a": F.least("part", "other"), "b": F.greatest("part", "other")})
+        .drop("parts", "part", "other")
     )
+
+
+def _undecided(members: DataFrame, found: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """(u, v): items that may have a link to another component of a band, tied to the groups they form."""
+    of = staged(members.join(found.withColumnRenamed("node", "uid"), "uid", "left").withColumn("component", F.coalesce("component", "uid")), "of-bands")
+    mixed = of.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    mixed = staged(mixed.where("low <> high").select("band", "n", F.col("n").alias("size")), "mixed-bands")
+    total = mixed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = joined_hot(of.select("band", "uid", "component"), mixed, ["band"], "n", by=["uid"]).join(items.select("uid", "bits"), "uid")
+    placed = _in_blocks(rows, "band", F.ceil(F.col("size") / BLOCK_ITEMS), F.lit(max(1, total // BLOCK_ITEMS)))
     least_same = int(np.ceil(((percent / 100 - SLACK) * (1 - 2.0**-BITS) + 2.0**-BITS) * MINIMA - 1e-9))
 
     def compare(table: pa.Table) -> pa.Table:
         uid, component, band = (table.column(c).to_numpy() for c in ("uid", "component", "band"))
         bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(uid), -1)
-        u, v = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        near = np.empty((len(uid), len(uid)), bool)
         for start in range(0, len(uid), BLOCK_ITEMS):
             rows = slice(start, start + BLOCK_ITEMS)
-            same = np.full((len(uid[rows]), len(uid)), MINIMA)
+            same = np.full(near[rows].shape, MINIMA, np.int16)
             for column in bits.T:
                 x = column[rows, None] ^ column[None, :]
-                same -= np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(LOW_BITS)).astype(np.int64)
-            same[(band[rows, None] != band[None, :]) | (component[rows, None] == component[None, :])] = -1
-            if closest:
-                best = same.argmax(axis=1)
-                i = np.flatnonzero(same[np.arange(len(best)), best] >= least_same)
-                j = best[i]
-            else:
-                i, j = np.nonzero(same >= least_same)
-            u.append(uid[rows][i])
-            v.append(uid[j])
-        u, v = np.concatenate(u), np.concatenate(v)
-        return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
+                same -= np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(LOW_BITS)).astype(np.int16)
+            near[rows] = (same >= least_same) & (band[rows, None] == band[None, :]) & (component[rows, None] != component[None, :])
+        has = near.any(axis=1)
+        return pa.table({"u": uid[has], "v": uid[_roots(near)][has]})
+
+    return placed.select("band", "uid", "component", "bits", "single", "bundle", "a", "b").groupBy("single", "bundle", "a", "b").applyInArrow(compare, "u bigint, v bigint").distinct()
+
+
+def _linked(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): items (node, component) of a group tied to the first that links lead to, by their full sets."""
+    rows = staged(groups.withColumnRenamed("node", "uid").join(sets.select("uid", F.size("set").alias("size")), "uid"), "grouped")
+    whole = rows.groupBy("component").agg(F.count("*").alias("n"), F.greatest(F.ceil(F.count("*") / SET_ITEMS), F.ceil(F.sum("size") / SET_SHINGLES)).alias("blocks"))
+    whole = staged(whole, "groups")
+    items, shingles = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    sized = joined_hot(rows.select("uid", "component"), whole, ["component"], "n", by=["uid"]).join(sets, "uid")
+    placed = _in_blocks(sized, "component", F.col("blocks"), F.lit(max(1, items // SET_ITEMS, shingles // SET_SHINGLES)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        uid, component = table.column("uid").to_numpy(), table.column("component").to_numpy()
+        linked = _compare([x.values.to_numpy() for x in table.column("set")], percent / 100)
+        linked &= component[:, None] == component[None, :]
+        np.fill_diagonal(linked, False)
+        has = linked.any(axis=1)
+        return pa.table({"u": uid[has], "v": uid[_roots(linked)][has]})
 
-    return placed.groupBy("single", "bundle", "a", "b").applyInArrow(compare, "u bigint, v bigint").distinct()
+    return placed.select("uid", "component", "set", "single", "bundle", "a", "b").groupBy("single", "bundle", "a", "b").applyInArrow(compare, "u bigint, v bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -213,16 +234,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = staged(keys.groupBy("band").agg(F.min("uid").alias("first"), F.count("*").alias("n")).where("n > 1"), "shared-bands")
     members = staged(joined_hot(keys, shared, ["band"], "n", by=["uid"]), "members")
 
-    tried = staged(_close(members.where("uid <> first").select(F.col("uid").alias("u"), F.col("first").alias("v")).distinct(), items, percent), "pairs")
-    links = staged(_confirmed(tried, table, words, percent), "links")
+    tried = members.where("uid <> first").select(F.col("uid").alias("u"), F.col("first").alias("v")).distinct()
+    tried = staged(_closest(tried, items, percent), "pairs")
+    links = staged(_confirmed(tried, _sets(table, tried.select(F.explode(F.array("u", "v")).alias("uid")), words), percent), "links")
     found = staged(connected(links), "components")
-    for closest in (True, False):
-        new = staged(_across(members, found, items, percent, closest).join(tried, ["u", "v"], "left_anti"), "pairs")
-        if is_empty(new):
-            continue
-        links = links.unionByName(staged(_confirmed(new, table, words, percent), "links"))
-        tried = tried.unionByName(new)
-        found = staged(connected(links), "components")
+    groups = staged(connected(staged(_undecided(members, found, items, percent), "undecided")), "undecided-groups")
+    if not is_empty(groups):
+        more = staged(_linked(groups, _sets(table, groups.select(F.col("node").alias("uid")), words), percent), "links")
+        found = staged(connected(links.unionByName(more)), "components")
 
     whole = items.join(found.withColumnRenamed("node", "uid"), "uid", "left").select("key", "lead", F.coalesce("component", "uid").alias("component"))
     heads = whole.groupBy("component").agg(F.min("lead").alias("head"), F.count("*").alias("n"))

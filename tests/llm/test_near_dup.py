@@ -67,6 +67,7 @@ def test_against_all_pairs(spark, rows):
 
 def test_small_blocks_and_another_threshold(spark, rows, monkeypatch):
     monkeypatch.setattr(near_dup, "BLOCK_ITEMS", 4)
+    monkeypatch.setattr(near_dup, "SET_ITEMS", 5)
     assert near(spark, rows, percent=90, words=3) == by_hand(rows, 90, 3)
 
 
