@@ -4,25 +4,26 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelathe.functions.text import remove_prefix
 from pagelathe.operators.ordered import top_n_per_group
-from pagelathe.session import scratch_folder
+from pagelathe.session import scratch_folder, shared_files
 
 TOP_K = 5
 ARTICLES_K = 2
 ARTICLE_CHARS = 1500
-# Numbers of one query block that is shipped to every task: 64 MB as doubles,
-# whatever the dimension.
-SHIPPED_CELLS = 8_000_000
+# Numbers of a block of questions, and of a lot of base rows, that a task holds
+# at a time: 32 and 128 MB as doubles, whatever the dimension.
+BLOCK_CELLS, LOT_CELLS = 4_000_000, 16_000_000
 # Questions whose hits are sent to the chunk table.
 FEW_QUERIES = 20_000
 # Size of one distance matrix, and of one exact recomputation.
@@ -44,12 +45,16 @@ def small_query_count(queries: DataFrame, max_queries: int = FEW_QUERIES) -> int
 
 
 class _Nearest:
-    """Running top ``k`` per query over blocks of base rows."""
+    """Running top ``k`` per query over blocks of base rows.
 
-    def __init__(self, queries: np.ndarray, k: int):
+    ``limit`` is a squared distance within which ``k`` base rows are known
+    already, from other rows than these; nothing beyond it is kept.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int, limit: np.ndarray | None = None):
         self.queries, self.k = queries, k
         self.norms = (queries**2).sum(1)
-        self.limit = np.full(len(queries), np.inf)
+        self.limit = np.full(len(queries), np.inf) if limit is None else limit.copy()
         self.best: pd.DataFrame | None = None
 
     def add(self, ids: np.ndarray, base: np.ndarray) -> None:
@@ -78,7 +83,8 @@ class _Nearest:
         self.best = ordered.groupby("q", sort=False).head(self.k)
         full = self.best.groupby("q")["d2"].agg(["size", "max"])
         full = full[full["size"] == self.k]
-        self.limit[full.index.to_numpy()] = full["max"].to_numpy()
+        at = full.index.to_numpy()
+        self.limit[at] = np.minimum(self.limit[at], full["max"].to_numpy())
 
     def hits(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return names[self.best["q"].to_numpy()], self.best["id"].to_numpy(), self.best["d2"].to_numpy()
@@ -89,6 +95,44 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
+def _out_of_reach(queries: np.ndarray, limit: np.ndarray, centre: np.ndarray, radius: float) -> bool:
+    """Whether a ball of base rows is farther from every query than its limit (triangle inequality)."""
+    if not np.isfinite(limit).all():
+        return False
+    away = np.sqrt(((queries - centre) ** 2).sum(1)) - radius
+    # The slack covers rounding, so that rows at exactly the limit are still seen.
+    return bool((away > np.sqrt(limit) + 1e-6 * (1.0 + radius + np.abs(away))).all())
+
+
+def _lots(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Ids and vectors of neighbouring base rows, ``cells`` numbers or a little more at a time."""
+    ids, rows, held = [], [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids.append(batch.column(0))
+        rows.append(_matrix(batch.column(1)))
+        held += rows[-1].size
+        if held >= cells:
+            yield pa.concat_arrays(ids), np.concatenate(rows)
+            ids, rows, held = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), np.concatenate(rows)
+
+
+def _question_blocks(folder: str, cells: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Ids and vectors of the written questions, ``cells`` numbers at most at a time, in the same order each time."""
+    store, paths = shared_files(folder, ".parquet")
+    for path in paths:
+        with store.open_input_file(path) as source:
+            file = pq.ParquetFile(source)
+            if not file.metadata.num_rows:
+                continue
+            wide = next(file.iter_batches(batch_size=1)).column(1)
+            for batch in file.iter_batches(batch_size=max(1, cells // max(1, len(wide[0])))):
+                yield batch.column(0), _matrix(batch.column(1))
+
+
 def knn_topk(
     queries: DataFrame,
     base: DataFrame,
@@ -96,52 +140,48 @@ def knn_topk(
     query_id: str = "qa_id",
     chunk_id: str = "chunk_id",
     vector: str = "embedding",
-    max_cells: int = SHIPPED_CELLS,
+    max_cells: int = BLOCK_CELLS,
+    lot_cells: int = LOT_CELLS,
 ) -> DataFrame:
     """``query_id, rank, chunk_id, distance`` of the exact Euclidean top ``k``.
 
     Ties go to the lower chunk id; nothing is de-duplicated; ids are of any
     type.  The question vectors are written once, so that a model behind them
-    runs once per question.  They travel to the tasks in blocks of at most
-    ``max_cells`` numbers; for each block the base is read in place, never
-    shuffled, by as many tasks as there are cores, each with a running top
-    ``k``.
+    runs once per question, and never pass the driver: a task holds one lot of
+    its base rows and reads the question files block by block.  The base is read
+    once, in place, however many questions there are.  A lot that the triangle
+    inequality puts beyond what a block's questions have found is skipped.
     """
     spark = base.sparkSession
-    path = f"{scratch_folder(spark)}/questions-{uuid.uuid4().hex}"
-    queries.select(query_id, vector).where(F.col(vector).isNotNull()).write.parquet(path)
-    q = spark.read.parquet(path)
+    folder = f"{scratch_folder(spark)}/questions-{uuid.uuid4().hex}"
+    q = queries.select(query_id, vector).where(F.col(vector).isNotNull())
+    q.write.parquet(folder)
     b = base.select(chunk_id, vector).where(F.col(vector).isNotNull()).coalesce(spark.sparkContext.defaultParallelism)
-    n, size = q.agg(F.count("*"), F.max(F.size(vector))).first()
-    blocks = max(1, -(-n * (size or 1) // max_cells))
     schema = T.StructType([q.schema[query_id], b.schema[chunk_id], T.StructField("_d2", T.DoubleType())])
-    place = F.pmod(F.xxhash64(query_id), F.lit(blocks))
-    near = [_knn_shipped(q.where(place == i) if blocks > 1 else q, b, k, vector, schema) for i in range(blocks)]
-    top = top_n_per_group(reduce(DataFrame.unionAll, near), [query_id], [F.col("_d2"), F.col(chunk_id)], k, rank="rank")
-    return top.select(query_id, F.col("rank").cast("int").alias("rank"), chunk_id, F.sqrt("_d2").alias("distance"))
-
-
-def _knn_shipped(q: DataFrame, b: DataFrame, k: int, vector: str, schema: T.StructType) -> DataFrame:
-    """One block of questions, within its bound: broadcast, one partial top ``k`` per task."""
-    spark = b.sparkSession
-    rows = q.toArrow()
-    if not rows.num_rows:
-        return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast((rows.column(0).to_numpy(), _matrix(rows.column(vector))))
-    names, kinds = schema.names, [rows.schema.field(0).type]
+    names = schema.names
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, matrix = shared.value
-        nearest, kind = _Nearest(matrix, k), None
-        for batch in batches:
-            if batch.num_rows:
-                kind = batch.schema.field(0).type
-                nearest.add(batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)))
-        if kind is not None:
-            found = zip(nearest.hits(keys), [*kinds, kind, pa.float64()], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in found], names)
-
-    return b.mapInArrow(scan, schema)
+        limits: dict[int, np.ndarray] = {}  # one number per question
+        for ids, rows in _lots(batches, lot_cells):
+            centre = rows.mean(axis=0)
+            radius = float(np.sqrt(((rows - centre) ** 2).sum(1).max()))
+            numbers = np.arange(len(ids))
+            # Equal distances go to the lower id, so rows are numbered in the order of ids.
+            order = pc.sort_indices(ids)
+            ids, rows = ids.take(order), rows[order.to_numpy()]
+            for at, (keys, block) in enumerate(_question_blocks(folder, max_cells)):
+                known = limits.get(at)
+                if known is not None and _out_of_reach(block, known, centre, radius):
+                    continue
+                nearest = _Nearest(block, k, known)
+                nearest.add(numbers, rows)
+                limits[at] = nearest.limit
+                of, hit, d2 = nearest.hits(np.arange(len(keys)))
+                if len(of):
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(of)), ids.take(pa.array(hit)), pa.array(d2)], names)
+
+    top = top_n_per_group(b.mapInArrow(scan, schema), [query_id], [F.col("_d2"), F.col(chunk_id)], k, rank="rank")
+    return top.select(query_id, F.col("rank").cast("int").alias("rank"), chunk_id, F.sqrt("_d2").alias("distance"))
 
 
 def attach_text(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
@@ -34,3 +35,10 @@ def scratch_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="pagelathe-")
+
+
+def shared_files(folder: str, ending: str) -> tuple[fs.FileSystem, list[str]]:
+    """File system and paths, in order, of a written table's files, for tasks that read them themselves."""
+    store, at = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+    found = store.get_file_info(fs.FileSelector(at))
+    return store, sorted(f.path for f in found if f.is_file and f.path.endswith(ending))

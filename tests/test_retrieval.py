@@ -40,7 +40,7 @@ def brute(queries, base, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"max_cells": 40}])
+@pytest.mark.parametrize("options", [{}, {"max_cells": 40}, {"max_cells": 12, "lot_cells": 20}])
 def test_both_plans_match_brute_force_with_hot_copies(spark, options, monkeypatch):
     """A third of the base is one vector; distances tie in bulk and ids decide."""
     monkeypatch.setattr(retrieval, "MATRIX_CELLS", 500)
@@ -92,3 +92,15 @@ def test_text_is_joined_with_and_without_a_bound(spark):
     assert sorted(r.text for r in small.collect()) == sorted(r.text for r in large.collect()) == ["five", "five"]
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_far_lots_are_skipped_and_nothing_is_lost(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    queries = [(i, rng.normal(size=3)) for i in range(20)]
+    base = [(i, rng.normal(size=3) + (0 if i < 30 else 50 * (i // 30))) for i in range(150)]
+    q, b = sides(spark, queries, base)
+    assert found(retrieval.knn_topk(q, b.coalesce(1), 4, lot_cells=90)) == brute(queries, base, 4)
+    rows, limit = np.array([v for _, v in queries]), np.full(20, 9.0)
+    assert retrieval._out_of_reach(rows, limit, np.full(3, 50.0), 4.0)
+    assert not retrieval._out_of_reach(rows, limit, np.full(3, 50.0), 84.0)
+    assert not retrieval._out_of_reach(rows, np.full(20, np.inf), np.full(3, 50.0), 4.0)
