@@ -1,7 +1,6 @@
 """DuckDB SQL for the registered queries.
 
-Queries without SQL: ``chunk_recursive`` and ``book_chunks``, whose packing rule
-walks a text with a state and is tested against brute force instead.
+Every query has its twin here.
 """
 
 from __future__ import annotations
@@ -127,6 +126,47 @@ def noise(x: str) -> str:
   WHEN length(regexp_replace({s}, '[\p{{L}}\p{{N}}{WS}]+', '', 'g'))::DOUBLE / length({s}) > 0.4::DOUBLE THEN 'symbols' END"""
 
 
+# Where to cut, size and overlap of chunks, and what counts as white space at a chunk's ends.
+SEPARATORS = ("chr(10) || chr(10)", "chr(10)", "'. '", "'! '", "'? '", "' '")
+SIZE, OVERLAP = 800, 120
+SPACES = " || ".join(f"chr({c})" for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
+
+
+def packed_ctes(source: str, key: str) -> str:
+    """CTEs that end in ``packed`` (key, chunk_no, text): pieces between
+    separators, coarse to fine, joined up to the size with an overlap.
+
+    ``seg`` are parts still to be cut, ``cut`` their pieces by start and end;
+    small neighbours form a run, long ones go to the next separator.  ``step``
+    walks the edges of a run, chunk by chunk.  Needs WITH RECURSIVE.
+    """
+    parts = [f"uncut AS (SELECT {key}, coalesce(text, '') AS body FROM {source}), seg0 AS (SELECT {key}, 0 AS lo, length(body) AS hi FROM uncut)"]
+    for n, sign in enumerate(SEPARATORS):
+        parts.append(f"""
+part{n} AS (SELECT {key}, lo, hi, string_split(substr(body, lo + 1, hi - lo), {sign}) AS p FROM seg{n} JOIN uncut USING ({key})),
+flat{n} AS (SELECT {key}, lo, hi, unnest(p) AS piece, unnest(range(0, len(p))) AS i FROM part{n} WHERE len(p) > 1),
+edge{n} AS (
+  SELECT {key}, lo, hi, i, lo + CASE WHEN i = 0 THEN 0 ELSE (sum(length(piece)) OVER w)::BIGINT - length(piece) + (i - 1) * length({sign}) END AS a
+  FROM flat{n} WINDOW w AS (PARTITION BY {key}, lo ORDER BY i)),
+whole{n} AS (SELECT {key}, lo, a, coalesce(lead(a) OVER (PARTITION BY {key}, lo ORDER BY i), hi) AS b FROM edge{n}),
+cut{n} AS (SELECT *, (count(*) FILTER (b - a >= {SIZE}) OVER (PARTITION BY {key}, lo ORDER BY a)) AS island FROM whole{n} WHERE b > a),
+run{n} AS (SELECT {key}, list_prepend(min(a), list(b ORDER BY a)) AS e FROM cut{n} WHERE b - a < {SIZE} GROUP BY {key}, lo, island),
+seg{n + 1} AS (
+  SELECT {key}, a AS lo, b AS hi FROM cut{n} WHERE b - a >= {SIZE} UNION ALL SELECT {key}, lo, hi FROM part{n} WHERE len(p) <= 1)""")
+    last = len(SEPARATORS)
+    runs = " UNION ALL ".join([*(f"SELECT * FROM run{n}" for n in range(last)), f"SELECT {key}, range(lo, hi + 1) AS e FROM seg{last}"])
+    parts.append(f"""
+runs AS MATERIALIZED (SELECT row_number() OVER () AS run, {key}, e FROM ({runs}) WHERE len(e) > 1),
+step AS (
+  SELECT run, 1::BIGINT AS f, 1 + len(list_filter(e[2:{SIZE} + 1], lambda x: x <= e[1] + {SIZE})) AS l FROM runs
+  UNION ALL
+  SELECT run, f, f + len(list_filter(e[f + 1:f + {SIZE}], lambda x: x <= e[f] + {SIZE})) AS l FROM (
+    SELECT run, e, least(f + len(list_filter(e[f:l], lambda x: x < greatest(e[l] - {OVERLAP}, e[l + 1] - {SIZE}))), l) AS f FROM step JOIN runs USING (run) WHERE l < len(e))),
+chunked AS (SELECT {key}, e[1] AS start, f, trim(substr(body, e[f] + 1, e[l] - e[f]), {SPACES}) AS text FROM step JOIN runs USING (run) JOIN uncut USING ({key})),
+packed AS (SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY start, f) - 1 AS chunk_no, text FROM chunked WHERE text <> '')""")
+    return ",".join(parts)
+
+
 def stride_cte(source: str, keys: str) -> str:
     return f"""
 windows AS (SELECT {keys}, text, unnest(range(0, greatest(1, ceil((length(text) - 120) / 680.0))::BIGINT)) AS chunk_no FROM {source} WHERE text <> ''),
@@ -142,6 +182,13 @@ noisy AS (
 marked AS (SELECT doc_id, lang, chunk_no, {noise("text")} AS drop_reason FROM noisy)
 """
 
+NOISY = """
+noisy AS (
+  SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN replace(text, 'en', 'e-' || chr(13) || chr(10) || 'n')
+    WHEN 1 THEN replace(text, '. ', '.' || repeat(chr(10), 4) || ' 12 ' || repeat(chr(10), 2))
+    ELSE replace(text, ' ', ' ' || chr(9) || ' ') END AS text FROM documents)
+"""
+
 HEADED = """
 headed AS (
   SELECT doc_id, CASE doc_id % 6
@@ -223,9 +270,9 @@ def unit(v: str) -> str:
 
 
 RAG = f"""
-WITH {stride_cte("documents", "doc_id")},
+WITH RECURSIVE {packed_ctes("documents", "doc_id")},
 kb AS (SELECT doc_id::BIGINT * 4294967296 + chunk_no AS chunk_id, text, {counts("('passage: ' || text)")} AS v
-       FROM chunks WHERE text <> '' AND {noise("text")} IS NULL),
+       FROM packed WHERE text <> '' AND {noise("text")} IS NULL),
 kbn AS (SELECT chunk_id, text, {unit("v")} AS e FROM kb),
 ask AS (SELECT item_id AS qa_id, text AS question, string_split(text, ' ') AS w, {counts("('query: ' || text)")} AS v FROM benchmark),
 askn AS (SELECT qa_id, {unit("v")} AS e FROM ask),
@@ -319,8 +366,8 @@ DISPLAY = lambda c, sign="": f"coalesce(printf('%{sign}.4f', {c}), '—')"  # no
 
 ORACLE = {
     "kept_chunks_per_language": f"""
-WITH src AS (SELECT doc_id, lang, {clean("text")} AS text FROM documents), {trim_ctes("src", "doc_id, lang")}, {stride_cte("trimmed", "doc_id, lang")}
-SELECT lang, count(*) AS n_chunks, sum(length(text))::BIGINT AS n_chars FROM chunks WHERE text <> '' AND {noise("text")} IS NULL GROUP BY 1""",
+WITH RECURSIVE src AS (SELECT doc_id, lang, {clean("text")} AS text FROM documents), {trim_ctes("src", "doc_id, lang")}, {packed_ctes("trimmed", "doc_id, lang")}
+SELECT lang, count(*) AS n_chunks, sum(length(text))::BIGINT AS n_chars FROM packed WHERE text <> '' AND {noise("text")} IS NULL GROUP BY 1""",
     "pairs_clean": PAIRS + "SELECT * FROM examples",
     "pairs_one_direction": PAIRS + "SELECT * FROM examples WHERE src_lang = 'English'",
     "pairs_sample": PAIRS + "SELECT * FROM examples ORDER BY md5(ex_id || '|42'), ex_id LIMIT 150",
@@ -348,6 +395,12 @@ SELECT doc_id, {clean("text")} AS text FROM noisy""",
 WITH {HEADED}, {trim_ctes('headed', 'doc_id')}
 SELECT doc_id, length(replace(text, chr(10), '')) AS kept_chars, trimmed_front, trimmed_end FROM trimmed""",
     "chunk_stride": f"WITH {stride_cte('documents', 'doc_id')} SELECT doc_id, chunk_no, text FROM chunks WHERE text <> ''",
+    "chunk_recursive": f"WITH RECURSIVE {packed_ctes('documents', 'doc_id')} SELECT doc_id, chunk_no, text FROM packed",
+    "chunk_noisy": f"WITH RECURSIVE {NOISY}, {packed_ctes('noisy', 'doc_id')} SELECT doc_id, chunk_no, text FROM packed",
+    "chunk_headed": f"WITH RECURSIVE {HEADED}, {trim_ctes('headed', 'doc_id')}, {packed_ctes('trimmed', 'doc_id')} SELECT doc_id, chunk_no, text FROM packed",
+    "book_chunks": f"""
+WITH RECURSIVE src AS (SELECT 'book-' || doc_id AS source, {clean("text")} AS text FROM documents), {trim_ctes("src", "source")}, {packed_ctes("trimmed", "source")}
+SELECT source, chunk_no, text FROM packed WHERE {noise("text")} IS NULL""",
     "chunk_noise": NOISY_CHUNKS + "SELECT doc_id, chunk_no, drop_reason FROM marked",
     "noise_report": NOISY_CHUNKS
     + "SELECT lang, count(*) AS n_before, count(*) FILTER (WHERE drop_reason IS NULL) AS n_after, count(drop_reason) AS n_dropped FROM marked GROUP BY 1",
@@ -451,7 +504,7 @@ WITH {exam(False)}
 SELECT * EXCLUDE (drop_reason, answer_in_choices) FROM items WHERE drop_reason IS NULL AND qa_id % 4 = 0""",
     "io_summary": MARKED + "SELECT 'all' AS mode, count(*) AS n, count(*) FILTER (WHERE correct) AS correct FROM judged",
     "io_knowledge_base": f"""
-WITH src AS (SELECT doc_id, {clean("text")} AS text FROM documents), {trim_ctes("src", "doc_id")}, {stride_cte("trimmed", "doc_id")}
-SELECT doc_id, chunk_no, text, 'passage: ' || text AS embed_text, 26::BIGINT AS dims FROM chunks WHERE text <> '' AND {noise("text")} IS NULL""",
+WITH RECURSIVE src AS (SELECT doc_id, {clean("text")} AS text FROM documents), {trim_ctes("src", "doc_id")}, {packed_ctes("trimmed", "doc_id")}
+SELECT doc_id, chunk_no, text, 'passage: ' || text AS embed_text, 26::BIGINT AS dims FROM packed WHERE text <> '' AND {noise("text")} IS NULL""",
 }
 ORACLE["knn_blocked"] = ORACLE["knn_topk"]

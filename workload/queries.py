@@ -108,6 +108,16 @@ def chunk_recursive(spark, sf):
     return corpus.chunk_documents(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def chunk_noisy(spark, sf):
+    """Exact chunks of texts with blank runs, tabs and broken words, as they are."""
+    return corpus.chunk_documents(inputs.noisy_documents(spark, sf))
+
+
+def chunk_headed(spark, sf):
+    """Exact chunks of texts with headings, after the trim."""
+    return corpus.chunk_documents(corpus.trim_boilerplate(inputs.headed_documents(spark, sf)).select("doc_id", "text"))
+
+
 def _noisy_chunks(spark, sf):
     chunks = corpus.chunk_by_stride(table(spark, sf, "documents").select("doc_id", "lang", "text"))
     swapped = F.translate("text", "enatir", "#%*=+~")
@@ -129,9 +139,9 @@ def noise_reasons(spark, sf):
 
 
 def kept_chunks_per_language(spark, sf):
-    """Clean, trim, cut in the JVM, drop noise, count: the corpus path end to end."""
+    """Clean, trim, cut, drop noise, count: the corpus path end to end."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    chunks = knowledge.chunks_from_documents(docs, ("doc_id", "lang"), native=True)
+    chunks = knowledge.chunks_from_documents(docs, ("doc_id", "lang"))
     return chunks.groupBy("lang").agg(F.count("*").alias("n_chunks"), F.sum(F.length("text").cast("bigint")).alias("n_chars"))
 
 
@@ -217,7 +227,7 @@ def articles_topk(spark, sf):
 def _document_kb(spark, sf):
     """Documents as a stored knowledge base: searched and read back without cutting them again."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    kept = corpus.drop_noise(corpus.chunk_by_stride(docs))
+    kept = corpus.drop_noise(corpus.chunk_documents(docs))
     # Readable ids for the SQL twin; chunks_from_documents hashes them instead.
     numbered = kept.withColumn("chunk_id", F.col("doc_id") * (1 << 32) + F.col("chunk_no"))
     chunks = numbered.withColumn("embed_text", X.add_prefix("text"))
@@ -441,7 +451,7 @@ def io_knowledge_base(spark, sf):
     """Chunks embedded, written as the chunk table and read back."""
     home = _folder(spark, "kb")
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    chunks = knowledge.chunks_from_documents(docs, ("doc_id",), native=True)
+    chunks = knowledge.chunks_from_documents(docs, ("doc_id",))
     kb = knowledge.build_knowledge_base(chunks, inputs.load_letter_embedder, home)
     return kb.select("doc_id", "chunk_no", "text", "embed_text", F.size("embedding").cast("bigint").alias("dims"))
 
@@ -464,6 +474,8 @@ QUERIES = {
         doc_trim_parts,
         chunk_stride,
         chunk_recursive,
+        chunk_noisy,
+        chunk_headed,
         chunk_noise,
         noise_report,
         noise_reasons,
