@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagelathe.functions.prompts import render_chat, translation_messages
 from pagelathe.functions.text import direction, strip_or_empty
@@ -39,12 +40,17 @@ def length_band(
 
 
 def expand_directions(df: DataFrame, both: bool = True, pair_id: str = "ex_id") -> DataFrame:
-    """One row per translation direction; ``ex_id`` becomes 2 * pair + direction."""
+    """One row per translation direction; ``ex_id`` becomes 2 * pair + direction.
+
+    Ids that are no integers become text, with the direction behind a point.
+    """
     ends = [("en", "tr"), ("tr", "en")] if both else [("en", "tr")]
+    whole = isinstance(df.schema[pair_id].dataType, T.IntegralType)
+    named = lambda i: (F.col(pair_id) * 2 + i).cast("bigint") if whole else F.concat(F.col(pair_id).cast("string"), F.lit(f".{i}"))
     rows = F.array(
         *[
             F.struct(
-                (F.col(pair_id) * 2 + i).cast("bigint").alias("ex_id"),
+                named(i).alias("ex_id"),
                 F.lit(LANGUAGES[a]).alias("src_lang"),
                 F.lit(LANGUAGES[b]).alias("tgt_lang"),
                 F.col(a).alias("src"),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagelathe.session import scratch_folder
+
 PAIRS = "split string, ex_id bigint, translation struct<en:string,tr:string>"
 EXAMPLES = "ex_id bigint, src_lang string, tgt_lang string, src string, tgt string"
 PREDICTIONS = EXAMPLES + ", hypothesis string"
@@ -22,22 +26,41 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType) -> Da
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_parallel(spark: SparkSession, path: str, fmt: str = "json", split: str | None = None) -> DataFrame:
-    """Parallel corpus as ``split, ex_id, en, tr``; only the two nested fields are read from Parquet."""
-    rows = read_jsonl(spark, path, PAIRS) if fmt == "json" else spark.read.schema(PAIRS).format(fmt).load(path)
+def read_parallel(spark: SparkSession, path: str, fmt: str = "json", split: str | None = None, own_ids: bool = True) -> DataFrame:
+    """Parallel corpus as ``split, ex_id, en, tr``; only the two nested fields are read from Parquet.
+
+    Without ``own_ids`` the files need no ids: rows get those of ``with_content_ids``.
+    """
+    schema = PAIRS if own_ids else PAIRS.replace("ex_id bigint, ", "")
+    rows = read_jsonl(spark, path, schema) if fmt == "json" else spark.read.schema(schema).format(fmt).load(path)
     if split is not None:
         rows = rows.where(F.col("split") == split)
-    return rows.select("split", "ex_id", F.col("translation.en").alias("en"), F.col("translation.tr").alias("tr"))
+    rows = rows.select("split", *(["ex_id"] if own_ids else []), F.col("translation.en").alias("en"), F.col("translation.tr").alias("tr"))
+    return rows if own_ids else with_content_ids(rows, "ex_id", "split", "en", "tr").select("split", "ex_id", "en", "tr")
 
 
 def with_content_ids(df: DataFrame, id_col: str, *content: str) -> DataFrame:
-    """Ids for a corpus that has none: hash of the content and number of the repeat.
+    """Ids for a corpus that has none: 128-bit hash of the content and number of the repeat.
 
     The same rows get the same ids however they are split over files and tasks.
+    Rows are written once; repeats are numbered inside the task that wrote them,
+    and only one count per digest and task is summed across tasks, so that a row
+    repeated very often is no work of one task.
     """
-    digest = F.md5(F.to_json(F.struct(*content)).cast("binary"))
-    repeat = F.row_number().over(Window.partitionBy("_digest").orderBy("_digest"))
-    return df.withColumn("_digest", digest).withColumn(id_col, F.concat_ws("-", "_digest", repeat.cast("string"))).drop("_digest")
+    spark = df.sparkSession
+    texts = [F.col(c).cast("string") for c in content]
+    told = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    path = f"{scratch_folder(spark)}/rows-{uuid.uuid4().hex}"
+    marked = df.withColumns({"_digest": F.md5(F.concat_ws("|", *told).cast("binary")), "_part": F.spark_partition_id()})
+    marked.write.parquet(path)
+    rows = spark.read.schema(marked.schema).parquet(path)
+    counts = rows.groupBy("_digest", "_part").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_digest").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_digest", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy("_digest", "_part").orderBy(F.lit(0)))
+    numbered = rows.withColumn("_local", local).join(before, ["_digest", "_part"])
+    number = (F.col("_before") + F.col("_local")).cast("string")
+    return numbered.withColumn(id_col, F.concat_ws("-", "_digest", number)).drop("_digest", "_part", "_local", "_before")
 
 
 def read_exam(

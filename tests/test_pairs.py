@@ -96,3 +96,21 @@ def test_samples_of_a_corpus_without_ids_do_not_depend_on_partitions(spark):
         sorted(tuple(r) for r in pairs.sample_cap(readers.with_content_ids(df.repartition(n), "ex_id", "src", "tgt"), 30).collect()) for n in (1, 7)
     )
     assert one == two and len(one) == len({r[2] for r in one}) == 30
+
+
+def test_content_ids_of_repeats_in_any_layout(spark):
+    rows = [("same", None)] * 40 + [(None, "same"), ("a", "b"), ("a", "b"), ("", None)]
+    df = spark.createDataFrame(rows, "en string, tr string")
+    found = []
+    for n in (1, 3, 9):
+        got = readers.with_content_ids(df.repartition(n), "ex_id", "en", "tr").collect()
+        assert len({r.ex_id for r in got}) == len(rows) and {(r.en, r.tr) for r in got} == set(rows)
+        found.append(sorted(r.ex_id for r in got))
+    assert found[0] == found[1] == found[2]
+    same = [i for i in found[0] if sum(j.startswith(i.split("-")[0]) for j in found[0]) == 40]
+    assert sorted(int(i.split("-")[1]) for i in same) == list(range(1, 41))
+
+
+def test_directions_of_ids_that_are_text(spark):
+    df = spark.createDataFrame([("k-1", "one two", "bir iki")], "ex_id string, en string, tr string")
+    assert [r.ex_id for r in pairs.expand_directions(df).orderBy("ex_id").collect()] == ["k-1.0", "k-1.1"]

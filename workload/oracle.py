@@ -499,6 +499,20 @@ tally AS (SELECT qa_id, answer, count(answer) AS votes FROM said GROUP BY 1, 2)
 SELECT qa_id, answer, votes, sum(votes) OVER (PARTITION BY qa_id)::BIGINT AS n_votes FROM tally
 QUALIFY row_number() OVER (PARTITION BY qa_id ORDER BY votes DESC, answer IS NULL, answer) = 1""",
     "io_examples": PAIRS + "SELECT * EXCLUDE (split) FROM examples",
+    "io_without_ids": PAIRS
+    + f""",
+bare AS (SELECT pair, split, raw.en, raw.tr FROM raw JOIN pairs USING (pair)),
+twice AS (SELECT * FROM bare UNION ALL SELECT * FROM bare WHERE pair % 3 = 0),
+named AS (
+  SELECT *, md5(concat_ws('|', {", ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in ("split", "en", "tr"))})) AS digest FROM twice),
+ided AS (
+  SELECT digest || '-' || row_number() OVER (PARTITION BY digest) AS id, {strip("coalesce(en, '')")} AS en, {strip("coalesce(tr, '')")} AS tr FROM named),
+good AS (SELECT * FROM ided WHERE en <> '' AND tr <> '' AND least(length(en), length(tr)) >= 5 AND greatest(length(en), length(tr)) <= 2000),
+both_ways AS (
+  SELECT id || '.0' AS ex_id, 'English' AS src_lang, 'Turkish' AS tgt_lang, en AS src, tr AS tgt FROM good
+  UNION ALL SELECT id || '.1', 'Turkish', 'English', tr, en FROM good),
+sample AS (SELECT * FROM both_ways ORDER BY md5(ex_id || '|42'), ex_id LIMIT 150)
+SELECT * FROM sample QUALIFY row_number() OVER (PARTITION BY src_lang ORDER BY ex_id) <= 40""",
     "io_exam": f"""
 WITH {exam(False)}
 SELECT * EXCLUDE (drop_reason, answer_in_choices) FROM items WHERE drop_reason IS NULL AND qa_id % 4 = 0""",

@@ -429,6 +429,16 @@ def io_examples(spark, sf):
     return readers.read_jsonl(spark, f"{home}/examples", readers.EXAMPLES)
 
 
+def io_without_ids(spark, sf):
+    """Pairs in files without ids, some repeated: content ids, both directions, sample and cap."""
+    raw = inputs.raw_pairs(spark, sf)
+    home = _folder(spark, "bare")
+    rows = raw.unionByName(raw.where(F.col("ex_id") % 3 == 0)).select("split", F.struct("en", "tr").alias("translation"))
+    writers.write_jsonl(rows, home)
+    examples = pairs.build_examples(readers.read_parallel(spark, home, own_ids=False)).drop("split")
+    return pairs.cap_per_direction(pairs.sample_cap(examples, 150), 40)
+
+
 def io_exam(spark, sf):
     """Exam rows laid out by subject and split; one subject read back and normalised."""
     home = _folder(spark, "exam")
@@ -520,6 +530,7 @@ QUERIES = {
         lang_match,
         vote,
         io_examples,
+        io_without_ids,
         io_exam,
         io_summary,
         io_knowledge_base,
