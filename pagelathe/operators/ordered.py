@@ -7,11 +7,14 @@ one small row per segment across them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagelathe.session import scratch_folder
+
 SEGMENT = "_segment"
 SEGMENT_WIDTH = 65_536
 
@@ -51,38 +54,29 @@ def with_segments(df: DataFrame, order_by: str, width: int | Column = SEGMENT_WI
     return df.withColumn(name, whole_quotient(F.col(order_by).cast("bigint"), width))
 
 
-def spanning_width(df: DataFrame, order_by: str, segments: int = 1_000_000) -> Column:
-    """Segment width that covers the value range with at most ``segments``."""
-    # In doubles: hashed ids span more than a bigint holds.
-    span = F.max(order_by).cast("double") - F.min(order_by).cast("double") + 1
-    wanted = F.ceil(span / F.lit(float(segments))).cast("bigint")
-    return df.agg(F.greatest(F.lit(SEGMENT_WIDTH).cast("bigint"), wanted)).scalar()
-
-
-def with_positions(
-    df: DataFrame, keys: Sequence[str], order_by: str, width: int | Column | None = None, name: str = "position"
-) -> DataFrame:
+def with_positions(df: DataFrame, keys: Sequence[str], order_by: str, name: str = "position") -> DataFrame:
     """Dense 1-based position of each row within its key (or overall).
 
-    Only per-segment counts cross segments.  ``order_by`` is an integer column
-    that is unique within the key.
+    Rows are sorted into even ranges of (key, order) and written once; a row
+    then has a place in its range, and only the number of rows per range and key
+    crosses ranges.  Values of any type, sparse ones and far outliers give even
+    ranges; everything behind reads the written rows, not the input again.
+    ``order_by`` is unique within the key, else equal values come in any order.
     """
-    if width is None:
-        width = SEGMENT_WIDTH if keys else spanning_width(df, order_by)
-    marked = with_segments(df, order_by, width)
-    by = [*keys, SEGMENT]
-    earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        marked.groupBy(*by)
-        .agg(F.count("*").alias("_n"))
-        .select(*by, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
-    local = marked.withColumn("_local", F.row_number().over(Window.partitionBy(*by).orderBy(order_by)))
-    return (
-        local.join(offsets, by, "inner")
-        .withColumn(name, (F.col("_before") + F.col("_local")).cast("bigint"))
-        .drop(SEGMENT, "_local", "_before")
-    )
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark)}/ordered-{uuid.uuid4().hex}"
+    ranged = df.repartitionByRange(*keys, order_by).sortWithinPartitions(*keys, order_by)
+    # Ids count rows within a task, with the task's number in the bits above.
+    marked = ranged.withColumn("_id", F.monotonically_increasing_id())
+    marked.write.parquet(path)
+    rows = spark.read.schema(marked.schema).parquet(path).withColumn("_range", F.shiftright("_id", 33))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys, "_range").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    offsets = counts.select(*keys, "_range", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    # Without keys there is one row per range.
+    placed = rows.join(offsets if keys else F.broadcast(offsets), [*keys, "_range"])
+    position = F.col("_id") - F.col("_first") + F.col("_before") + 1
+    return placed.withColumn(name, position.cast("bigint")).drop("_id", "_range", "_first", "_before")
 
 
 def with_blocks(df: DataFrame, position: str, halo: int, block: int = SEGMENT_WIDTH) -> DataFrame:
@@ -104,10 +98,10 @@ def with_blocks(df: DataFrame, position: str, halo: int, block: int = SEGMENT_WI
     return df.withColumn("_home", F.explode(homes)).select("*", "_home.*").drop("_home")
 
 
-def batch_rows(df: DataFrame, n: int, order_by: str, width: int | Column | None = None) -> DataFrame:
+def batch_rows(df: DataFrame, n: int, order_by: str) -> DataFrame:
     """Groups of ``n`` consecutive rows in order, the last one short."""
     fields = [c for c in df.columns]
-    numbered = with_positions(df, [], order_by, width, "_position")
+    numbered = with_positions(df, [], order_by, "_position")
     return (
         numbered.withColumn("batch_no", whole_quotient(F.col("_position") - 1, n))
         .groupBy("batch_no")

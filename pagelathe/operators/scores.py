@@ -74,9 +74,9 @@ def training_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def _positioned_evals(log: DataFrame, width: int) -> DataFrame:
+def _positioned_evals(log: DataFrame) -> DataFrame:
     evals = log.where(F.col("eval_loss").isNotNull()).select("run_id", "seq", "step", "eval_loss")
-    return with_positions(evals, ["run_id"], "seq", width, "eval_no")
+    return with_positions(evals, ["run_id"], "seq", "eval_no")
 
 
 def eval_curve(log: DataFrame, tol: float = 0.01, width: int = SEGMENT_WIDTH) -> DataFrame:
@@ -84,7 +84,7 @@ def eval_curve(log: DataFrame, tol: float = 0.01, width: int = SEGMENT_WIDTH) ->
 
     A run is cut into blocks; one row per block carries its best to later ones.
     """
-    blocks = with_blocks(_positioned_evals(log, width), "eval_no", halo=1, block=width)
+    blocks = with_blocks(_positioned_evals(log), "eval_no", halo=1, block=width)
     inside = Window.partitionBy("run_id", "_block").orderBy("eval_no")
     own = F.when(~F.col("_halo"), F.struct("eval_loss", "eval_no", "step"))
     seen = blocks.withColumns(
@@ -118,7 +118,7 @@ def eval_curve(log: DataFrame, tol: float = 0.01, width: int = SEGMENT_WIDTH) ->
 
 def plateaus(log: DataFrame, patience: int = 5, tol: float = 0.02, width: int = SEGMENT_WIDTH) -> DataFrame:
     """Per evaluation: spread of the last ``patience`` losses and whether it is a plateau."""
-    blocks = with_blocks(_positioned_evals(log, width), "eval_no", halo=patience - 1, block=max(width, patience))
+    blocks = with_blocks(_positioned_evals(log), "eval_no", halo=patience - 1, block=max(width, patience))
     recent = Window.partitionBy("run_id", "_block").orderBy("eval_no").rowsBetween(-(patience - 1), 0)
     spread = F.max("eval_loss").over(recent) - F.min("eval_loss").over(recent)
     full = F.count("*").over(recent) == patience

@@ -4,18 +4,35 @@ from pyspark.sql import functions as F
 from pagelathe.operators import ordered
 
 
-@pytest.mark.parametrize("width", [3, 100, None])
-def test_positions_and_batches(spark, width):
-    """Gaps in the ids, and one key with most of the rows."""
-    df = spark.range(0, 120, 3).select(F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("k"), F.col("id").alias("n")).repartition(5)
-    got = {r.n: r.position for r in ordered.with_positions(df, ["k"], "n", width).collect()}
+@pytest.mark.parametrize("partitions", ["1", "3", "40"])
+def test_positions_and_batches(spark, partitions):
+    """Gaps in the ids, one key with most of the rows, more ranges than rows of a key."""
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 120, 3).select(F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("k"), F.col("id").alias("n")).repartition(5)
+        got = {r.n: r.position for r in ordered.with_positions(df, ["k"], "n").collect()}
+        rows = ordered.batch_rows(df, 8, "n").orderBy("batch_no").collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
     for key in "ab":
         ids = [n for n in range(0, 120, 3) if (n % 4 == 0) == (key == "b")]
         assert [got[n] for n in ids] == list(range(1, len(ids) + 1))
-    rows = ordered.batch_rows(df, 8, "n", width).orderBy("batch_no").collect()
     assert [[r.n for r in b.rows] for b in rows] == [list(range(i * 24, min(i * 24 + 24, 120), 3)) for i in range(5)]
 
 
+def test_outliers_and_text_keep_ranges_even(spark):
+    """One far value among dense ones; segments by value would put all others into one."""
+    ids = spark.range(4_000).select(F.when(F.col("id") == 7, F.lit(2**62)).otherwise(F.col("id")).alias("n"))
+    got = ordered.with_positions(ids.repartition(6), [], "n")
+    assert [r.n for r in got.orderBy("position").collect()] == sorted(r.n for r in ids.collect())
+    words = spark.range(50).select(F.md5(F.col("id").cast("string").cast("binary")).alias("w"))
+    got = ordered.with_positions(words, [], "w").orderBy("position").collect()
+    assert [r.w for r in got] == sorted(r.w for r in got) and [r.position for r in got] == list(range(1, 51))
+
+
 def test_batches_last_short_and_empty(spark):
     sizes = [r.n_rows for r in ordered.batch_rows(spark.range(10), 4, "id").orderBy("batch_no").collect()]
     assert sizes == [4, 4, 2]
