@@ -56,9 +56,8 @@ ORACLE["op3_license_rules"] = _license_sql()
 ORACLE["op6_pfair_mixing"] = """
 WITH RECURSIVE src AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1),
 w AS (SELECT source, floor(sqrt(n))::BIGINT AS weight FROM src),
-tot AS (SELECT sum(weight)::BIGINT AS w, count(*) AS s FROM w),
-base AS (SELECT source, ((1000 - tot.s) * weight) // tot.w AS b, ((1000 - tot.s) * weight) % tot.w AS r, tot.s AS s FROM w, tot),
-slots AS (SELECT source, (1 + b + CASE WHEN row_number() OVER (ORDER BY r DESC, source) <= 1000 - s - sum(b) OVER () THEN 1 ELSE 0 END)::BIGINT AS a FROM base),
+slots AS (SELECT source, weight AS a FROM w WHERE weight > 0),
+per AS (SELECT sum(a)::BIGINT AS period FROM slots),
 ord AS (SELECT list(source ORDER BY source) AS names, list(a ORDER BY source) AS a FROM slots),
 run(t, done, pick) AS (
   SELECT -1::BIGINT, list_transform(a, lambda x: 0::BIGINT), 0::BIGINT FROM ord
@@ -66,16 +65,16 @@ run(t, done, pick) AS (
   SELECT t + 1, list_transform(done, lambda d, i: CASE WHEN i = p THEN d + 1 ELSE d END), p
   FROM (
     SELECT t, done, list_min(list_transform(
-        list_filter(range(1, len(a) + 1), lambda i: (done[i] * 1000) // a[i] <= t + 1),
-        lambda i: (((done[i] + 1) * 1000 + a[i] - 1) // a[i]) * 100000 + i)) % 100000 AS p
-    FROM run, ord WHERE t < 999)),
+        list_filter(range(1, len(a) + 1), lambda i: (done[i] * period) // a[i] <= t + 1),
+        lambda i: (((done[i] + 1) * period + a[i] - 1) // a[i]) * 100000 + i)) % 100000 AS p
+    FROM run, ord, per WHERE t < period - 1)),
 turns AS (SELECT t, names[pick] AS source, row_number() OVER (PARTITION BY names[pick] ORDER BY t) - 1 AS turn FROM run, ord WHERE t >= 0),
 nth AS (
   SELECT doc_id, coalesce(source, '') AS source, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(doc_id::VARCHAR)) - 1 AS nth
   FROM documents),
 placed AS (
-  SELECT doc_id, source, nth, nth // 32 AS block_no, ((nth // 32) // a) * 1000 + t AS slot
-  FROM nth JOIN slots USING (source) JOIN turns USING (source) WHERE turn = (nth // 32) % a)
+  SELECT doc_id, source, nth, nth // 32 AS block_no, ((nth // 32) // a) * period + t AS slot
+  FROM per, nth JOIN slots USING (source) JOIN turns USING (source) WHERE turn = (nth // 32) % a)
 SELECT doc_id, source, block_no, slot, row_number() OVER (ORDER BY slot, nth) - 1 AS position FROM placed
 """
 

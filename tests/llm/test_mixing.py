@@ -99,3 +99,21 @@ def test_more_than_1000_sources(documents):
     hot = sorted({r.slot for r in found if r.source == "hot"})
     total = 1_100 + 20
     assert all(i * total // 20 <= slot < -(-(i + 1) * total // 20) for i, slot in enumerate(hot))
+
+
+def test_the_sql_states_the_exact_weights(spark, tmp_path):
+    """Sources of unequal size, on which rounded weights would give another order."""
+    import duckdb
+
+    from pagelathe.llm.oracle import ORACLE
+    from pagelathe.llm.queries import op6_pfair_mixing
+
+    rows, at = [], 0
+    for source, n in (("a", 3_000), ("b", 900), ("c", 450), (None, 120), ("e", 17), ("f", 450)):
+        rows += [(at + i, source) for i in range(n)]
+        at += n
+    spark.createDataFrame(rows, "doc_id bigint, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = op6_pfair_mixing(spark, str(tmp_path)).select("doc_id", "source", "block_no", "slot", "position").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(tuple(r) for r in found) == sorted(con.execute(f"SELECT doc_id, source, block_no, slot, position FROM ({ORACLE['op6_pfair_mixing']})").fetchall())
