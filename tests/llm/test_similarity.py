@@ -149,3 +149,11 @@ def test_fuzzy_lines(spark, documents):
 @pytest.mark.parametrize("which", [ngram_join.link_documents, line_dedup.dedup_lines])
 def test_empty_table(odd, which):
     assert which(odd.limit(0)).count() == 0
+
+
+def test_the_kept_line_does_not_depend_on_the_layout(spark):
+    line = "the very same line stands in every one of these documents and only one of them keeps it"
+    rows = [(i, f"{line}\nnumber {i * 7919} has a line of its own that nobody else holds at all") for i in range(20)]
+    for order in (rows, rows[::-1], rows[7:] + rows[:7]):
+        found = line_dedup.dedup_lines(spark.createDataFrame(order, "doc_id bigint, text string").coalesce(1)).collect()
+        assert {r.doc_id: list(r.dropped) for r in found} == {i: [0] if i else [] for i in range(20)}
