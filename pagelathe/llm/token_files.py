@@ -40,13 +40,16 @@ MAGIC = b"BITPLN01"
 CHUNK_IDS = 65_536
 LEVEL = 3
 END_ID = 1
-#: Word chunks whose ids a worker keeps; a full table is emptied.
-CACHE = 1_000_000
+#: Word chunks whose ids a worker keeps, and bytes of them; a full table is emptied.
+CACHE, CACHE_BYTES = 1_000_000, 64 << 20
 #: Rows that are encoded before the ids of the first go into chunks.
 LOT = 256
-#: Words that go to the tokenizer at once.
-WORDS = 2_048
+#: Words that go to the tokenizer at once, and the word that is put between them.
+WORDS, BETWEEN = 2_048, "|"
 TAILS = ".,*#$%&!?|"
+# The pattern of the tokenizer file whose matches hold no white space, and its normaliser of spaces.
+WORD_PATTERN = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+SPACES = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
 #: White space to Python but not to tokenizers, and signs of special tokens.
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
@@ -56,16 +59,24 @@ def planes_of(ids: np.ndarray, kind: str = "bit") -> list[bytes]:
     octets = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
     if kind == "byte":
         return [octets[:, i].tobytes() for i in range(4)]
-    bits = np.unpackbits(octets, axis=1, bitorder="little")
-    return [p.tobytes() for p in np.packbits(bits.T, axis=1, bitorder="little")]
+    planes = []
+    for column in np.ascontiguousarray(octets.T):
+        if column.any():
+            planes += [np.packbits(column & np.uint8(1 << i), bitorder="little").tobytes() for i in range(8)]
+        else:
+            planes += [bytes((len(column) + 7) // 8)] * 8
+    return planes
 
 
 def ids_of(planes: list[bytes], n: int) -> np.ndarray:
     """The ids behind planes_of."""
     if len(planes) == 4:
         return np.stack([np.frombuffer(p, np.uint8) for p in planes], axis=1).reshape(-1).view("<u4")
-    bits = np.stack([np.unpackbits(np.frombuffer(p, np.uint8), count=n, bitorder="little") for p in planes], axis=1)
-    return np.packbits(bits, axis=1, bitorder="little").reshape(-1).view("<u4")
+    octets = np.zeros((n, 4), np.uint8)
+    for at, plane in enumerate(planes):
+        if any(plane):
+            octets[:, at // 8] |= np.unpackbits(np.frombuffer(plane, np.uint8), count=n, bitorder="little") << np.uint8(at % 8)
+    return octets.reshape(-1).view("<u4")
 
 
 class PlaneWriter:
@@ -133,26 +144,46 @@ def read_chunk(file, entry: list[int]) -> np.ndarray:
     return ids_of(planes, entry[1])
 
 
+def splits_at_space(description: dict) -> bool:
+    """Whether the ids of a text are those of its words between white space.
+
+    True for tokenizers whose first pre-tokenizer keeps only matches of a
+    pattern without white space, whose normalisers change no word's neighbours,
+    and that add nothing of their own; any other kind is encoded whole.
+    """
+    parts = lambda x, key: [] if x is None else x.get(key, [x])
+    changes, cuts = parts(description["normalizer"], "normalizers"), parts(description["pre_tokenizer"], "pretokenizers")
+    plain = all(c["type"] in ("NFC", "Lowercase") or c == SPACES for c in changes)
+    if not cuts or not plain or description["truncation"] or description["padding"]:
+        return False
+    first = cuts[0]
+    drops = first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and first["pattern"] == WORD_PATTERN
+    return drops and all(c["type"] == "ByteLevel" and not c["add_prefix_space"] and not c["use_regex"] for c in cuts[1:])
+
+
 class Encoder:
-    """Whole texts to ids by a tokenizer that never joins across white space.
+    """Whole texts to ids.
 
-    Word chunks between white space are encoded once and kept; the ids of a
-    text are those of its chunks.  Right for tokenizers whose pre-tokenizer
-    drops white space and whose normaliser only composes and lower-cases; a
-    tokenizer of another kind has to be given with ``by_word=False``.
+    For a tokenizer that never joins across white space, word chunks between
+    white space are encoded once and kept; the ids of a text are those of its
+    chunks.  ``by_word`` says whether the tokenizer is of that kind; left out,
+    its own description decides (see ``splits_at_space``).
     """
 
-    def __init__(self, path: str, by_word: bool = True):
+    def __init__(self, path: str, by_word: bool | None = None):
         # Spark already keeps every core busy.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = by_word
+        self.by_word = splits_at_space(json.loads(self.tokenizer.to_str())) if by_word is None else by_word
         self.known: dict[str, bytes] = {}
+        self.room = 0
+        between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
 
     @classmethod
-    def of_worker(cls, path: str, by_word: bool) -> Encoder:
+    def of_worker(cls, path: str, by_word: bool | None) -> Encoder:
         """The encoder of this Python worker, which outlives a task and keeps what it knows."""
         held = vars(sys).setdefault("_encoders", {})
         if (path, by_word) not in held:
@@ -164,33 +195,59 @@ class Encoder:
         lots = (texts[i : i + WORDS] for i in range(0, len(texts), WORDS))
         return [array("I", e.ids).tobytes() for lot in lots for e in self.tokenizer.encode_batch_fast(lot, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Words not yet known; marks at a word's end are looked up apart."""
-        cut = {}
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words between white space, each on its own; a lot goes in as one text of words and marks."""
+        if self.between is None:
+            yield from self._plain(words)
+            return
+        for start in range(0, len(words), WORDS):
+            lot = words[start : start + WORDS]
+            ids = np.array(self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(lot)], add_special_tokens=False)[0].ids, "<u4")
+            data, at = ids.tobytes(), 0
+            for end in (*(np.flatnonzero(ids == self.between) * 4).tolist(), len(data)):
+                yield data[at:end]
+                at = end + 4
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words not yet known; marks at a word's end are looked up apart."""
+        known, cut, new, odd = self.known, [], set(), set()
         for w in words:
-            head = w.rstrip(TAILS)
-            cut[w] = (head, w[len(head) :]) if head and len(head) < len(w) and head[-1].isalnum() else (w, "")
-        new = list({p for pair in cut.values() for p in pair if p and p not in self.known})
-        self.known.update(zip(new, self._plain(new), strict=True))
-        for w, (head, tail) in cut.items():
-            if tail:
-                self.known[w] = self.known[head] + self.known[tail]
+            if w[-1] in TAILS and (head := w.rstrip(TAILS)) and head[-1].isalnum():
+                cut.append((w, head, tail := w[len(head) :]))
+                pieces = (head, tail)
+            else:
+                pieces = (w,)
+            for p in pieces:
+                if p not in known:
+                    (odd if BETWEEN in p else new).add(p)
+        new, odd = list(new), list(odd)
+        found = dict(zip(new, self._words(new), strict=True))
+        found.update(zip(odd, self._plain(odd), strict=True))
+        of = lambda p: found[p] if p in found else known[p]
+        found.update([(w, of(head) + of(tail)) for w, head, tail in cut])
+        # What one lot brings is bounded by its texts; the table as a whole by words and bytes.
+        self.room += sum(map(len, found)) + sum(map(len, found.values()))
+        if len(known) + len(found) > CACHE or self.room > CACHE_BYTES:
+            known.clear()
+            self.room = 0
+        else:
+            known.update(found)
+        return found
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word or any(sign in t for t in texts for sign in ODD):
             return [np.frombuffer(b, "<u4") for b in self._plain(texts)]
         # Lower-casing ASCII here only makes words meet sooner.
         split = [(t.lower() if t.isascii() else t).split() for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
+        ids = [list(map(self.known.get, words)) for words in split]
+        new = {w for words, got in zip(split, ids, strict=True) if None in got for w, b in zip(words, got, strict=True) if b is None}
         if new:
-            self._learn(new)
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
+            found = self._learn(new)
+            ids = [[found[w] if b is None else b for w, b in zip(words, got, strict=True)] if None in got else got for words, got in zip(split, ids, strict=True)]
+        return [np.frombuffer(b"".join(got), "<u4") for got in ids]
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, order_by: list, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, chunk: int = CHUNK_IDS, kind: str = "bit", by_word: bool = True) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, order_by: list, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, chunk: int = CHUNK_IDS, kind: str = "bit", by_word: bool | None = None) -> DataFrame:
     """Write the ids of all rows in the order given; returns the manifest.
 
     The manifest (file_no, file, n_docs, n_ids, first) is a written table; first
@@ -281,7 +338,12 @@ def read_token_files(manifest: DataFrame, folder: str, key_type: str = "bigint",
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, order_by: list | None = None, **options) -> DataFrame:
-    """Write the files below the shared folder and read them back."""
+    """Write the files below the shared folder and read them back: doc_id, start, n_tokens, ids_crc32.
+
+    One row per input row, in ascending order of ``order_by``, by default of the
+    id (null ids first); ties are ordered by a hash of the text.  A null or
+    empty text has just the end id; an empty table gives no rows.
+    """
     folder = new_folder(spark, "token-files")
     manifest = write_token_files(docs, folder, tokenizer, order_by or [F.col("doc_id")], **options)
     return read_token_files(manifest, folder)

@@ -41,6 +41,28 @@ def test_special_strings(tokenizer):
         assert tf.Encoder(tokenizer_path())([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_tokenizer_that_keeps_white_space_gets_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    encode = tf.Encoder(path)
+    assert not encode.by_word and tf.Encoder(tokenizer_path()).by_word
+    for text in ("two words", " a  b\n", "x | y|z", ""):
+        assert encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_the_table_of_words_is_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(tf, "CACHE_BYTES", 2_000)
+    monkeypatch.setattr(tf, "WORDS", 3)
+    encode = tf.Encoder(tokenizer_path())
+    for n in range(60):
+        texts = [f"word{n} shared, mark| a|b {'x' * 90}{n} |", "shared, again...", "", "| || |."]
+        for text, ids in zip(texts, encode(texts), strict=True):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert sum(map(len, encode.known)) <= 2_000
+
+
 class Memory(io.BytesIO):
     def size(self):
         return len(self.getvalue())
