@@ -97,6 +97,12 @@ def _compare(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     fresh = np.ones(len(every), bool)
     fresh[1:] = every[1:] != every[:-1]
     number = np.cumsum(fresh) - 1
+    return linked_pairs(number, owner, sizes, threshold)
+
+
+def linked_pairs(number: np.ndarray, owner: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """_compare of sets given as (shingle number, ascending; owner) without repeats, and their sizes."""
+    n = len(sizes)
     shared = np.bincount(number, minlength=0)[number] > 1
     number, owner = number[shared], owner[shared]
     both = np.zeros((n, n), np.float32)
@@ -125,12 +131,13 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         root = new
 
 
-def verified(items: DataFrame, keys: DataFrame, texts: DataFrame, shingles: Callable[[], Callable[[str], np.ndarray]], threshold: float, on: str = "uid") -> DataFrame:
+def verified(items: DataFrame, keys: DataFrame, texts: DataFrame, shingles: Callable[[], Callable[[str], np.ndarray]] | None, threshold: float, on: str = "uid", compared: Callable[[list[str]], np.ndarray] | None = None) -> DataFrame:
     """(uid, links, copies_linked, root): true links of items that share a band.
 
     ``items`` (uid, size, copies), ``keys`` (uid, band) and ``texts`` (uid,
     text) are written tables; ``on`` is another column that both share, to find the texts by; ``shingles()`` makes, once per task, the function from a text to its
-    distinct shingle hashes.  Only items with links have rows; ``links`` counts
+    distinct shingle hashes, or ``compared`` says of a list of texts which pairs
+    are similar.  Only items with links have rows; ``links`` counts
     other items, ``copies_linked`` their copies, ``root`` is a member of the
     same group and one for all of it.
     """
@@ -155,10 +162,14 @@ def verified(items: DataFrame, keys: DataFrame, texts: DataFrame, shingles: Call
     )
 
     def compare(table: pa.Table) -> pa.Table:
-        of = shingles()
+        texts_ = table.column("text").to_pylist()
         part, a = table.column("part").to_numpy(), table.column("a")[0].as_py()
         within = a == table.column("b")[0].as_py()
-        linked = _compare([of(t) for t in table.column("text").to_pylist()], threshold)
+        if compared:
+            linked = compared(texts_)
+        else:
+            of = shingles()
+            linked = _compare([of(t) for t in texts_], threshold)
         np.fill_diagonal(linked, False)
         component = table.column("component").to_numpy()
         linked &= component[:, None] == component[None, :]

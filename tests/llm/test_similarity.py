@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from pagelathe.llm import line_dedup, minhash, ngram_join
 from pagelathe.llm.common import staged
 from pagelathe.llm.words import WordHashes, word_shingles
@@ -105,6 +107,22 @@ def test_word_shingles():
     assert word_shingles("A b c d e f", 5, cache).tolist() == word_shingles("a, B; c d-e f!", 5, cache).tolist()
 
 
+def test_similar_lines_of_one_lot_are_those_of_their_sets():
+    rng = random.Random(6)
+    lines = ["a", "ab", "abababababab", "ab" * 9, *("".join(rng.choices("abcd ", k=rng.choice((20, 60, 200)))) for _ in range(30))]
+    lines += [x[:-1] + "z" for x in lines[4:]] + [x + x for x in lines[4:8]]
+    for some in (lines, lines[4:], lines[:1]):
+        sets = [{x[i : i + 8] for i in range(max(1, len(x) - 7))} for x in some]
+        wanted = [[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets] for a in sets]
+        assert line_dedup._similar(8, 0.8)(some).tolist() == wanted
+
+
+def test_white_space_of_lines(spark):
+    lines = [" a  b ", "\ta\tb\r", "a\x0b\fb", "A\t B", "a b", "", " \t ", "É\u00a0 x"]
+    found = spark.createDataFrame([(x,) for x in lines], "line string").select(line_dedup.normal_line(F.col("line"))).collect()
+    assert [r[0] for r in found] == ["a b"] * 5 + ["", "", "é\u00a0 x"]
+
+
 def check_lines(docs):
     norm = lambda x: re.sub(r"\s+", " ", x.lower()).strip()
     rows = docs.collect()
