@@ -113,8 +113,10 @@ def test_similar_lines_of_one_lot_are_those_of_their_sets():
     lines += [x[:-1] + "z" for x in lines[4:]] + [x + x for x in lines[4:8]]
     for some in (lines, lines[4:], lines[:1]):
         sets = [{x[i : i + 8] for i in range(max(1, len(x) - 7))} for x in some]
-        wanted = [[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets] for a in sets]
-        assert line_dedup._similar(8, 0.8)(some).tolist() == wanted
+        wanted = np.array([[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets] for a in sets])
+        # What a line is to itself is not looked at.
+        away = ~np.eye(len(some), dtype=bool)
+        assert ((line_dedup._similar(8, 0.8)(some) == wanted) | ~away).all() and (len(some) == 1 or (wanted & away).any())
 
 
 def test_white_space_of_lines(spark):
