@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -23,6 +24,8 @@ from pagelathe.functions.text import (
     strip,
     word_pattern,
 )
+from pagelathe.operators.ordered import whole_quotient, with_running
+from pagelathe.session import scratch_folder
 
 # Sizes of chunks, where to cut, from paragraphs down to single
 # characters, and the shares of a text in which headings count.
@@ -32,6 +35,11 @@ SEPARATORS = ("\n\n", "\n", ". ", "! ", "? ", " ", "")
 TAIL_SHARE = 0.70
 CONTENTS_SHARE = 0.20
 HEADING_SHARE = 0.30
+# Pages of one part of a source, and the block of pages without a number.
+PAGES_PER_PART = 64
+NO_PAGE = -(1 << 62)
+# Text up to the first line end between two letters.
+PART_END = r"(?s)^(.*?\p{L}\r*)\n(?=\p{L})"
 # Characters of chunks handed back to Spark at once.
 LOT_CHARS = 8_000_000
 
@@ -46,6 +54,49 @@ def assemble_documents(pages: DataFrame) -> DataFrame:
     return pages.groupBy("source").agg(gathered.alias("_pages")).select("source", F.array_join(F.col("_pages.text"), "\n").alias("text"))
 
 
+def assemble_parts(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
+    """``source, part_no, text``: the same texts in parts of about ``pages_per_part`` pages.
+
+    The parts of a source joined by newlines are its ``assemble_documents`` text.
+    Parts meet only at a line end between two letters, across which no rule of
+    cleaning or trimming reads: a joined word needs a hyphen before the line end,
+    a page number a digit, a blank run a second line end, a chapter heading a
+    full stop or a digit.  So ``clean_documents`` of the parts are the parts of
+    the clean text.  A block of pages without such a line end stays with the part
+    before it.  Part numbers ascend, with gaps.
+    """
+    spark = pages.sparkSession
+    page = F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))
+    block = F.coalesce(whole_quotient(F.col("page_no").cast("bigint"), pages_per_part), F.lit(NO_PAGE))
+    gathered = pages.groupBy("source", block.alias("_block")).agg(F.sort_array(F.collect_list(page)).alias("_pages"))
+    joined = gathered.select("source", "_block", F.array_join(F.col("_pages.text"), "\n").alias("text"))
+    # Written with the place of the cut, so that all steps but the last read no text.
+    path = f"{scratch_folder(spark)}/blocks-{uuid.uuid4().hex}"
+    marked = joined.withColumn("_head", F.length(F.regexp_extract("text", PART_END, 1)))
+    marked.write.parquet(path)
+    blocks = spark.read.schema(marked.schema).parquet(path)
+    opens = F.when(F.col("_head") > 0, F.col("_block"))
+    firsts = blocks.groupBy("source").agg(F.min("_block").alias("_first")).withColumnRenamed("source", "_of")
+    running = with_running(blocks.select("source", "_block", "_head"), ["source"], "_block", opens, "_before", "max")
+    placed = running.join(firsts, F.col("source").eqNullSafe(F.col("_of"))).select(
+        F.col("source").alias("_of"),
+        F.col("_block").alias("_no"),
+        F.coalesce("_before", "_first").alias("_owner"),
+        (F.col("_block") == F.col("_first")).alias("_is_first"),
+    )
+    piece = lambda part, text: F.struct(part.alias("part_no"), "_block", text.alias("text"))
+    whole = F.array(piece(F.col("_owner"), F.col("text")))
+    halves = F.array(
+        piece(F.col("_owner"), F.left("text", "_head")), piece(F.col("_block"), F.substr("text", F.col("_head") + 2))
+    )
+    pieces = blocks.join(placed, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_block") == F.col("_no"))).select(
+        "source", F.inline(F.when(F.col("_is_first") | (F.col("_head") == 0), whole).otherwise(halves))
+    )
+    ordered = F.sort_array(F.collect_list(F.struct("_block", "text")))
+    parts = pieces.groupBy("source", "part_no").agg(ordered.alias("_pieces"))
+    return parts.select("source", "part_no", F.array_join(F.col("_pieces.text"), "\n").alias("text"))
+
+
 def in_source_order(df: DataFrame) -> DataFrame:
     return df.orderBy("source")
 
@@ -110,52 +161,56 @@ def trim_parts(
 ) -> DataFrame:
     """``trim_boilerplate`` for documents that span several rows.
 
-    Each part reports where its own headings lie.  Only those few numbers per
-    part are gathered per source; the texts stay where they are and are cut at
-    offsets joined back to them.
+    Each part is written once with the places of its own headings.  Only those
+    few numbers are added up and compared per source; the texts are read once
+    more and cut at offsets joined back to them by part.  Parts that lie wholly
+    in a trimmed end become empty; ``in_body`` tells them from parts that meet
+    the body, whose texts joined by newlines are the trimmed text.
     """
+    spark = df.sparkSession
     toc_word, chapter = word_pattern(contents), heading or heading_pattern()
     before = lambda pattern: F.length(F.regexp_extract(text, rf"(?s)^(.*?)(?:{pattern})", 1))
     has = lambda pattern: F.rlike(F.col(text), F.lit(pattern))
-    facts = df.select(
-        source,
-        part,
-        F.length(text).alias("_len"),
-        F.coalesce(last_word_after(text, F.lit(0), end), F.when(has(f"^(?:{word_pattern(end)})"), 0)).alias("_end"),
-        F.when(has(toc_word), before(toc_word)).alias("_toc"),
-        F.when(has(chapter), before(chapter)).alias("_head"),
-        F.nullif(heading_after_contents(text, F.length(text), contents, chapter)[1], F.lit(0)).alias("_after"),
-    )
-    earlier = Window.partitionBy(source).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    facts = {
+        "_len": F.length(text).cast("bigint"),
+        "_end": F.coalesce(last_word_after(text, F.lit(0), end), F.when(has(f"^(?:{word_pattern(end)})"), 0)),
+        "_toc": F.when(has(toc_word), before(toc_word)),
+        "_head": F.when(has(chapter), before(chapter)),
+        "_after": F.nullif(heading_after_contents(text, F.length(text), contents, chapter)[1], F.lit(0)),
+    }
+    path = f"{scratch_folder(spark)}/parts-{uuid.uuid4().hex}"
+    marked = df.withColumn(text, F.coalesce(text, F.lit(""))).withColumns(facts)
+    marked.write.parquet(path)
+    parts = spark.read.schema(marked.schema).parquet(path)
     # Parts are joined by one newline, hence the extra character per part.
-    placed = facts.withColumn("_at", F.coalesce(F.sum(F.col("_len") + 1).over(earlier), F.lit(0)))
-    whole = Window.partitionBy(source)
-    toc_at = F.struct(part, (F.col("_at") + F.col("_toc")).alias("at"))
-    measured = placed.select(
-        "*",
-        F.max(F.col("_at") + F.col("_len")).over(whole).alias("_n"),
-        F.max(F.col("_at") + F.col("_end")).over(whole).alias("_tail"),
-        F.min(F.when(F.col("_toc").isNotNull(), toc_at)).over(whole).alias("_opens"),
-    )
-    after = F.when(F.col(part) == F.col("_opens")[part], F.col("_after")).when(
-        F.col(part) > F.col("_opens")[part], F.col("_head")
+    small = parts.select(F.col(source).alias("_s"), F.col(part).alias("_p"), *facts)
+    placed = with_running(small, ["_s"], "_p", F.col("_len") + 1, "_at").withColumn("_at", F.coalesce("_at", F.lit(0)))
+    toc_at = F.struct("_p", (F.col("_at") + F.col("_toc")).alias("at"))
+    per_source = placed.groupBy(F.col("_s").alias("_of")).agg(
+        F.max(F.col("_at") + F.col("_len")).alias("_n"),
+        F.max(F.col("_at") + F.col("_end")).alias("_tail"),
+        F.min(F.when(F.col("_toc").isNotNull(), toc_at)).alias("_opens"),
     )
+    known = placed.join(per_source, F.col("_s").eqNullSafe(F.col("_of"))).drop("_of")
+    after = F.when(F.col("_p") == F.col("_opens")["_p"], F.col("_after")).when(F.col("_p") > F.col("_opens")["_p"], F.col("_head"))
+    starts = known.where(after.isNotNull()).groupBy(F.col("_s").alias("_of")).agg(F.min(F.col("_at") + after).alias("_start"))
+    started = known.join(starts, F.col("_s").eqNullSafe(F.col("_of")), "left")
     cut = F.when(F.col("_tail") > F.lit(TAIL_SHARE) * F.col("_n"), F.col("_tail")).otherwise(F.col("_n"))
-    started = measured.withColumns({"_start": F.min(F.col("_at") + after).over(whole), "_cut": cut})
     skip = (
         (F.col("_opens")["at"] < F.lit(CONTENTS_SHARE) * F.col("_n"))
         & (F.col("_start") < F.lit(HEADING_SHARE) * F.col("_n"))
-        & (F.col("_start") < F.col("_cut"))
+        & (F.col("_start") < cut)
     )
-    bounds = started.select(source, part, "_at", "_n", "_cut", F.when(skip, F.col("_start")).otherwise(0).alias("_front"))
+    bounds = started.select("_s", "_p", "_at", "_n", cut.alias("_cut"), F.when(skip, F.col("_start")).otherwise(0).alias("_front"))
     lo = F.greatest(F.col("_front") - F.col("_at"), F.lit(0))
-    hi = F.least(F.col("_cut") - F.col("_at"), F.length(text))
+    hi = F.least(F.col("_cut") - F.col("_at"), F.col("_len"))
     return (
-        df.join(bounds, [source, part])
+        parts.join(bounds, F.col(source).eqNullSafe(F.col("_s")) & F.col(part).eqNullSafe(F.col("_p")))
         .withColumn(text, F.when(hi > lo, F.substr(text, (lo + 1).cast("int"), (hi - lo).cast("int"))).otherwise(""))
+        .withColumn("in_body", (F.col("_at") <= F.col("_cut")) & (F.col("_at") + F.col("_len") >= F.col("_front")))
         .withColumn("trimmed_front", F.col("_front").cast("bigint"))
         .withColumn("trimmed_end", (F.col("_n") - F.col("_cut")).cast("bigint"))
-        .drop("_at", "_n", "_cut", "_front")
+        .select(*df.columns, "in_body", "trimmed_front", "trimmed_end")
     )
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,6 +81,32 @@ def with_positions(df: DataFrame, keys: Sequence[str], order_by: str, name: str
     return placed.withColumn(name, position.cast("bigint")).drop("_id", "_range", "_first", "_before")
 
 
+def with_running(df: DataFrame, keys: Sequence[str], order_by: str, value: Column, name: str, how: str = "sum") -> DataFrame:
+    """Sum (or ``how="max"``) of ``value`` over the earlier rows of the key, null for the first.
+
+    As in ``with_positions``: even ranges of (key, order), written once; windows
+    run inside a range, and one row per range and key crosses ranges.  Keys may be null.
+    """
+    fold = {"sum": F.sum, "max": F.max}[how]
+    both = {"sum": lambda a, b: F.coalesce(a + b, a, b), "max": F.greatest}[how]
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark)}/running-{uuid.uuid4().hex}"
+    ranged = df.withColumn("_value", value).repartitionByRange(*keys, order_by).withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    before = lambda order, *parts: Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*keys, "_range").agg(fold("_value").alias("_all"))
+    carried = sums.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_range").alias("_r"),
+        fold("_all").over(before("_range", *keys)).alias("_carried"),
+    )
+    local = rows.withColumn("_local", fold("_value").over(before(order_by, *keys, "_range")))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_range") == F.col("_r"))
+    joined = local.join(carried, same).withColumn(name, both(F.col("_carried"), F.col("_local")))
+    return joined.select(*df.columns, name)
+
+
 def with_blocks(df: DataFrame, position: str, halo: int, block: int = SEGMENT_WIDTH) -> DataFrame:
     """Cut positioned rows into blocks that also see the ``halo`` rows before them.
 

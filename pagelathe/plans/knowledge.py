@@ -9,13 +9,16 @@ from pagelathe.functions.text import PASSAGE_PREFIX, add_prefix
 from pagelathe.operators.corpus import (
     CHUNK_OVERLAP,
     CHUNK_SIZE,
+    PAGES_PER_PART,
     assemble_documents,
+    assemble_parts,
     chunk_by_stride,
     chunk_documents,
     clean_documents,
     drop_noise,
     require_rows,
     trim_boilerplate,
+    trim_parts,
     with_chunk_id,
 )
 from pagelathe.operators.models import EMBED_BATCH, Load, batch_embed, spread
@@ -44,6 +47,16 @@ def chunks_from_pages(
     return chunks_from_documents(documents, ("source",), filtered, size, overlap, native)
 
 
+def body_parts(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
+    """``source, part_no, text``: clean and trimmed books of any length, no book in one row.
+
+    Joined by newlines in order, the parts of a source are the text that
+    ``chunks_from_pages`` cuts.
+    """
+    parts = assemble_parts(require_rows(pages, "pages"), pages_per_part)
+    return trim_parts(clean_documents(parts)).where("in_body").select("source", "part_no", "text")
+
+
 def _cut(body: DataFrame, keys: tuple[str, ...], filtered: bool, size: int, overlap: int, native: bool) -> DataFrame:
     cut = chunk_by_stride if native else chunk_documents
     kept = drop_noise(cut(body, size, overlap), filtered)

@@ -78,6 +78,37 @@ def test_parts_are_trimmed_as_one(spark):
     assert "".join(r.text for r in parts).replace("\n", "") == single.text.replace("\n", "")
 
 
+def random_books(seed, books=12, pages=40):
+    """Pages with what the rules look for at their edges: hyphens, numbers, blanks, headings, nothing."""
+    rng = random.Random(seed)
+    bits = ["ab", "Şx", "e-", "12", " 7 ", "\n", "\r\n", "\n\n", " ", "\t", ".", TOC, END, "1 . ÜNİTE", "BİRİNCİ", "Bölüm", "word word", "x\ny", "😀"]
+    for b in range(books):
+        for p in range(rng.choice([1, 3, pages])):
+            text = None if rng.random() < 0.1 else "".join(rng.choice(bits) for _ in range(rng.randrange(9)))
+            yield (None if b == 0 else f"b{b}", p * rng.choice([1, 1, 5]), text)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_texts_do_not_depend_on_parts(spark, size):
+    """Assembled, cleaned and trimmed in parts of any size as in one row; null sources, texts and ties too."""
+    pages = spark.createDataFrame(list(random_books(3)), "source string, page_no int, text string")
+    joined = lambda df: {r.source: "\n".join(x.text for x in sorted(r.p)) for r in df.groupBy("source").agg(F.collect_list(F.struct("part_no", "text")).alias("p")).collect()}
+    texts = lambda df: {r.source: r.text for r in df.collect()}
+    whole, parts = corpus.assemble_documents(pages), corpus.assemble_parts(pages, size)
+    assert joined(parts) == texts(whole)
+    cleaned = corpus.clean_documents(whole)
+    assert joined(corpus.clean_documents(parts)) == texts(cleaned)
+    trimmed = corpus.trim_parts(corpus.clean_documents(parts))
+    assert joined(trimmed.where("in_body")) == texts(corpus.trim_boilerplate(cleaned))
+    if size == 1:
+        assert parts.count() > 2 * whole.count()
+
+
+def test_no_pages_no_parts(spark):
+    none = spark.createDataFrame([], "source string, page_no int, text string")
+    assert corpus.trim_parts(corpus.clean_documents(corpus.assemble_parts(none))).count() == 0
+
+
 CASES = [
     ("aaaa bbbb cccc", 10, 4, ["aaaa bbbb", "cccc"]),
     ("aaaa bbbb cccc", 10, 5, ["aaaa bbbb", "bbbb cccc"]),

@@ -81,6 +81,20 @@ def document_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def book_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Five words a line and a line a page, with broken words, page numbers, gaps and headings between."""
+    words = F.regexp_replace("text", r"((?:[^ \n]+ ){5})", "$1\n")
+    noisy = by_remainder(
+        "doc_id",
+        3,
+        {0: F.replace(words, F.lit(" \n"), F.lit("\n")), 1: F.replace(words, F.lit("en"), F.lit("e-\r\nn"))},
+        F.replace(words, F.lit(" \n"), F.lit("\n 12 \n\n\n")),
+    )
+    docs = headed_documents(spark, sf).select("doc_id", noisy.alias("text"))
+    pages = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("page_no", "text"))
+    return pages.select(F.concat(F.lit("book-"), F.col("doc_id").cast("string")).alias("source"), "page_no", "text")
+
+
 def _exam_parts(spark: SparkSession, sf: str) -> dict[str, Column]:
     word = lambda i: F.get(F.split("text", " ", 6), F.lit(i))
     options = [

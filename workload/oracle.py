@@ -394,6 +394,15 @@ SELECT doc_id, {clean("text")} AS text FROM noisy""",
     "doc_trim_parts": f"""
 WITH {HEADED}, {trim_ctes('headed', 'doc_id')}
 SELECT doc_id, length(replace(text, chr(10), '')) AS kept_chars, trimmed_front, trimmed_end FROM trimmed""",
+    "doc_body_parts": rf"""
+WITH {HEADED},
+lined AS (SELECT doc_id, regexp_replace(text, '((?:[^ \n]+ ){{5}})', '\1' || chr(10), 'g') AS t FROM headed),
+noisy AS (
+  SELECT 'book-' || doc_id AS source, CASE doc_id % 3 WHEN 0 THEN replace(t, ' ' || chr(10), chr(10))
+    WHEN 1 THEN replace(t, 'en', 'e-' || chr(13) || chr(10) || 'n')
+    ELSE replace(t, ' ' || chr(10), chr(10) || ' 12 ' || repeat(chr(10), 3)) END AS text FROM lined),
+src AS (SELECT source, {clean("text")} AS text FROM noisy), {trim_ctes("src", "source")}
+SELECT source, text FROM trimmed""",
     "chunk_stride": f"WITH {stride_cte('documents', 'doc_id')} SELECT doc_id, chunk_no, text FROM chunks WHERE text <> ''",
     "chunk_recursive": f"WITH RECURSIVE {packed_ctes('documents', 'doc_id')} SELECT doc_id, chunk_no, text FROM packed",
     "chunk_noisy": f"WITH RECURSIVE {NOISY}, {packed_ctes('noisy', 'doc_id')} SELECT doc_id, chunk_no, text FROM packed",

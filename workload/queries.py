@@ -100,6 +100,13 @@ def doc_trim_parts(spark, sf):
     )
 
 
+def doc_body_parts(spark, sf):
+    """Books of noisy, headed pages cleaned and trimmed in parts, joined again for the comparison."""
+    parts = knowledge.body_parts(inputs.book_pages(spark, sf), pages_per_part=3)
+    joined = F.array_join(F.sort_array(F.collect_list(F.struct("part_no", "text")))["text"], "\n")
+    return parts.groupBy("source").agg(joined.alias("text"))
+
+
 def chunk_stride(spark, sf):
     return corpus.chunk_by_stride(table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -482,6 +489,7 @@ QUERIES = {
         doc_clean,
         doc_trim,
         doc_trim_parts,
+        doc_body_parts,
         chunk_stride,
         chunk_recursive,
         chunk_noisy,
