@@ -184,7 +184,10 @@ def trim_parts(
     parts = spark.read.schema(marked.schema).parquet(path)
     # Parts are joined by one newline, hence the extra character per part.
     small = parts.select(F.col(source).alias("_s"), F.col(part).alias("_p"), *facts)
-    placed = with_running(small, ["_s"], "_p", F.col("_len") + 1, "_at").withColumn("_at", F.coalesce("_at", F.lit(0)))
+    running = with_running(small, ["_s"], "_p", F.col("_len") + 1, "_at").withColumn("_at", F.coalesce("_at", F.lit(0)))
+    # A few numbers a part, read three times below.
+    running.write.parquet(f"{path}-placed")
+    placed = spark.read.schema(running.schema).parquet(f"{path}-placed")
     toc_at = F.struct("_p", (F.col("_at") + F.col("_toc")).alias("at"))
     per_source = placed.groupBy(F.col("_s").alias("_of")).agg(
         F.max(F.col("_at") + F.col("_len")).alias("_n"),

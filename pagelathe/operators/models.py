@@ -7,12 +7,13 @@ optimizer never runs a model twice for one column.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagelathe.functions.text import ColumnOrName, col
 
@@ -101,3 +102,46 @@ def truncate_tokens(df: DataFrame, load: Load, max_tokens: int, text: str = "tex
             yield pd.Series(decode([tokens[:max_tokens] for tokens in encode(texts.tolist())]), dtype="object")
 
     return df.withColumn(text, F.pandas_udf(run, "string")(text))
+
+
+def fit_tokens(df: DataFrame, load: Load, max_tokens: int, texts: Sequence[str], frame: Column | None = None) -> DataFrame:
+    """Cut ``texts`` so that they and the ``frame`` around them keep a token budget.
+
+    The frame (what a chat adds to the texts) is never cut.  Texts that fit
+    together stay as they are, character by character.  Else the room left by
+    the frame is dealt out evenly; what a short text leaves, and an odd
+    token, goes to the longer ones (of equal ones to the last), and only texts
+    longer than their share lose their ends.  Tokens are counted
+    text by text with the caller's tokenizer, as in ``truncate_tokens``; null
+    texts and frames have none.
+    """
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        encode, decode = load()
+        for columns in batches:
+            frames, *given = [c.tolist() for c in columns]
+            room = [max(max_tokens - len(tokens), 0) for tokens in encode([f or "" for f in frames])]
+            held = [encode([t or "" for t in column]) for column in given]
+            shares = [_shares([len(tokens[row]) for tokens in held], free) for row, free in enumerate(room)]
+            out = {}
+            for i, (name, column, tokens) in enumerate(zip(texts, given, held)):
+                over = [row for row, share in enumerate(shares) if len(tokens[row]) > share[i]]
+                for row, cut in zip(over, decode([tokens[row][: shares[row][i]] for row in over]) if over else ()):
+                    column[row] = cut
+                out[name] = column
+            yield pd.DataFrame(out, dtype="object")
+
+    schema = T.StructType([T.StructField(t, T.StringType()) for t in texts])
+    udf = F.pandas_udf(run, schema)
+    fitted = df.withColumn("_fit", udf(F.lit("") if frame is None else frame, *texts))
+    return fitted.withColumns({t: F.col("_fit")[t] for t in texts}).drop("_fit")
+
+
+def _shares(lengths: list[int], room: int) -> list[int]:
+    """Tokens that each text may keep: short ones whole, the rest in even parts."""
+    kept = list(lengths)
+    left, open_ = room, len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: (lengths[i], i)):
+        kept[i] = min(lengths[i], left // open_)
+        left, open_ = left - kept[i], open_ - 1
+    return kept

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from pagelathe.functions.prompts import render_chat, translation_messages
 from pagelathe.functions.text import direction, strip_or_empty
+from pagelathe.operators.models import Load, fit_tokens
 from pagelathe.operators.ordered import top_n_per_group
 
 MIN_CHARS = 5
@@ -113,10 +114,7 @@ def cap_per_direction(
 
 def in_direction_order(df: DataFrame, languages: Sequence[str] = tuple(LANGUAGES.values()), order_by: str = "ex_id") -> DataFrame:
     """All rows of the first language, then of the second, each in id order."""
-    place = F.lit(len(languages))
-    for i, name in enumerate(languages):
-        place = F.when(F.col("src_lang") == name, i).otherwise(place)
-    return df.orderBy(place, order_by)
+    return direction_place(df, languages).orderBy("_place", order_by).drop("_place")
 
 
 def with_direction(df: DataFrame) -> DataFrame:
@@ -134,10 +132,32 @@ def training_text(df: DataFrame, **markers: str) -> DataFrame:
     return df.select(render_chat(translation_messages("src", "src_lang", "tgt_lang", "tgt"), **markers).alias("text"))
 
 
-def with_prompt(df: DataFrame, **markers: str) -> DataFrame:
-    """Chat prompt without the target, opened for the reply."""
-    chat = render_chat(translation_messages("src", "src_lang", "tgt_lang"), open_reply=True, **markers)
-    return df.withColumn("prompt", chat)
+def with_prompt(df: DataFrame, budget: tuple[Load, int] | None = None, **markers: str) -> DataFrame:
+    """Chat prompt without the target, opened for the reply.
+
+    ``budget`` (tokenizer, tokens) shortens the source inside the prompt, never
+    the chat around it; the columns of the row keep their whole texts.
+    """
+    prompt = lambda src: render_chat(translation_messages(src, "src_lang", "tgt_lang"), open_reply=True, **markers)
+    if budget is None:
+        return df.withColumn("prompt", prompt("src"))
+    load, max_tokens = budget
+    shortened = fit_tokens(df.withColumn("_src", F.col("src")), load, max_tokens, ["_src"], prompt(F.lit("")))
+    return shortened.withColumn("prompt", prompt("_src")).drop("_src")
+
+
+def fit_examples(df: DataFrame, load: Load, max_tokens: int, **markers: str) -> DataFrame:
+    """Source and target shortened so that their training text keeps a token budget."""
+    frame = render_chat(translation_messages(F.lit(""), "src_lang", "tgt_lang", F.lit("")), **markers)
+    return fit_tokens(df, load, max_tokens, ["src", "tgt"], frame)
+
+
+def direction_place(df: DataFrame, languages: Sequence[str] = tuple(LANGUAGES.values()), name: str = "_place") -> DataFrame:
+    """Place of the row's source language in the order of ``in_direction_order``."""
+    place = F.lit(len(languages))
+    for i, language in enumerate(languages):
+        place = F.when(F.col("src_lang") == language, i).otherwise(place)
+    return df.withColumn(name, place)
 
 
 def preview(df: DataFrame, columns: Sequence[str] = ("src", "tgt", "hypothesis"), n: int = 3, width: int = 140, order_by: str = "ex_id") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelathe.session import scratch_folder
+from pagelathe.sources.writers import BASELINE_KEY
 
 PAIRS = "split string, ex_id bigint, translation struct<en:string,tr:string>"
 EXAMPLES = "ex_id bigint, src_lang string, tgt_lang string, src string, tgt string"
@@ -94,6 +95,31 @@ def read_baselines(spark: SparkSession, path: str) -> DataFrame | None:
     return entries.select("key", F.col("value").try_cast("double").alias("score")).where(F.col("score").isNotNull())
 
 
+def read_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """A score file as ``direction, score, n`` and its nested earlier scores as ``key, score``."""
+    entries = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
+    counts = entries.where(F.col("key").endswith("_n")).select(
+        F.regexp_replace("key", "_n$", "").alias("direction"), F.col("value").try_cast("bigint").alias("n")
+    )
+    ours = entries.where((F.col("key") != BASELINE_KEY) & ~F.col("key").endswith("_n"))
+    scores = ours.select(F.col("key").alias("direction"), F.col("value").try_cast("double").alias("score")).join(counts, "direction")
+    nested = entries.where(F.col("key") == BASELINE_KEY).select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
+    return scores, nested.select("key", F.col("value").try_cast("double").alias("score")).where(F.col("score").isNotNull())
+
+
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Rows written by ``write_in_order``, with ``in_order``: whether every file
+    holds the positions that follow those of the file before it."""
+    rows = spark.read.json(path).withColumn("_file", F.col("_metadata.file_name"))
+    by_name = Window.orderBy("_file")
+    # One row per file.
+    files = rows.groupBy("_file").agg(F.min("position").alias("_low"), F.max("position").alias("_high"), F.count("*").alias("_n"))
+    follows = F.col("_low") == F.coalesce(F.lag("_high").over(by_name), F.lit(0)) + 1
+    dense = F.col("_high") - F.col("_low") + 1 == F.col("_n")
+    checked = files.select("_file", (follows & dense).alias("in_order"))
+    return rows.join(F.broadcast(checked), "_file").drop("_file")
+
+
 def read_kb(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

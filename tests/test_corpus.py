@@ -78,7 +78,7 @@ def test_parts_are_trimmed_as_one(spark):
     assert "".join(r.text for r in parts).replace("\n", "") == single.text.replace("\n", "")
 
 
-def random_books(seed, books=12, pages=40):
+def random_books(seed, books=8, pages=25):
     """Pages with what the rules look for at their edges: hyphens, numbers, blanks, headings, nothing."""
     rng = random.Random(seed)
     bits = ["ab", "Şx", "e-", "12", " 7 ", "\n", "\r\n", "\n\n", " ", "\t", ".", TOC, END, "1 . ÜNİTE", "BİRİNCİ", "Bölüm", "word word", "x\ny", "😀"]

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,15 @@ def test_blocks_see_their_halo(spark):
     rows = [(r._block, r._halo, r.p) for r in ordered.with_blocks(df, "p", 2, block=4).collect()]
     assert sorted(p for _, halo, p in rows if not halo) == list(range(1, 11))
     assert sorted((b, p) for b, halo, p in rows if halo) == [(1, 3), (1, 4), (2, 7), (2, 8)]
+
+
+def test_running_sums_and_maxima(spark):
+    """A hot key, a null key and null values, against a loop."""
+    rng = random.Random(11)
+    rows = [(rng.choice(["hot", "hot", "hot", "a", None]), i, rng.choice([None, i % 7, -i])) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, i int, v int").repartition(5)
+    for how, fold in (("sum", sum), ("max", max)):
+        got = {r.i: r.before for r in ordered.with_running(df, ["k"], "i", F.col("v"), "before", how).collect()}
+        for key, i, _ in rows:
+            earlier = [v for k, j, v in rows if k == key and j < i and v is not None]
+            assert got[i] == (fold(earlier) if earlier else None)

@@ -82,8 +82,8 @@ def document_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def book_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Five words a line and a line a page, with broken words, page numbers, gaps and headings between."""
-    words = F.regexp_replace("text", r"((?:[^ \n]+ ){5})", "$1\n")
+    """Twelve words a line and a line a page, with broken words, page numbers, gaps and headings between."""
+    words = F.regexp_replace("text", r"((?:[^ \n]+ ){12})", "$1\n")
     noisy = by_remainder(
         "doc_id",
         3,

@@ -86,10 +86,14 @@ def translation_chat(src: str, src_lang: str, tgt_lang: str) -> str:
     return chat("system", q(P.TRANSLATION_SYSTEM)) + " || " + chat("user", f"({ask})")
 
 
-def words(x: str, n: int) -> str:
+def words(x: str, n: int | str) -> str:
     return f"array_to_string(list_slice(regexp_split_to_array({strip(x)}, '[{WS}]+'), 1, {n}), ' ')"
 
 
+def n_words(x: str) -> str:
+    return f"len(regexp_extract_all({x}, '[^{WS}]+'))"
+
+
 def clean(x: str) -> str:
     x = f"replace({x}, chr(13), '')"
     x = rf"regexp_replace({x}, '-\n([{WORD}])', '\1', 'g')"
@@ -396,7 +400,7 @@ WITH {HEADED}, {trim_ctes('headed', 'doc_id')}
 SELECT doc_id, length(replace(text, chr(10), '')) AS kept_chars, trimmed_front, trimmed_end FROM trimmed""",
     "doc_body_parts": rf"""
 WITH {HEADED},
-lined AS (SELECT doc_id, regexp_replace(text, '((?:[^ \n]+ ){{5}})', '\1' || chr(10), 'g') AS t FROM headed),
+lined AS (SELECT doc_id, regexp_replace(text, '((?:[^ \n]+ ){{12}})', '\1' || chr(10), 'g') AS t FROM headed),
 noisy AS (
   SELECT 'book-' || doc_id AS source, CASE doc_id % 3 WHEN 0 THEN replace(t, ' ' || chr(10), chr(10))
     WHEN 1 THEN replace(t, 'en', 'e-' || chr(13) || chr(10) || 'n')
@@ -469,6 +473,20 @@ SELECT doc_id, unnest(range(0, 26)) AS dim, round(unnest(e)::DOUBLE, 5) AS value
     "model_score": SCORED + "SELECT ex_id, round(seg_score, 6) AS seg_score FROM scored",
     "truncate_tokens": f"SELECT doc_id, {words('text', 512)} AS text FROM documents",
     "truncate_words": f"SELECT doc_id, {words('text', 512)} AS text FROM documents",
+    "prompt_budget": f"""
+WITH framed AS (SELECT doc_id, text, 96 - {n_words(translation_chat("''", "'English'", "'Turkish'") + " || " + REPLY)} AS room FROM documents),
+cut AS (SELECT doc_id, CASE WHEN {n_words("text")} <= room THEN text ELSE {words("text", "room")} END AS src FROM framed)
+SELECT doc_id AS ex_id, {translation_chat("src", "'English'", "'Turkish'")} || {REPLY} AS prompt FROM cut""",
+    "training_budget": PAIRS
+    + f""",
+counted AS (
+  SELECT *, {n_words("src")} AS a, {n_words("tgt")} AS b,
+         96 - {n_words(translation_chat("''", "src_lang", "tgt_lang") + " || " + chat("assistant", "''"))} AS room FROM examples),
+shared AS (
+  SELECT *, CASE WHEN a <= b THEN room // 2 ELSE room - least(b, room // 2) END AS for_src,
+         CASE WHEN a <= b THEN room - least(a, room // 2) ELSE room // 2 END AS for_tgt FROM counted)
+SELECT ex_id, src_lang, tgt_lang, CASE WHEN a <= for_src THEN src ELSE {words("src", "for_src")} END AS src,
+  CASE WHEN b <= for_tgt THEN tgt ELSE {words("tgt", "for_tgt")} END AS tgt FROM shared""",
     "batch_rows": """
 WITH numbered AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 8 AS batch_no FROM documents)
 SELECT batch_no, count(*) AS n_rows, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS doc_ids FROM numbered GROUP BY 1""",
@@ -529,5 +547,13 @@ SELECT * EXCLUDE (drop_reason, answer_in_choices) FROM items WHERE drop_reason I
     "io_knowledge_base": f"""
 WITH RECURSIVE src AS (SELECT doc_id, {clean("text")} AS text FROM documents), {trim_ctes("src", "doc_id")}, {packed_ctes("trimmed", "doc_id")}
 SELECT doc_id, chunk_no, text, 'passage: ' || text AS embed_text, 26::BIGINT AS dims FROM packed WHERE text <> '' AND {noise("text")} IS NULL""",
+    "io_direction_order": PAIRS
+    + """SELECT ex_id, src_lang, row_number() OVER (ORDER BY CASE src_lang WHEN 'English' THEN 0 ELSE 1 END, ex_id) AS position, true AS in_order
+FROM examples""",
+    "io_source_order": """
+SELECT 'book-' || doc_id AS source, row_number() OVER (ORDER BY 'book-' || doc_id) AS position, true AS in_order, length(text) AS n_chars
+FROM documents""",
+    "io_blank_lines": "SELECT conv_id, turn, role, text FROM conversations",
 }
+ORACLE["io_scores"] = ORACLE["score_compare"]
 ORACLE["knn_blocked"] = ORACLE["knn_topk"]

@@ -102,7 +102,7 @@ def doc_trim_parts(spark, sf):
 
 def doc_body_parts(spark, sf):
     """Books of noisy, headed pages cleaned and trimmed in parts, joined again for the comparison."""
-    parts = knowledge.body_parts(inputs.book_pages(spark, sf), pages_per_part=3)
+    parts = knowledge.body_parts(inputs.book_pages(spark, sf), pages_per_part=4)
     joined = F.array_join(F.sort_array(F.collect_list(F.struct("part_no", "text")))["text"], "\n")
     return parts.groupBy("source").agg(joined.alias("text"))
 
@@ -340,6 +340,21 @@ def truncate_words(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.truncate_words("text", 512).alias("text"))
 
 
+def prompt_budget(spark, sf):
+    """Prompts of whole documents with the source cut to a budget of word tokens."""
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("ex_id"), F.lit("English").alias("src_lang"), F.lit("Turkish").alias("tgt_lang"), F.col("text").alias("src")
+    )
+    fitted = pairs.with_prompt(docs, budget=(inputs.load_word_tokenizer, 96))
+    return fitted.select("ex_id", "prompt")
+
+
+def training_budget(spark, sf):
+    """Examples whose source and target share a budget of word tokens."""
+    talk = examples(spark, sf).select("ex_id", "src_lang", "tgt_lang", "src", "tgt")
+    return pairs.fit_examples(talk, inputs.load_word_tokenizer, 96)
+
+
 def batch_rows(spark, sf):
     batches = ordered.batch_rows(table(spark, sf, "documents").select("doc_id", "lang"), 8, "doc_id")
     ids = F.array_join(F.transform("rows", lambda r: r["doc_id"].cast("string")), ",")
@@ -473,6 +488,39 @@ def io_knowledge_base(spark, sf):
     return kb.select("doc_id", "chunk_no", "text", "embed_text", F.size("embedding").cast("bigint").alias("dims"))
 
 
+def io_scores(spark, sf):
+    """Scores with their baselines as one wide object, written, read back and compared."""
+    home = _folder(spark, "scores")
+    writers.write_scores(scores.direction_scores(_scored(spark, sf)), home, _baselines(spark, sf))
+    found, baselines = readers.read_scores(spark, home)
+    return _rounded(scores.attach_baselines(found, baselines), "score", "zero_shot", "maps", "rag", "delta")
+
+
+def io_direction_order(spark, sf):
+    """Predictions in direction order: positions of the rows, and whether the files hold them in that order."""
+    home = _folder(spark, "ordered")
+    known = examples(spark, sf).select("ex_id", "src_lang", "src")
+    writers.write_in_order(pairs.direction_place(known), home, ["_place", "ex_id"])
+    rows = readers.read_in_order(spark, home)
+    return rows.select("ex_id", "src_lang", "position", "in_order")
+
+
+def io_source_order(spark, sf):
+    """Assembled sources in the order of their names, written and read back with positions."""
+    home = _folder(spark, "sources")
+    writers.write_in_order(corpus.assemble_documents(inputs.document_pages(spark, sf)), home, ["source"])
+    return readers.read_in_order(spark, home).select("source", "position", "in_order", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def io_blank_lines(spark, sf):
+    """One object per line with empty and blank lines between, read as if there were none."""
+    home = _folder(spark, "blank")
+    line = F.to_json(F.struct("conv_id", "turn", "role", "text"), {"ignoreNullFields": "false"})
+    blanks = F.when(F.col("turn") % 2 == 0, F.lit("\n\n")).otherwise(F.lit("\n \t\n"))
+    table(spark, sf, "conversations").select(F.concat(blanks, line, F.lit("\n")).alias("value")).write.text(home)
+    return readers.read_jsonl(spark, home, readers.TRACE)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -524,6 +572,8 @@ QUERIES = {
         model_score,
         truncate_tokens,
         truncate_words,
+        prompt_budget,
+        training_budget,
         batch_rows,
         language_profiles,
         lang_detect,
@@ -542,5 +592,9 @@ QUERIES = {
         io_exam,
         io_summary,
         io_knowledge_base,
+        io_scores,
+        io_direction_order,
+        io_source_order,
+        io_blank_lines,
     )
 }
