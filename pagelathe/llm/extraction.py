@@ -8,19 +8,21 @@ cover enough pages and hold element tokens are valid; the elements among them
 that stand once in a page are the template's skeleton, nested by their paths,
 and texts in the same class are the template's own.  What the template does not
 fix are slots.  The main text is in the innermost section of the skeleton that
-holds most of the text in slots; a second pass reads that section's slots from
-every page.
+holds most of the text in slots, or in the article around it; without an article,
+slots beside that section whose texts are headings or as long as sentences belong
+to it too.  A second pass reads these slots from every page.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from pagelathe.llm.common import packed, staged
 from pagelathe.llm.markup import SECTIONS, spaced, walk
@@ -29,8 +31,11 @@ from pagelathe.llm.markup import SECTIONS, spaced, walk
 SUPPORT, SLOT_SUPPORT = 0.6, 0.2
 #: Share of a host's slot text that the main section holds.
 MAIN_SHARE = 0.6
+#: Mean characters of a slot's texts from which they are sentences, not link names or labels.
+SENTENCE = 40
 #: Pages of a host from which a text in a class with elements is template text.
 FEW_PAGES = 5
+HEADING = re.compile("h[1-6]")
 #: Tokens that a task gathers before it passes their sums on.
 GATHER = 200_000
 
@@ -98,29 +103,40 @@ def occurrence_sums(pages: DataFrame) -> DataFrame:
     return parts.groupBy("host", "path", "text", "aside").agg(*[F.sum(c).alias(c) for c in ("pages", "times", "chars", "v1", "v2")])
 
 
-def _main_section(skeleton: list[str], slots: list[tuple[str, int]]) -> str | None:
-    """The innermost section with most of the slot text, or the article around it."""
-    total = sum(c for _, c in slots)
+def _main_sections(skeleton: list[str], slots: list[tuple[str, int, int]]) -> list[str]:
+    """Paths under which the main text stands, from (path, characters, texts) of the slots.
+
+    The article around the innermost section with most of the slot text; without
+    an article that section, and every slot beside it that holds headings or sentences.
+    """
+    total = sum(c for _, c, _ in slots)
     if not total:
-        return None
+        return []
     inside = lambda path, of: path == of or path.startswith(of + "/")
     name = lambda path: path.rsplit("/", 1)[1].split(".")[0].split("#")[0]
-    held = {s: sum(c for p, c in slots if inside(p, s)) for s in skeleton if name(s) in SECTIONS}
+    held = {s: sum(c for p, c, _ in slots if inside(p, s)) for s in skeleton if name(s) in SECTIONS}
     most = [s for s, c in held.items() if c >= MAIN_SHARE * total]
     if not most:
-        return None
+        return []
     best = max(most, key=lambda s: (s.count("/"), s))
     around = [s for s in held if name(s) in ("article", "main") and inside(best, s)]
-    return min(around, key=lambda s: (s.count("/"), s), default=best)
+    if around:
+        return [min(around, key=lambda s: (s.count("/"), s))]
+    beside = {p for p, c, n in slots if not inside(p, best) and (c >= SENTENCE * n or HEADING.fullmatch(name(p)))}
+    return [best, *sorted(beside)]
 
 
-@F.arrow_udf(StringType())
+@F.arrow_udf(ArrayType(StringType()))
 def _choose(skeleton: pa.Array, slots: pa.Array) -> pa.Array:
-    return pa.array([_main_section(s or [], [(x["path"], x["chars"]) for x in t or []]) for s, t in zip(skeleton.to_pylist(), slots.to_pylist(), strict=True)], pa.string())
+    chosen = [
+        _main_sections(s or [], [(x["path"], x["chars"], x["times"]) for x in t or []])
+        for s, t in zip(skeleton.to_pylist(), slots.to_pylist(), strict=True)
+    ]
+    return pa.array(chosen, pa.list_(pa.string()))
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, main, fixed): the main section's path and the paths of template texts.
+    """(host, main, fixed): the paths of the main text and the paths of template texts.
 
     Only tokens with enough support come together for a host, at most as many as
     a few pages have, never its pages.
@@ -139,9 +155,9 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     slots = slots.join(size, "host").where(F.col("times") >= SLOT_SUPPORT * F.col("n")).join(own, ["host", "path"], "left")
     fixed = F.coalesce(F.col("own") == F.col("chars"), F.lit(False))
     by_host = slots.groupBy("host").agg(
-        F.collect_list(F.when(~fixed, F.struct("path", "chars"))).alias("slots"),
+        F.collect_list(F.when(~fixed, F.struct("path", "chars", "times"))).alias("slots"),
         F.sort_array(F.collect_list(F.when(fixed, F.col("path")))).alias("fixed"),
-        F.collect_list(F.struct("path", "chars")).alias("every"),
+        F.collect_list(F.struct("path", "chars", "times")).alias("every"),
     )
     # Pages that are all alike show no slots: then nothing counts as fixed.
     alike = F.size("slots") == 0
@@ -149,15 +165,15 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     return staged(by_host.join(skeleton, "host", "left").select("host", _choose("skeleton", "slots").alias("main"), "fixed"), "templates")
 
 
-def main_text(page: str, main: str | None, fixed: frozenset[str]) -> str:
-    """Text of a page in the main section, of all sections if the page lacks it."""
+def main_text(page: str, main: Sequence[str], fixed: frozenset[str]) -> str:
+    """Text of a page under the ``main`` paths, of the whole page if it lacks the first of them."""
     parts: list[list[str]] = [[], []]
     found = False
     for kind, node, text in walk(page):
         if kind == "open":
-            found = found or node.path == main
+            found = found or bool(main) and node.path == main[0]
             continue
-        inside = main is not None and (node.path == main or node.path.startswith(main + "/"))
+        inside = any(node.path == m or node.path.startswith(m + "/") for m in main)
         if kind == "break":
             text = " "
         elif node.aside or node.path in fixed:
@@ -181,7 +197,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     @F.arrow_udf("string")
     def extracted(page: pa.Array, main: pa.Array, fixed: pa.Array) -> pa.Array:
-        out = (main_text(p.as_py() or "", m, frozenset(f or ())) for p, m, f in zip(page, main.to_pylist(), fixed.to_pylist(), strict=True))
+        out = (main_text(p.as_py() or "", m or (), frozenset(f or ())) for p, m, f in zip(page, main.to_pylist(), fixed.to_pylist(), strict=True))
         return pa.array(list(out), pa.string())
 
     return rows.join(templates, "host", "left").select("row", "host", extracted("html", "main", "fixed").alias("text"))

@@ -21,13 +21,21 @@ CLOSES_ITSELF = frozenset("li dt dd tr td th option".split())
 SECTIONS = frozenset("article main section div body td center".split())
 
 # Elements and roles that mark what is no article text, and names that as a whole
-# mark a menu, an advert or comments, if a block container has them as a class or id.
+# mark a menu, a site's head or foot, a side column, a notice, an advert or readers' comments, if a
+# block container has them as a class or id.
 ASIDE = frozenset("nav footer aside form button select template svg dialog menu head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 CONTAINERS = frozenset("center dd div dl fieldset li ol section table tbody td tr ul".split())
+WHOLE_NAMES = (
+    r"ads?|advert|adverts|advertisements?|adsense|sponsored",
+    r"(?:(?:site|main|top|page)[_-]?)?(?:menu|nav|navigation)|breadcrumbs?|pagination",
+    r"(?:site|global|top)[_-]?(?:header|footer)|masthead|page[_-]?footer|footer",
+    r"(?:(?:left|right|main|page|primary|secondary|site)[_-]?)?sidebar|related[_-]?(?:articles|links|posts)|popular[_-]?posts|related",
+    r"(?:cookies?|consent|gdpr|privacy|site)[_-]?(?:banner|message|notice|overlay|popup)|cookies",
+    r"(?:(?:reader|user|visitor)s?[_-]?)?comments?|respond|disqus",
+)
 NAMES = re.compile(
-    r"(?:ads?|advert|adverts|advertisements?|adsense|sponsored|menu|nav|navigation|breadcrumbs?|pagination|comments?|respond|disqus)"
-    r"(?:[_-]?(?:area|bar|block|box|container|form|list|menu|section|slot|thread|unit|wrap|wrapper|[0-9]+))*",
+    rf"(?:{'|'.join(WHOLE_NAMES)})(?:[_-]?(?:area|bar|block|box|container|form|list|menu|section|slot|thread|unit|wrap|wrapper|[0-9]+))*",
     re.I,
 )
 DEEP = 256
