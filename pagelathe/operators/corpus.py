@@ -9,7 +9,7 @@ from functools import reduce
 from operator import or_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from pagelathe.functions.text import (
     word_pattern,
 )
 from pagelathe.operators.ordered import whole_quotient, with_running
-from pagelathe.session import scratch_folder
+from pagelathe.session import in_buckets, scratch_folder
 
 # Sizes of chunks, where to cut, from paragraphs down to single
 # characters, and the shares of a text in which headings count.
@@ -38,6 +38,9 @@ HEADING_SHARE = 0.30
 # Pages of one part of a source, and the block of pages without a number.
 PAGES_PER_PART = 64
 NO_PAGE = -(1 << 62)
+# Blocks of one lot, and the columns that name a lot: the source, null ones too, and its number.
+BLOCKS_PER_LOT = 16
+LOT = ("_key", "_lot")
 # Text up to the first line end between two letters.
 PART_END = r"(?s)^(.*?\p{L}\r*)\n(?=\p{L})"
 # Characters of chunks handed back to Spark at once.
@@ -65,36 +68,53 @@ def assemble_parts(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> Da
     the clean text.  A block of pages without such a line end stays with the part
     before it.  Part numbers ascend, with gaps.
     """
-    spark = pages.sparkSession
+    return lots_of_parts(pages, pages_per_part).drop(*LOT)
+
+
+def lots_of_parts(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
+    """``assemble_parts`` with the columns ``LOT``, by which its rows lie together.
+
+    A lot is a row of neighbouring blocks.  All texts move into their lots once
+    and stay in the buckets these are written to; only what the first blocks of
+    a lot add to a part of an earlier lot moves again.
+    """
+    key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("_key")
+    block_of = lambda page_no: F.coalesce(whole_quotient(page_no.cast("bigint"), pages_per_part), F.lit(NO_PAGE))
+    lot_of = lambda block: whole_quotient(block, BLOCKS_PER_LOT)
     page = F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))
-    block = F.coalesce(whole_quotient(F.col("page_no").cast("bigint"), pages_per_part), F.lit(NO_PAGE))
-    gathered = pages.groupBy("source", block.alias("_block")).agg(F.sort_array(F.collect_list(page)).alias("_pages"))
-    joined = gathered.select("source", "_block", F.array_join(F.col("_pages.text"), "\n").alias("text"))
-    # Written with the place of the cut, so that all steps but the last read no text.
-    path = f"{scratch_folder(spark)}/blocks-{uuid.uuid4().hex}"
-    marked = joined.withColumn("_head", F.length(F.regexp_extract("text", PART_END, 1)))
-    marked.write.parquet(path)
-    blocks = spark.read.schema(marked.schema).parquet(path)
-    opens = F.when(F.col("_head") > 0, F.col("_block"))
-    firsts = blocks.groupBy("source").agg(F.min("_block").alias("_first")).withColumnRenamed("source", "_of")
-    running = with_running(blocks.select("source", "_block", "_head"), ["source"], "_block", opens, "_before", "max")
-    placed = running.join(firsts, F.col("source").eqNullSafe(F.col("_of"))).select(
-        F.col("source").alias("_of"),
-        F.col("_block").alias("_no"),
-        F.coalesce("_before", "_first").alias("_owner"),
-        (F.col("_block") == F.col("_first")).alias("_is_first"),
+    gathered = pages.groupBy(key, lot_of(block_of(F.col("page_no"))).alias("_lot")).agg(
+        F.first("source").alias("source"), F.sort_array(F.collect_list(page)).alias("_pages")
     )
-    piece = lambda part, text: F.struct(part.alias("part_no"), "_block", text.alias("text"))
-    whole = F.array(piece(F.col("_owner"), F.col("text")))
-    halves = F.array(
-        piece(F.col("_owner"), F.left("text", "_head")), piece(F.col("_block"), F.substr("text", F.col("_head") + 2))
-    )
-    pieces = blocks.join(placed, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_block") == F.col("_no"))).select(
-        "source", F.inline(F.when(F.col("_is_first") | (F.col("_head") == 0), whole).otherwise(halves))
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("_block", "text")))
-    parts = pieces.groupBy("source", "part_no").agg(ordered.alias("_pieces"))
-    return parts.select("source", "part_no", F.array_join(F.col("_pieces.text"), "\n").alias("text"))
+    own = lambda n: F.transform(F.filter("_pages", lambda p: block_of(p["page_no"]) == n), lambda p: p["text"])
+    numbers = F.array_distinct(F.transform("_pages", lambda p: block_of(p["page_no"])))
+    blocks = gathered.withColumn("_blocks", F.transform(numbers, lambda n: F.struct(n.alias("no"), F.array_join(own(n), "\n").alias("text"))))
+    head = lambda b: F.length(F.regexp_extract(b["text"], PART_END, 1))
+    # Written with the place of the cuts, so that the steps between read no text.
+    marked = blocks.withColumn("_blocks", F.transform("_blocks", lambda b: F.struct(b["no"].alias("no"), b["text"].alias("text"), head(b).alias("head"))))
+    opens = F.transform(F.filter("_blocks", lambda b: b["head"] > 0), lambda b: b["no"])
+    lots = in_buckets(marked.select("source", *LOT, "_blocks", F.col("_blocks")[0]["no"].alias("_low"), opens.alias("_opens")), "lots", *LOT)
+
+    small = lots.select(*LOT, "_low", F.array_max("_opens").alias("_last"))
+    firsts = small.groupBy("_key").agg(F.min("_low").alias("_first"))
+    running = with_running(small, ["_key"], "_lot", F.col("_last"), "_before", "max")
+    placed = running.join(firsts, "_key").select(*LOT, "_first", F.coalesce("_before", "_first").alias("_owner"))
+
+    def pieces(b: Column) -> Column:
+        owner = F.coalesce(F.array_max(F.filter("_opens", lambda n: n < b["no"])), F.col("_owner"))
+        piece = lambda part, text: F.struct(part.alias("part_no"), b["no"].alias("no"), text.alias("text"))
+        halves = F.array(piece(owner, F.left(b["text"], b["head"])), piece(b["no"], F.substr(b["text"], b["head"] + 2)))
+        return F.when((b["no"] == F.col("_first")) | (b["head"] == 0), F.array(piece(owner, b["text"]))).otherwise(halves)
+
+    cut = F.flatten(F.transform("_blocks", pieces))
+    # The first lot of a source has no pieces of other lots.
+    late = lots.join(placed.where(lot_of(F.col("_first")) != F.col("_lot")), [*LOT])
+    gone = late.select("_key", F.inline_outer(F.filter(cut, lambda p: lot_of(p["part_no"]) != F.col("_lot")))).where("part_no IS NOT NULL")
+    moved = gone.groupBy("_key", lot_of(F.col("part_no")).alias("_lot")).agg(F.collect_list(F.struct("part_no", "no", "text")).alias("_moved"))
+    kept = F.filter(cut, lambda p: lot_of(p["part_no"]) == F.col("_lot"))
+    held = lots.join(placed, [*LOT]).join(moved, [*LOT], "left").withColumn("_pieces", F.sort_array(F.concat(kept, F.coalesce("_moved", F.array()))))
+    text = lambda n: F.array_join(F.transform(F.filter("_pieces", lambda p: p["part_no"] == n), lambda p: p["text"]), "\n")
+    parts = F.transform(F.array_distinct(F.transform("_pieces", lambda p: p["part_no"])), lambda n: F.struct(n.alias("part_no"), text(n).alias("text")))
+    return held.select("source", *LOT, F.inline_outer(parts)).where("part_no IS NOT NULL").select("source", "part_no", "text", *LOT)
 
 
 def in_source_order(df: DataFrame) -> DataFrame:
@@ -158,6 +178,7 @@ def trim_parts(
     end: Sequence[str] = END_HEADINGS,
     contents: Sequence[str] = CONTENTS_HEADINGS,
     heading: str | None = None,
+    beside: Sequence[str] = (),
 ) -> DataFrame:
     """``trim_boilerplate`` for documents that span several rows.
 
@@ -166,6 +187,10 @@ def trim_parts(
     more and cut at offsets joined back to them by part.  Parts that lie wholly
     in a trimmed end become empty; ``in_body`` tells them from parts that meet
     the body, whose texts joined by newlines are the trimmed text.
+
+    ``beside`` are columns without nulls by which the rows lie together already
+    (few parts have the same): the texts then stay where they are, and the
+    offsets come to them.
     """
     spark = df.sparkSession
     toc_word, chapter = word_pattern(contents), heading or heading_pattern()
@@ -180,10 +205,13 @@ def trim_parts(
     }
     path = f"{scratch_folder(spark)}/parts-{uuid.uuid4().hex}"
     marked = df.withColumn(text, F.coalesce(text, F.lit(""))).withColumns(facts)
-    marked.write.parquet(path)
-    parts = spark.read.schema(marked.schema).parquet(path)
+    if beside:
+        parts = in_buckets(marked, "parts", *beside)
+    else:
+        marked.write.parquet(path)
+        parts = spark.read.schema(marked.schema).parquet(path)
     # Parts are joined by one newline, hence the extra character per part.
-    small = parts.select(F.col(source).alias("_s"), F.col(part).alias("_p"), *facts)
+    small = parts.select(F.col(source).alias("_s"), F.col(part).alias("_p"), *beside, *facts)
     running = with_running(small, ["_s"], "_p", F.col("_len") + 1, "_at").withColumn("_at", F.coalesce("_at", F.lit(0)))
     # A few numbers a part, read three times below.
     running.write.parquet(f"{path}-placed")
@@ -204,12 +232,18 @@ def trim_parts(
         & (F.col("_start") < F.lit(HEADING_SHARE) * F.col("_n"))
         & (F.col("_start") < cut)
     )
-    bounds = started.select("_s", "_p", "_at", "_n", cut.alias("_cut"), F.when(skip, F.col("_start")).otherwise(0).alias("_front"))
+    front = F.when(skip, F.col("_start")).otherwise(0)
+    bounds = started.select("_s", "_p", *beside, "_at", "_n", cut.alias("_cut"), front.alias("_front"))
+    if beside:
+        found = bounds.groupBy(*beside).agg(F.collect_list(F.struct("_s", "_p", "_at", "_n", "_cut", "_front")).alias("_bounds"))
+        own = F.filter("_bounds", lambda b: b["_s"].eqNullSafe(F.col(source)) & b["_p"].eqNullSafe(F.col(part)))
+        placed_parts = parts.join(found, [*beside]).withColumn("_own", own[0]).select("*", "_own.*")
+    else:
+        placed_parts = parts.join(bounds, F.col(source).eqNullSafe(F.col("_s")) & F.col(part).eqNullSafe(F.col("_p")))
     lo = F.greatest(F.col("_front") - F.col("_at"), F.lit(0))
     hi = F.least(F.col("_cut") - F.col("_at"), F.col("_len"))
     return (
-        parts.join(bounds, F.col(source).eqNullSafe(F.col("_s")) & F.col(part).eqNullSafe(F.col("_p")))
-        .withColumn(text, F.when(hi > lo, F.substr(text, (lo + 1).cast("int"), (hi - lo).cast("int"))).otherwise(""))
+        placed_parts.withColumn(text, F.when(hi > lo, F.substr(text, (lo + 1).cast("int"), (hi - lo).cast("int"))).otherwise(""))
         .withColumn("in_body", (F.col("_at") <= F.col("_cut")) & (F.col("_at") + F.col("_len") >= F.col("_front")))
         .withColumn("trimmed_front", F.col("_front").cast("bigint"))
         .withColumn("trimmed_end", (F.col("_n") - F.col("_cut")).cast("bigint"))

@@ -9,13 +9,14 @@ from pagelathe.functions.text import PASSAGE_PREFIX, add_prefix
 from pagelathe.operators.corpus import (
     CHUNK_OVERLAP,
     CHUNK_SIZE,
+    LOT,
     PAGES_PER_PART,
     assemble_documents,
-    assemble_parts,
     chunk_by_stride,
     chunk_documents,
     clean_documents,
     drop_noise,
+    lots_of_parts,
     require_rows,
     trim_boilerplate,
     trim_parts,
@@ -53,8 +54,8 @@ def body_parts(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFr
     Joined by newlines in order, the parts of a source are the text that
     ``chunks_from_pages`` cuts.
     """
-    parts = assemble_parts(require_rows(pages, "pages"), pages_per_part)
-    return trim_parts(clean_documents(parts)).where("in_body").select("source", "part_no", "text")
+    parts = lots_of_parts(require_rows(pages, "pages"), pages_per_part)
+    return trim_parts(clean_documents(parts), beside=LOT).where("in_body").select("source", "part_no", "text")
 
 
 def _cut(body: DataFrame, keys: tuple[str, ...], filtered: bool, size: int, overlap: int, native: bool) -> DataFrame:

@@ -1,9 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from pagelathe.operators import corpus
+from pagelathe.plans import knowledge
 
 
 def placed(*marks, n=1000):
@@ -104,6 +106,21 @@ def test_texts_do_not_depend_on_parts(spark, size):
         assert parts.count() > 2 * whole.count()
 
 
+def test_texts_of_parts_stay_where_they_lie(spark, tmp_path):
+    """No exchange of the plan that trims parts carries their texts."""
+    pages = spark.createDataFrame(list(random_books(3)), "source string, page_no int, text string")
+    pages.write.parquet(str(tmp_path / "pages"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = knowledge.body_parts(spark.read.parquet(str(tmp_path / "pages")), 2)
+        plan = parts._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", plan)
+    assert moved
+    assert not [columns for columns in moved if re.search(r"\btext#", columns)]
+
+
 def test_no_pages_no_parts(spark):
     none = spark.createDataFrame([], "source string, page_no int, text string")
     assert corpus.trim_parts(corpus.clean_documents(corpus.assemble_parts(none))).count() == 0
