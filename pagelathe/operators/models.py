@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +24,26 @@ Load = Callable[[], Callable]
 GENERATE_BATCH = 8
 EMBED_BATCH = 64
 SCORE_BATCH = 8
+# Bytes of texts whose tokens are held at once: tokens weigh many times their texts.
+LOT_BYTES = 1_000_000
 
 
 def _slices(n: int, size: int) -> Iterator[slice]:
     return (slice(at, at + size) for at in range(0, n, size))
 
 
+def _lots(columns: Sequence[pa.Array], size: int = LOT_BYTES) -> Iterator[list[list]]:
+    """Rows of a batch as lists, column by column, some bytes of text at a time."""
+    sizes = np.sum([pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in columns], axis=0, dtype=np.int64)
+    lot = (np.cumsum(sizes) - sizes) // size
+    cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1), len(sizes)]
+    return ([c.slice(a, b - a).to_pylist() for c in columns] for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
+def _joined(lots: Iterator[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays([pa.array([], kind), *lots])
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt evenly before a model runs on them.
 
@@ -96,12 +112,13 @@ def truncate_tokens(df: DataFrame, load: Load, max_tokens: int, text: str = "tex
     ``load`` returns a pair of functions: texts to token lists, token lists to texts.
     """
 
-    def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode, decode = load()
-        for texts in series:
-            yield pd.Series(decode([tokens[:max_tokens] for tokens in encode(texts.tolist())]), dtype="object")
+        for batch in batches:
+            cut = (decode([tokens[:max_tokens] for tokens in encode(texts)]) for (texts,) in _lots([batch]))
+            yield _joined((pa.array(list(lot), pa.string()) for lot in cut), pa.string())
 
-    return df.withColumn(text, F.pandas_udf(run, "string")(text))
+    return df.withColumn(text, F.arrow_udf(run, "string")(text))
 
 
 def fit_tokens(df: DataFrame, load: Load, max_tokens: int, texts: Sequence[str], frame: Column | None = None) -> DataFrame:
@@ -116,23 +133,26 @@ def fit_tokens(df: DataFrame, load: Load, max_tokens: int, texts: Sequence[str],
     texts and frames have none.
     """
 
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    kind = pa.struct([(t, pa.string()) for t in texts])
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         encode, decode = load()
-        for columns in batches:
-            frames, *given = [c.tolist() for c in columns]
+
+        def fitted(frames: list, *given: list) -> pa.Array:
             room = [max(max_tokens - len(tokens), 0) for tokens in encode([f or "" for f in frames])]
             held = [encode([t or "" for t in column]) for column in given]
             shares = [_shares([len(tokens[row]) for tokens in held], free) for row, free in enumerate(room)]
-            out = {}
-            for i, (name, column, tokens) in enumerate(zip(texts, given, held)):
+            for i, (column, tokens) in enumerate(zip(given, held)):
                 over = [row for row, share in enumerate(shares) if len(tokens[row]) > share[i]]
                 for row, cut in zip(over, decode([tokens[row][: shares[row][i]] for row in over]) if over else ()):
                     column[row] = cut
-                out[name] = column
-            yield pd.DataFrame(out, dtype="object")
+            return pa.StructArray.from_arrays([pa.array(column, pa.string()) for column in given], fields=list(kind))
+
+        for columns in batches:
+            yield _joined((fitted(*lot) for lot in _lots(columns)), kind)
 
     schema = T.StructType([T.StructField(t, T.StringType()) for t in texts])
-    udf = F.pandas_udf(run, schema)
+    udf = F.arrow_udf(run, schema)
     fitted = df.withColumn("_fit", udf(F.lit("") if frame is None else frame, *texts))
     return fitted.withColumns({t: F.col("_fit")[t] for t in texts}).drop("_fit")
 

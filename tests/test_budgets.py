@@ -45,6 +45,23 @@ def test_nulls_stay_and_nothing_fails_on_no_rows(spark):
     assert models.fit_tokens(df.limit(0), load_letters, 5, ["a", "b"]).count() == 0
 
 
+def load_few():
+    """A tokenizer that refuses more than a few megabytes of text at once."""
+
+    def encode(texts):
+        if sum(map(len, texts)) > 2_000_000:
+            raise MemoryError("too many texts at once")
+        return [list(t) for t in texts]
+
+    return encode, lambda rows: ["".join(r) for r in rows]
+
+
+def test_tokens_of_few_texts_are_held_at_once(spark):
+    df = spark.range(0, 3000, 1, 1).select("id", *[F.repeat(F.lit(c), 1000).alias(c) for c in "ab"], F.lit(None).cast("string").alias("c"))
+    for cut in (models.fit_tokens(df, load_few, 10, ["a", "b", "c"]), models.truncate_tokens(df, load_few, 5, "a").withColumn("b", F.left("b", F.lit(5)))):
+        assert [tuple(r) for r in cut.groupBy("a", "b", "c").count().collect()] == [("aaaaa", "bbbbb", None, 3000)]
+
+
 def test_only_the_source_of_a_prompt_is_cut(spark):
     df = spark.createDataFrame([(0, "English", "Turkish", "s" * 500, "t")], EXAMPLES)
     bare = len(pairs.with_prompt(df.withColumn("src", F.lit(""))).first().prompt)
