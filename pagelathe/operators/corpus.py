@@ -44,7 +44,7 @@ LOT = ("_key", "_lot")
 # Text up to the first line end between two letters.
 PART_END = r"(?s)^(.*?\p{L}\r*)\n(?=\p{L})"
 # Characters of chunks handed back to Spark at once.
-LOT_CHARS = 8_000_000
+LOT_CHARS = 1_000_000
 
 
 def assemble_documents(pages: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,13 @@ def test_recursive(spark, text, size, overlap, expected):
     assert [(r.source, r.chunk_no, r.text) for r in rows] == [("s", i, t) for i, t in enumerate(expected)]
 
 
+def test_few_chunks_are_held_at_once():
+    texts = pa.array(["word " * 400] * 2_000 + [None, "x" * 5])
+    lots = list(corpus._in_lots(texts, lambda t: corpus.split_text(t, 800, 120, corpus.SEPARATORS)))
+    assert max(sum(map(len, chunks)) for _, _, chunks in lots) < 2_000_000
+    assert sum(len(chunks) for _, _, chunks in lots) == 2_000 * 3 + 1
+
+
 def brute(text, size, overlap, separators):
     """The packing rule of SURVEY 2.14 step by step, on lists of strings."""
     sep = next(s for s in separators if s == "" or s in text)
