@@ -1,5 +1,6 @@
 """The n-gram join and the line dedup against brute force."""
 
+import functools
 import random
 import re
 from collections import Counter, defaultdict
@@ -177,3 +178,13 @@ def test_the_kept_line_does_not_depend_on_the_layout(spark):
     for order in (rows, rows[::-1], rows[7:] + rows[:7]):
         found = line_dedup.dedup_lines(spark.createDataFrame(order, "doc_id bigint, text string").coalesce(1)).collect()
         assert {r.doc_id: list(r.dropped) for r in found} == {i: [0] if i else [] for i in range(20)}
+
+
+def test_rolling_hashes_are_polynomials():
+    from pagelathe.llm import words
+
+    h = np.random.default_rng(1).integers(0, 2**63, 40).astype(np.uint64)
+    for n in (1, 2, 5, 8, 13, 40, 41):
+        with np.errstate(over="ignore"):
+            step_by_step = [functools.reduce(lambda total, x: total * words.STEP + x, h[i : i + n]) + words.MIX for i in range(len(h) - n + 1)]
+        assert words.rolling(h, n).tolist() == words.mixed(np.array(step_by_step, np.uint64)).tolist()
