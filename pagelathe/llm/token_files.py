@@ -21,6 +21,7 @@ leaves nothing behind that a reader would see.
 from __future__ import annotations
 
 import json
+import operator
 import os
 import sys
 import uuid
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,16 +44,16 @@ LEVEL = 3
 END_ID = 1
 #: Word chunks whose ids a worker keeps, and bytes of them; a full table is emptied.
 CACHE, CACHE_BYTES = 1_000_000, 64 << 20
-#: Rows that are encoded before the ids of the first go into chunks.
-LOT = 256
+#: Bytes of texts that are encoded before the ids of the first go into chunks; each distinct word of them is looked up once.
+LOT_BYTES = 4 << 20
 #: Words that go to the tokenizer at once, and the word that is put between them.
 WORDS, BETWEEN = 2_048, "|"
 TAILS = ".,*#$%&!?|"
 # The pattern of the tokenizer file whose matches hold no white space, and its normaliser of spaces.
 WORD_PATTERN = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 SPACES = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
-#: White space to Python but not to tokenizers, and signs of special tokens.
-ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+#: Sign of special tokens; texts that hold it are encoded whole.
+SPECIAL = "<|"
 
 
 def planes_of(ids: np.ndarray, kind: str = "bit") -> list[bytes]:
@@ -72,11 +74,12 @@ def ids_of(planes: list[bytes], n: int) -> np.ndarray:
     """The ids behind planes_of."""
     if len(planes) == 4:
         return np.stack([np.frombuffer(p, np.uint8) for p in planes], axis=1).reshape(-1).view("<u4")
-    octets = np.zeros((n, 4), np.uint8)
+    octets = np.zeros((4, n), np.uint8)
     for at, plane in enumerate(planes):
-        if any(plane):
-            octets[:, at // 8] |= np.unpackbits(np.frombuffer(plane, np.uint8), count=n, bitorder="little") << np.uint8(at % 8)
-    return octets.reshape(-1).view("<u4")
+        packed = np.frombuffer(plane, np.uint8)
+        if packed.any():
+            octets[at // 8] |= np.unpackbits(packed, count=n, bitorder="little") << np.uint8(at % 8)
+    return np.ascontiguousarray(octets.T).reshape(-1).view("<u4")
 
 
 class PlaneWriter:
@@ -144,6 +147,10 @@ def read_chunk(file, entry: list[int]) -> np.ndarray:
     return ids_of(planes, entry[1])
 
 
+def _parts(x: dict | None, key: str) -> list[dict]:
+    return [] if x is None else x.get(key, [x])
+
+
 def splits_at_space(description: dict) -> bool:
     """Whether the ids of a text are those of its words between white space.
 
@@ -151,9 +158,8 @@ def splits_at_space(description: dict) -> bool:
     pattern without white space, whose normalisers change no word's neighbours,
     and that add nothing of their own; any other kind is encoded whole.
     """
-    parts = lambda x, key: [] if x is None else x.get(key, [x])
-    changes, cuts = parts(description["normalizer"], "normalizers"), parts(description["pre_tokenizer"], "pretokenizers")
-    plain = all(c["type"] in ("NFC", "Lowercase") or c == SPACES for c in changes)
+    changes, cuts = _parts(description["normalizer"], "normalizers"), _parts(description["pre_tokenizer"], "pretokenizers")
+    plain = all(c["type"] in ("NFC", "Lowercase") or c == SPACES for c in changes) and all(t["content"].startswith(SPECIAL) for t in description["added_tokens"])
     if not cuts or not plain or description["truncation"] or description["padding"]:
         return False
     first = cuts[0]
@@ -161,13 +167,32 @@ def splits_at_space(description: dict) -> bool:
     return drops and all(c["type"] == "ByteLevel" and not c["add_prefix_space"] and not c["use_regex"] for c in cuts[1:])
 
 
+class Apart(dict):
+    """Character -> whether it is a letter or digit that the tokenizer cuts off from a mark beside it.
+
+    Not so where it puts a combining sign in the letter's place, which stays with the mark.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.normalizer, self.cutter = tokenizer.normalizer, tokenizer.pre_tokenizer
+
+    def __missing__(self, c: str) -> bool:
+        text = f"{BETWEEN}{c}{BETWEEN}"
+        text = self.normalizer.normalize_str(text) if self.normalizer else text
+        pieces = [p for p, _ in self.cutter.pre_tokenize_str(text)] if self.cutter else [text]
+        got = self[c] = c.isalnum() and pieces[0] == BETWEEN == pieces[-1]
+        return got
+
+
 class Encoder:
     """Whole texts to ids.
 
     For a tokenizer that never joins across white space, word chunks between
     white space are encoded once and kept; the ids of a text are those of its
     chunks.  ``by_word`` says whether the tokenizer is of that kind; left out,
-    its own description decides (see ``splits_at_space``).
+    its own description decides (see ``splits_at_space``), which also says
+    whether words of ASCII letters reach the tokenizer's model as they are.
     """
 
     def __init__(self, path: str, by_word: bool | None = None):
@@ -176,7 +201,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = splits_at_space(json.loads(self.tokenizer.to_str())) if by_word is None else by_word
+        description = json.loads(self.tokenizer.to_str())
+        self.bare = splits_at_space(description)
+        self.by_word = self.bare if by_word is None else by_word
+        self.lower = any(c["type"] == "Lowercase" for c in _parts(description["normalizer"], "normalizers"))
+        self.model, self.apart = self.tokenizer.model, Apart(self.tokenizer)
         self.known: dict[str, bytes] = {}
         self.room = 0
         between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
@@ -195,56 +224,90 @@ class Encoder:
         lots = (texts[i : i + WORDS] for i in range(0, len(texts), WORDS))
         return [array("I", e.ids).tobytes() for lot in lots for e in self.tokenizer.encode_batch_fast(lot, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> Iterator[bytes]:
+    def _words(self, words: list[str], mark: str) -> Iterator[bytes]:
         """Ids of words between white space, each on its own; a lot goes in as one text of words and marks."""
         if self.between is None:
             yield from self._plain(words)
             return
         for start in range(0, len(words), WORDS):
             lot = words[start : start + WORDS]
-            ids = np.array(self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(lot)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([mark.join(lot)], add_special_tokens=False)[0].ids, "<u4")
             data, at = ids.tobytes(), 0
             for end in (*(np.flatnonzero(ids == self.between) * 4).tolist(), len(data)):
                 yield data[at:end]
                 at = end + 4
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
+    def _bare(self, word: str) -> bytes:
+        """Ids of a word that normaliser and pre-tokenizer leave as it is."""
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words not yet known; marks at a word's end are looked up apart."""
-        known, cut, new, odd = self.known, [], set(), set()
-        for w in words:
-            if w[-1] in TAILS and (head := w.rstrip(TAILS)) and head[-1].isalnum():
-                cut.append((w, head, tail := w[len(head) :]))
-                pieces = (head, tail)
-            else:
-                pieces = (w,)
-            for p in pieces:
-                if p not in known:
-                    (odd if BETWEEN in p else new).add(p)
-        new, odd = list(new), list(odd)
-        found = dict(zip(new, self._words(new), strict=True))
-        found.update(zip(odd, self._plain(odd), strict=True))
-        of = lambda p: found[p] if p in found else known[p]
-        found.update([(w, of(head) + of(tail)) for w, head, tail in cut])
+        # Whole words and the pieces they are put together from, in lists of their own: tuples of them are work for the collector.
+        known, apart, whole, heads, tails, pieces = self.known, self.apart, [], [], [], {""}
+        for w in filter(None, words):
+            # Lower-casing ASCII here only makes words meet sooner.
+            head, tail = w.lower() if self.lower and w.isascii() else w, ""
+            if head[-1] in TAILS and (rest := head.rstrip(TAILS)) and apart[rest[-1]]:
+                head, tail = rest, head[len(rest) :]
+                pieces.add(tail)
+            pieces.add(head)
+            if tail or head != w:
+                whole.append(w)
+                heads.append(head)
+                tails.append(tail)
+        held = {p: b for p in pieces if (b := known.get(p)) is not None}
+        new, fresh = pieces.difference(held, [""]), {"": b""}
+        letters = [p for p in new if p.isascii() and p.isalpha()] if self.bare else []
+        fresh.update(zip(letters, map(self._bare, letters), strict=True))
+        rest = new.difference(letters)
+        odd = [p for p in rest if BETWEEN in p]
+        joined = [p for p in rest.difference(odd) if apart[p[0]] and apart[p[-1]]]
+        spaced = list(rest.difference(odd, joined))
+        fresh.update(zip(odd, self._plain(odd), strict=True))
+        fresh.update(zip(joined, self._words(joined, BETWEEN), strict=True))
+        fresh.update(zip(spaced, self._words(spaced, f" {BETWEEN} "), strict=True))
+        of = {**held, **fresh}.__getitem__
+        fresh.update(zip(whole, map(operator.add, map(of, heads), map(of, tails)), strict=True))
         # What one lot brings is bounded by its texts; the table as a whole by words and bytes.
-        self.room += sum(map(len, found)) + sum(map(len, found.values()))
-        if len(known) + len(found) > CACHE or self.room > CACHE_BYTES:
+        self.room += sum(map(len, fresh)) + sum(map(len, fresh.values()))
+        if len(known) + len(fresh) > CACHE or self.room > CACHE_BYTES:
             known.clear()
             self.room = 0
         else:
-            known.update(found)
-        return found
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_word or any(sign in t for t in texts for sign in ODD):
-            return [np.frombuffer(b, "<u4") for b in self._plain(texts)]
-        # Lower-casing ASCII here only makes words meet sooner.
-        split = [(t.lower() if t.isascii() else t).split() for t in texts]
-        ids = [list(map(self.known.get, words)) for words in split]
-        new = {w for words, got in zip(split, ids, strict=True) if None in got for w, b in zip(words, got, strict=True) if b is None}
+            known.update(fresh)
+        return fresh
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        if not self.by_word or pc.any(special := pc.match_substring(texts, SPECIAL)).as_py():
+            whole = special.to_pylist() if self.by_word else [True] * len(texts)
+            plain = iter(self._plain([t for t, w in zip(texts.to_pylist(), whole, strict=True) if w]))
+            by_word = iter(self(texts.filter(pc.invert(special))) if self.by_word else [])
+            return [np.frombuffer(next(plain), "<u4") if w else next(by_word) for w in whole]
+        if self.lower:
+            texts = pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts)
+        # At ASCII white space only; the tokenizer itself cuts at any other inside a word.
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, words))
+        new = [i for i, b in enumerate(ids) if b is None]
         if new:
-            found = self._learn(new)
-            ids = [[found[w] if b is None else b for w, b in zip(words, got, strict=True)] if None in got else got for words, got in zip(split, ids, strict=True)]
-        return [np.frombuffer(b"".join(got), "<u4") for got in ids]
+            found = self._learn([words[i] for i in new])
+            for i in new:
+                ids[i] = found[words[i]]
+        every = pa.array(ids, pa.large_binary()).take(coded.indices)
+        data = np.frombuffer(every.buffers()[2] or b"", "<u4")
+        ends = np.frombuffer(every.buffers()[1], np.int64)[np.cumsum(np.concatenate([[0], pc.list_value_length(split)]))] // 4
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def _lots(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and number of rows of neighbours that together hold LOT_BYTES, or one longer text more."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // LOT_BYTES)) + 1).tolist(), len(ends)]
+    return ((a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, order_by: list, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, chunk: int = CHUNK_IDS, kind: str = "bit", by_word: bool | None = None) -> DataFrame:
@@ -263,8 +326,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, order_by: li
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, out = None, None
         for batch in batches:
-            for start in range(0, batch.num_rows, LOT):
-                part = batch.slice(start, LOT)
+            for start, rows_ in _lots(batch.column(2)):
+                part = batch.slice(start, rows_)
                 if out is None:
                     encode = Encoder.of_worker(tokenizer, by_word)
                     store, at = store_of(folder)
@@ -272,7 +335,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, order_by: li
                     store.create_dir(at, recursive=True)
                     sink = store.open_output_stream(f"{at}/{name}", compression=None)
                     out, total = PlaneWriter(sink, chunk, kind), 0
-                for key, ids in zip(part.column(1).to_pylist(), encode(part.column(2).to_pylist()), strict=True):
+                for key, ids in zip(part.column(1).to_pylist(), encode(part.column(2)), strict=True):
                     ids = np.append(ids, np.uint32(end_id))
                     total += len(ids)
                     out.add(key, ids)

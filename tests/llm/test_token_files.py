@@ -63,6 +63,56 @@ def test_the_table_of_words_is_bounded(tokenizer, monkeypatch):
         assert sum(map(len, encode.known)) <= 2_000
 
 
+def test_a_letter_that_ends_in_a_combining_sign_keeps_its_marks(tokenizer):
+    for text in ("İ, x", "aİ.", "İ", "|İ", "क़| क़,", "İ,İ, é, É. été,", "The THE the. THE."):
+        assert tf.Encoder(tokenizer_path())([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_tokenizer_that_tells_case_apart(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(tokenizer_path()) as file:
+        cased = json.load(file)
+    cased["normalizer"] = {"type": "NFC"}
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(cased))
+    encode, whole = tf.Encoder(str(path)), Tokenizer.from_file(str(path))
+    text = "The THE the, Word word WORD."
+    assert encode.by_word
+    assert encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_a_lot_asks_once_for_each_distinct_word(tokenizer):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, word):
+            Counted.asked += 1
+            return super().get(word)
+
+    encode = tf.Encoder(tokenizer_path())
+    encode(["the same words"])
+    encode.known = Counted(encode.known)
+    texts = ["the same words " * 500] * 20 + ["", " the\xa0same\x85words\t", "Same É words"]
+    for text, ids in zip(texts, encode(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert Counted.asked < 50
+    mixed = ["the <|endoftext|> same", *texts[-2:], "<|x|>"]
+    assert [ids.tolist() for ids in encode(mixed)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in mixed]
+
+
+def test_lots_of_bounded_size(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tf, "LOT_BYTES", 10)
+    sizes = [3, 3, 3, 3, 25, 0, 0, 9, 1, 40]
+    lots = list(tf._lots(pa.array(["x" * n for n in sizes])))
+    assert [a for a, _ in lots] == np.cumsum([0, *(n for _, n in lots[:-1])]).tolist() and sum(n for _, n in lots) == len(sizes)
+    assert all(sum(sizes[a : a + n]) - max(sizes[a : a + n]) <= 10 for a, n in lots)
+
+
 class Memory(io.BytesIO):
     def size(self):
         return len(self.getvalue())
