@@ -126,6 +126,14 @@ def test_white_space_of_lines(spark):
     assert [r[0] for r in found] == ["a b"] * 5 + ["", "", "é\u00a0 x"]
 
 
+def test_case_of_a_whole_text_is_that_of_its_lines(spark):
+    text = "ΑΣ\nΑΣ\tΑ\n ΑΣ \x0bΣΑ\rΣ\nİI\n\u0307ÀÉ ß\nΣ\n\nΣ"
+    line = F.col("line")
+    found = spark.createDataFrame([(text,)], "text string").select(F.posexplode(F.arrays_zip(F.split("text", "\n").alias("line"), F.split(F.lower("text"), "\n").alias("low")))).select("col.*")
+    for r in found.select(line_dedup.normal_line(line).alias("a"), line_dedup.spaced_line(F.col("low")).alias("b")).collect():
+        assert r.a == r.b
+
+
 def check_lines(docs):
     norm = lambda x: re.sub(r"\s+", " ", x.lower()).strip()
     rows = docs.collect()
