@@ -3,14 +3,16 @@
 import functools
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
 
-from pagelathe.llm import line_dedup, minhash, ngram_join
+from pagelathe.llm import common, line_dedup, minhash, ngram_join
 from pagelathe.llm.common import staged
 from pagelathe.llm.words import WordHashes, word_shingles
 
@@ -175,6 +177,39 @@ def test_fuzzy_lines(spark, documents):
     assert all(len(r.kept.split("\n")) == max(r.n_kept, 1) for r in kept)
 
 
+def test_texts_of_lines_are_kept_once_and_shuffles_go_with_their_step(spark, monkeypatch, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, "\n".join(" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(20)) for _ in range(60))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    chars = sum(len(text) for _, text in rows)
+    local = [Path(x) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    shuffles = lambda: {f for at in local for f in at.rglob("shuffle_*")}
+    others, most = shuffles(), {}
+
+    def watched(write):
+        def written(df, name, *more):
+            out = write(df, name, *more)
+            until = time.time() + 20  # executors delete on their own time
+            while shuffles() - others and time.time() < until:
+                time.sleep(0.1)
+            assert not shuffles() - others, name
+            most[name] = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+            return out
+
+        return written
+
+    monkeypatch.setattr(common, "scratch_folder", lambda _: str(tmp_path))
+    for module, name in ((line_dedup, "staged"), (line_dedup, "staged_by"), (minhash, "staged")):
+        monkeypatch.setattr(module, name, watched(getattr(common, name)))
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    found = line_dedup.dedup_lines(docs)
+    assert spark.conf.get(setting) == before
+    assert [r.n_kept for r in found.collect()] == [60] * 120 == [r.n_lines for r in found.collect()]
+    # A letter of eight takes 3 bits or more, a line two digests and 9 bands besides; a second copy of the texts has no room.
+    assert most["lines"] < 0.85 * chars and max(most.values()) < 1.4 * chars
+
+
 @pytest.mark.parametrize("which", [ngram_join.link_documents, line_dedup.dedup_lines])
 def test_empty_table(odd, which):
     assert which(odd.limit(0)).count() == 0
